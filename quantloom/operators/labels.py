@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import finite_or_null, usable_price
@@ -18,23 +18,23 @@ def label_sessions(calendar: DataFrame, horizon: int) -> DataFrame:
     ).where("end_date is not null")
 
 
-def forward_values(bars: DataFrame, calendar: DataFrame, horizon: int) -> DataFrame:
-    """``(symbol, as_of_date, forward_return)`` per bar.
+def forward_column(horizon: int) -> Column:
+    """Return from this row's ``price`` to the price exactly ``horizon`` sessions later.
 
-    The end price is the one exactly ``horizon`` sessions later: a range frame over the session number
-    finds it without joining the bars to themselves, and a missing session stays NULL.
+    A range frame over the session number finds the end price without joining the bars to
+    themselves; a missing session stays NULL.
     """
     ahead = Window.partitionBy("symbol").orderBy("sid").rangeBetween(horizon, horizon)
+    end = F.when(F.col("sid").isNotNull(), F.max("price").over(ahead))
+    return finite_or_null(F.try_divide(end, F.col("price")) - F.lit(1.0))
+
+
+def forward_values(bars: DataFrame, calendar: DataFrame, horizon: int) -> DataFrame:
+    """``(symbol, as_of_date, forward_return)`` per bar on a session."""
     return (
         bars.join(calendar, F.col("date") == F.col("session"))
         .select("symbol", "session", "sid", usable_price("adjusted_close").alias("price"))
-        .select(
-            "symbol",
-            F.col("session").alias("as_of_date"),
-            finite_or_null(
-                F.try_divide(F.max("price").over(ahead), F.col("price")) - F.lit(1.0)
-            ).alias("forward_return"),
-        )
+        .select("symbol", F.col("session").alias("as_of_date"), forward_column(horizon).alias("forward_return"))
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import finite_or_null, is_finite, moments_of, usable_price
@@ -45,6 +45,25 @@ def dense_panel(grid: DataFrame, values: DataFrame, name: str, version: str) ->
     )
 
 
+def timed_prices(bars: DataFrame, calendar: DataFrame, lookback: int) -> DataFrame:
+    """Usable adjusted closes with their session number and the start of their look-back window."""
+    sessions = calendar.select(
+        F.col("session").alias("date"), "sid",
+        F.lag("session", lookback).over(Window.orderBy("session")).alias("window_start"),
+    )
+    return bars.join(sessions, "date", "left").select(
+        "symbol", "date", "sid", "window_start", usable_price("adjusted_close").alias("price")
+    )
+
+
+def momentum_columns(lookback: int, skip: int) -> tuple[Column, Column]:
+    """Value and completeness of one row of :func:`timed_prices`."""
+    line = by_symbol()
+    far, near = F.lag("price", lookback).over(line), F.lag("price", skip).over(line)
+    complete = F.lag("date", lookback).over(line) >= F.col("window_start")
+    return finite_or_null(F.try_divide(near, far) - F.lit(1.0)), F.coalesce(complete, F.lit(False))
+
+
 def momentum_values(
     bars: DataFrame, calendar: DataFrame,
     lookback: int = MOMENTUM_LOOKBACK, skip: int = MOMENTUM_SKIP,
@@ -55,24 +74,13 @@ def momentum_values(
     session and both prices are usable. Rows are counted, not days: one window over the
     bars of a symbol, at most one row per session.
     """
-    opening = calendar.select(
-        F.col("session").alias("date"),
-        F.lag("session", lookback).over(Window.orderBy("session")).alias("window_start"),
+    value, complete = momentum_columns(lookback, skip)
+    rows = timed_prices(bars, calendar, lookback).select(
+        "symbol", F.col("date").alias("as_of_date"), value.alias("raw_value"), complete.alias("complete")
     )
-    far, near = F.lag("price", lookback).over(by_symbol()), F.lag("price", skip).over(by_symbol())
-    return (
-        bars.join(opening, "date", "left")
-        .select("symbol", "date", "window_start", usable_price("adjusted_close").alias("price"))
-        .select(
-            "symbol",
-            F.col("date").alias("as_of_date"),
-            (F.lag("date", lookback).over(by_symbol()) >= F.col("window_start")).alias("complete"),
-            finite_or_null(F.try_divide(near, far) - F.lit(1.0)).alias("raw_value"),
-        )
-        .select(
-            "symbol", "as_of_date", "raw_value",
-            (F.coalesce("complete", F.lit(False)) & F.col("raw_value").isNotNull()).alias("is_eligible"),
-        )
+    return rows.select(
+        "symbol", "as_of_date", "raw_value",
+        (F.col("complete") & F.col("raw_value").isNotNull()).alias("is_eligible"),
     )
 
 

@@ -12,9 +12,11 @@ from ..operators.contracts import panel_violations
 from ..operators.evaluation import (
     daily_ic, ic_summary, pair, pair_violations, quantile_returns, quantile_spread,
 )
-from ..operators.labels import forward_returns
-from ..operators.panel import Factor, dense_grid, panel_quality, panel_statistics
-from ..schemas import MIN_PAIRS, QUANTILES
+from ..operators.labels import forward_column, forward_returns, label_sessions
+from ..operators.panel import (
+    Factor, dense_grid, momentum_columns, panel_quality, panel_statistics, timed_prices,
+)
+from ..schemas import MIN_PAIRS, MOMENTUM_NAME, MOMENTUM_VERSION, QUANTILES
 from ..session import durable
 from ..sources.panels import cache_plan, read_panels, stored_keys, write_panels
 from ..sources.reports import write_report
@@ -33,6 +35,35 @@ class FactorJob:
     store: str
 
 
+def momentum_pairs(
+    bars: DataFrame, universe: DataFrame, calendar: DataFrame, lookback: int, skip: int, horizon: int
+) -> DataFrame:
+    """Momentum next to its labels for every date with an end session, from one pass over the bars.
+
+    Value and return are both windows over the bars of a symbol, so they share one shuffle; the
+    rows equal :func:`pair` of a stored panel and its labels.
+    """
+    ends = label_sessions(calendar, horizon)
+    value, complete = momentum_columns(lookback, skip)
+    both = timed_prices(bars, calendar, lookback).select(
+        "symbol", F.col("date").alias("as_of_date"),
+        value.alias("raw_value"), complete.alias("complete"),
+        forward_column(horizon).alias("forward_return"),
+    )
+    eligible = F.coalesce(F.col("complete") & F.col("raw_value").isNotNull(), F.lit(False))
+    return (
+        dense_grid(universe, ends).join(ends, "as_of_date")
+        .join(both, ["as_of_date", "symbol"], "left")
+        .select(
+            "as_of_date", "symbol", "end_date",
+            F.lit(MOMENTUM_NAME).alias("factor_name"), F.lit(MOMENTUM_VERSION).alias("factor_version"),
+            F.lit(horizon).cast("bigint").alias("horizon_sessions"),
+            F.when(eligible, F.col("raw_value")).alias("raw_value"), eligible.alias("is_eligible"),
+            "forward_return", F.col("forward_return").isNotNull().alias("is_available"),
+        )
+    )
+
+
 def factor_batch(job: FactorJob, dates: DataFrame, force: bool = False) -> DataFrame:
     """Computes and stores the panels that are not stored yet, all dates in one job.
 

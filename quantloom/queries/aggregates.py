@@ -109,12 +109,12 @@ SUSPECT = """
         CASE WHEN symbol = 'BRAND.2' THEN CAST('inf' AS DOUBLE)
              WHEN symbol = 'BRAND.3' AND day(as_of_date) < 15 THEN NULL ELSE raw_value END AS raw_value FROM o_panel)"""
 ISSUES = f"""
-SELECT *, bool_or(is_eligible) OVER (PARTITION BY as_of_date) AS some, count(*) OVER (PARTITION BY as_of_date) AS universe_size,
+SELECT *, bool_or(is_eligible) OVER (PARTITION BY as_of_date) AS any_ok, count(*) OVER (PARTITION BY as_of_date) AS universe_size,
        count(*) FILTER (is_eligible) OVER (PARTITION BY as_of_date) AS eligible_count
 FROM {SUSPECT}"""
 CODES = """
-SELECT *, CASE WHEN some THEN 'partial_eligible_coverage' ELSE 'zero_eligible_coverage' END AS code,
-       CASE WHEN some THEN 'warning' ELSE 'error' END AS severity FROM i WHERE NOT is_eligible
+SELECT *, CASE WHEN any_ok THEN 'partial_eligible_coverage' ELSE 'zero_eligible_coverage' END AS code,
+       CASE WHEN any_ok THEN 'warning' ELSE 'error' END AS severity FROM i WHERE NOT is_eligible
 UNION ALL SELECT *, 'eligible_non_finite_value', 'error' FROM i WHERE is_eligible AND NOT coalesce(isfinite(raw_value), FALSE)
 UNION ALL SELECT *, 'ineligible_infinite_value', 'warning' FROM i WHERE NOT is_eligible AND isinf(raw_value)"""
 

@@ -12,12 +12,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import week_start, weekday_index
+from ..functions import weekday_index
 from ..operators import bars as bar_ops
 from ..operators import evaluation, execution, labels, panel, schedule, selection, transition, weights
 from ..operators.calendar import session_calendar
 from ..operators.ranking import checked_bound
 from ..schemas import MOMENTUM_LOOKBACK, MOMENTUM_SKIP
+from ..plans.research import momentum_pairs
 from ..session import durable
 from ..sources import universe
 from ..sources.bars import trades_from_lineitem
@@ -51,15 +52,16 @@ class Market:
 
     @cached_property
     def calendar(self) -> DataFrame:
+        """Sessions as a stored table: plans use it many times, the order lines are read once for it."""
         days = self.table("lineitem").select(F.date_trunc(self.grain, "l_shipdate").alias("date"))
-        return session_calendar(days)
+        return durable(session_calendar(days), "calendar")
 
     @cached_property
     def business_days(self) -> DataFrame:
         """Weekdays with at least one block trade: a daily calendar with holidays."""
         lines = self.table("lineitem").where("l_quantity >= 45")
         days = lines.select(F.to_date("l_shipdate").alias("date"))
-        return session_calendar(days.where(weekday_index("date") < 5))
+        return durable(session_calendar(days.where(weekday_index("date") < 5)), "calendar")
 
     @cached_property
     def bars_by_sid(self) -> DataFrame:
@@ -116,7 +118,7 @@ class Market:
 
     @cached_property
     def pool(self) -> DataFrame:
-        return universe.active_pool(universe.normalize_universe(self.master))
+        return durable(universe.active_pool(universe.normalize_universe(self.master)), "pool")
 
     @cached_property
     def bound(self) -> int | None:
@@ -147,22 +149,7 @@ class Market:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        """Panel and labels side by side.
-
-        Both come from the same bars, so value and return are computed over one shuffle by
-        symbol and laid over the grid together; the result equals joining the two tables.
-        """
-        values = panel.momentum_values(self.bars, self.calendar, self.lookback, self.skip)
-        ahead = labels.forward_values(self.bars, self.calendar, self.horizon)
-        ends = labels.label_sessions(self.calendar, self.horizon)
-        grid = self.grid.join(ends, "as_of_date")
-        rows = panel.dense_panel(grid, values, "momentum_12_1", "1.0.0")
-        key = ["as_of_date", "symbol"]
-        return (
-            rows.join(ends, "as_of_date").join(ahead, key, "left")
-            .withColumn("horizon_sessions", F.lit(self.horizon).cast("bigint"))
-            .withColumn("is_available", F.col("forward_return").isNotNull())
-        )
+        return momentum_pairs(self.bars, self.pool, self.calendar, self.lookback, self.skip, self.horizon)
 
     @cached_property
     def ics(self) -> DataFrame:
@@ -313,4 +300,4 @@ class Market:
 
 
 __all__ = ["CAP", "CAPITAL", "CASH", "HORIZON", "Market", "PLAN_END", "PLAN_START",
-           "STUDY_END", "STUDY_START", "TOP_N", "week_start"]
+           "STUDY_END", "STUDY_START", "TOP_N"]

@@ -48,7 +48,7 @@ def portfolio_transition(m: Market):
 
 
 @query("fill_orders", "SELECT * FROM o_fills", dates=["decision_date", "scheduled_fill_date", "fill_date"],
-       rounded=["quantity", "gross_notional", "cash_change", "fill_price"])
+       rounded=["quantity"], money=["gross_notional", "cash_change"])
 def fill_orders(m: Market):
     return m.fills
 

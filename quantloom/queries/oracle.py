@@ -193,13 +193,13 @@ FROM (SELECT symbol, s0, s1, reason FROM o_runs UNION ALL
       FROM (SELECT DISTINCT symbol FROM o_held))""",
     "o_isl": """
 SELECT *, sum(CASE WHEN s0 <= reach + 1 THEN 0 ELSE 1 END) OVER (PARTITION BY symbol ORDER BY s0, s1, kind) AS island,
-       row_number() OVER (PARTITION BY symbol ORDER BY s0, s1, kind) AS at
+       row_number() OVER (PARTITION BY symbol ORDER BY s0, s1, kind) AS nth
 FROM (SELECT *, max(s1) OVER (PARTITION BY symbol ORDER BY s0, s1, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
       FROM o_wish)""",
     "o_windows": """
 SELECT symbol, min(s0) AS s0, max(s1) AS s1,
-       string_agg(reason, '+' ORDER BY first_at) AS reason
-FROM (SELECT symbol, island, reason, min(s0) AS s0, max(s1) AS s1, min(at) AS first_at FROM o_isl GROUP BY ALL)
+       string_agg(reason, '+' ORDER BY first_nth) AS reason
+FROM (SELECT symbol, island, reason, min(s0) AS s0, max(s1) AS s1, min(nth) AS first_nth FROM o_isl GROUP BY ALL)
 GROUP BY symbol, island""",
     "o_plan": """
 SELECT p.symbol, 'planned' AS status,

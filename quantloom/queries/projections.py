@@ -75,12 +75,13 @@ def normalize_universe(m: Market):
 
 @query("static_snapshot", """
 SELECT session AS as_of_date, symbol, row_number() OVER (PARTITION BY session ORDER BY symbol) AS ord, 'seed' AS source
-FROM (SELECT DISTINCT symbol FROM o_norm WHERE active) CROSS JOIN (SELECT DISTINCT date_trunc('month', session) AS session FROM o_cal)
+FROM (SELECT DISTINCT symbol FROM o_norm WHERE active AND symbol <> '')
+CROSS JOIN (SELECT DISTINCT CAST(date_trunc('month', session) AS DATE) AS session FROM o_cal)
 """, dates=["as_of_date"])
 def static_snapshot(m: Market):
     """The active pool of the large security master on every month start."""
     months = m.calendar.select(F.trunc("session", "month").alias("as_of_date"))
-    return universe.static_snapshot(m.normalized, months, "seed")
+    return universe.static_snapshot(m.normalized.where("symbol <> ''"), months, "seed")
 
 
 @query("selected_scores", "SELECT * FROM o_sel", dates=["as_of_date"])

@@ -15,15 +15,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def present(df: DataFrame, rounded: list[str]) -> DataFrame:
-    """Engine-neutral output: days as ISO text; order-dependent sums to nine decimals."""
+def present(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Engine-neutral output: days as ISO text; order-dependent sums to a fixed number of digits."""
     columns = []
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
         if kind == "date":
             column = column.cast("string")
-        elif name in rounded:
-            column = F.round(column, 9)
+        elif name in digits:
+            column = F.round(column, digits[name])
         columns.append(column.alias(name))
     return df.select(*columns)
 
@@ -49,16 +49,20 @@ def with_ctes(sql: str) -> str:
 def query(
     name: str, sql: str | None = None, *,
     dates: list[str] | None = None, rounded: list[str] | None = None, ints: list[str] | None = None,
+    money: list[str] | None = None,
 ):
-    """Registers a function of a :class:`Market`; ``dates``/``ints`` fix the SQL's output types."""
-    rounded = rounded or []
+    """Registers a function of a :class:`Market`; ``dates``/``ints`` fix the SQL's output types.
+
+    ``rounded`` columns are compared to nine decimals, ``money`` amounts to three.
+    """
+    digits = {**{c: 9 for c in rounded or []}, **{c: 3 for c in money or []}}
     fixes = [f"CAST({c} AS VARCHAR) AS {c}" for c in dates or []]
     fixes += [f"CAST({c} AS BIGINT) AS {c}" for c in ints or []]
-    fixes += [f"round({c}, 9) AS {c}" for c in rounded]
+    fixes += [f"round({c}, {n}) AS {c}" for c, n in digits.items()]
 
     def register(function: Callable[[Market], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return present(function(Market(spark, sf_dir)), rounded)
+            return present(function(Market(spark, sf_dir)), digits)
 
         run.__name__ = name
         if name in QUERIES:
