@@ -18,15 +18,33 @@ def pack_order(parts: list[tuple[Column, int]]) -> Column:
     """Non-negative integers packed into one sortable DECIMAL, most significant first.
 
     ``min_by``/``max_by`` over a struct needs a sort aggregate; a decimal key has a
-    fixed-width buffer, so the aggregation hashes and combines on the map side. A value wider
-    than its declared digits raises instead of wrapping.
+    fixed-width buffer, so the aggregation hashes and combines on the map side. Digits are
+    gathered in long arithmetic, 18 at a time; a value wider than its declared digits raises.
     """
     if sum(digits for _, digits in parts) > 38:
         raise ValueError("the packed key is limited to 38 digits")
-    key = None
+    words: list[tuple[Column, int]] = []
+    word, filled = None, 0
     for column, digits in parts:
-        piece = column.cast(f"decimal({digits},0)")
-        key = piece if key is None else key * F.lit(Decimal(10**digits)) + piece
+        rest = F.when(column.between(0, 10**digits - 1), column.cast("bigint")).otherwise(
+            F.raise_error(F.lit("a value does not fit the digits of the packed key"))
+        )
+        while digits:
+            take = min(digits, 18 - filled)
+            unit = F.lit(10 ** (digits - take))
+            piece = F.call_function("div", rest, unit) if digits > take else rest
+            rest = F.pmod(rest, unit) if digits > take else rest
+            word = piece if word is None else word * F.lit(10**take) + piece
+            digits, filled = digits - take, filled + take
+            if filled == 18:
+                words.append((word, filled))
+                word, filled = None, 0
+    if filled:
+        words.append((word, filled))
+    key = None
+    for word, width in words:
+        piece = word.cast("decimal(18,0)")
+        key = piece if key is None else key * F.lit(Decimal(10**width)) + piece
     return key.cast("decimal(38,0)")
 
 

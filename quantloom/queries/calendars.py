@@ -95,5 +95,5 @@ WHERE delivered < expected""", dates=["window_start", "window_end"])
 def short_delivery(m: Market):
     """The vendor delivers only the more active weeks of each planned window."""
     plan = planning.plan_download(m.pool, m.held_dates, m.calendar, PLAN_START, PLAN_END)
-    delivered = rows_in_windows(m.bars.where("volume >= 120"), plan)
+    delivered = rows_in_windows(m.stored_bars.where("volume >= 120"), plan)
     return planning.short_deliveries(plan, delivered, m.calendar)

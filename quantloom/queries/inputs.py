@@ -46,6 +46,11 @@ class Market:
         trades = trades_from_lineitem(self.table("lineitem"), self.table("part"), self.grain)
         return bar_ops.bars_from_trades(trades)
 
+    @cached_property
+    def stored_bars(self) -> DataFrame:
+        """Bars as a written table, for plans that read them more than once."""
+        return durable(self.bars, "bars")
+
     @cached_property
     def standard(self) -> DataFrame:
         return bar_ops.derive_features(self.bars)
@@ -53,7 +58,9 @@ class Market:
     @cached_property
     def calendar(self) -> DataFrame:
         """Sessions as a stored table: plans use it many times, the order lines are read once for it."""
-        days = self.table("lineitem").select(F.date_trunc(self.grain, "l_shipdate").alias("date"))
+        days = self.table("lineitem").select(
+            F.trunc(F.to_date("l_shipdate"), self.grain).alias("date")
+        )
         return durable(session_calendar(days), "calendar")
 
     @cached_property
@@ -65,7 +72,8 @@ class Market:
 
     @cached_property
     def bars_by_sid(self) -> DataFrame:
-        return self.standard.join(self.calendar, F.col("date") == F.col("session")).drop("session")
+        standard = bar_ops.derive_features(self.stored_bars)
+        return standard.join(self.calendar, F.col("date") == F.col("session")).drop("session")
 
     @property
     def last_sid(self):
@@ -136,11 +144,11 @@ class Market:
     @cached_property
     def panel(self) -> DataFrame:
         factor = panel.momentum(self.lookback, self.skip)
-        return factor(self.bars, self.dates, self.pool, self.calendar)
+        return factor(self.stored_bars, self.dates, self.pool, self.calendar)
 
     @cached_property
     def labels(self) -> DataFrame:
-        return labels.forward_returns(self.panel, self.bars, self.calendar, self.horizon)
+        return labels.forward_returns(self.panel, self.stored_bars, self.calendar, self.horizon)
 
     @cached_property
     def labelled_panel(self) -> DataFrame:
@@ -203,7 +211,7 @@ class Market:
     @cached_property
     def orders(self) -> DataFrame:
         """One order per moved name, sized off the close of the decision date."""
-        closes = self.bars.select(F.col("date").alias("decision_date"), "symbol", "close")
+        closes = self.stored_bars.select(F.col("date").alias("decision_date"), "symbol", "close")
         moved = self.transition.where("abs(weight_change) > 1e-12").withColumnRenamed("as_of_date", "decision_date")
         return (
             moved.join(self.events, "decision_date")
@@ -220,7 +228,7 @@ class Market:
 
     @cached_property
     def opens(self) -> DataFrame:
-        return self.bars.select("date", "symbol", "open")
+        return self.stored_bars.select("date", "symbol", "open")
 
     @cached_property
     def fills(self) -> DataFrame:
@@ -250,14 +258,14 @@ class Market:
     @cached_property
     def held_dates(self) -> DataFrame:
         """Published days with a late start, an early end, holes, and symbols never loaded."""
-        rows = self.bars.select("symbol", "date").join(self.calendar, F.col("date") == F.col("session"))
+        rows = self.stored_bars.select("symbol", "date").join(self.calendar, F.col("date") == F.col("session"))
         rows = rows.join(self.pool, "symbol")
         keep = (
             (F.col("ord") <= 22) & (F.col("sid") >= 5 + 2 * F.col("ord"))
             & (F.col("sid") <= self.last_sid - F.pmod(F.col("ord"), F.lit(12)))
             & ~F.pmod(F.col("sid"), F.lit(37)).isin(5, 6)
         )
-        return rows.where(keep).select("symbol", "date")
+        return durable(rows.where(keep).select("symbol", "date"), "held")
 
     @cached_property
     def raw(self) -> DataFrame:

@@ -20,7 +20,7 @@ from .registry import query
 
 def _vendor(m: Market):
     """What a vendor would deliver: one share more than published, two symbols broken."""
-    rows = m.bars.join(m.pool, "symbol")
+    rows = m.stored_bars.join(m.pool, "symbol")
     text = {"Open": "open", "High": "high", "Low": "low", "Close": "close", "Adj Close": "adjusted_close"}
     broken = F.col("ord").isin(3, 7)
     return rows.select(
@@ -36,7 +36,7 @@ def _vendor(m: Market):
 
 def _run_update(m: Market):
     root, run = scratch_path(m.spark, "live"), scratch_path(m.spark, "update")
-    held = m.bars.join(m.held_dates, ["symbol", "date"], "left_semi")
+    held = m.stored_bars.join(m.held_dates, ["symbol", "date"], "left_semi")
     bar_io.write_bars(derive_features(held), root)
     vendor = durable(_vendor(m), "vendor")
 
@@ -81,7 +81,7 @@ def update_log(m: Market):
 def _job(m: Market, store: str | None = None) -> research.FactorJob:
     return research.FactorJob(
         momentum(m.lookback, m.skip), "momentum_12_1", "1.0.0",
-        m.bars, m.pool, m.calendar, store or scratch_path(m.spark, "panels"),
+        m.stored_bars, m.pool, m.calendar, store or scratch_path(m.spark, "panels"),
     )
 
 

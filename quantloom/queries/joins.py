@@ -82,8 +82,8 @@ SELECT 'outside_universe' AS side, symbol, count(*) AS row_count FROM o_bars WHE
 UNION ALL SELECT 'without_rows', symbol, 0 FROM {SOME} WHERE symbol NOT IN
   (SELECT symbol FROM o_bars WHERE date < DATE '1995-01-09')""")
 def universe_anti(m: Market):
-    outside = outside_universe(m.bars, _some(m)).groupBy("symbol").agg(F.count("*").alias("row_count"))
-    absent = without_rows(_some(m), m.bars.where("date < '1995-01-09'"))
+    outside = outside_universe(m.stored_bars, _some(m)).groupBy("symbol").agg(F.count("*").alias("row_count"))
+    absent = without_rows(_some(m), m.stored_bars.where("date < '1995-01-09'"))
     return outside.select(F.lit("outside_universe").alias("side"), "symbol", "row_count").unionByName(
         absent.select(F.lit("without_rows").alias("side"), "symbol", F.lit(0).cast("bigint").alias("row_count"))
     )

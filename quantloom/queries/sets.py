@@ -57,4 +57,4 @@ LEFT JOIN o_bars b1 ON b1.symbol = p.symbol AND b1.date = e.session""", dates=["
 def concat_labels(m: Market):
     from ..operators.labels import forward_returns
 
-    return m.labels.unionByName(forward_returns(m.panel, m.bars, m.calendar, 4))
+    return m.labels.unionByName(forward_returns(m.panel, m.stored_bars, m.calendar, 4))

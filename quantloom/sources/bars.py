@@ -155,14 +155,18 @@ def trades_from_lineitem(lineitem: DataFrame, part: DataFrame, grain: str = "wee
 
     The order of trades inside a session is (time, order, line, part).
     """
-    when = F.col("l_shipdate").cast("timestamp")
+    # seconds since year 1, so the packed key never meets a negative number
+    seconds = F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + 62_135_596_800
     position = pack_order([
-        (F.unix_seconds(when), 11), (F.col("l_orderkey"), 13),
-        (F.col("l_linenumber"), 3), (F.col("l_partkey"), 11),
+        (seconds, 12), (F.col("l_orderkey"), 13), (F.col("l_linenumber"), 2), (F.col("l_partkey"), 11),
     ])
-    return lineitem.join(part, lineitem.l_partkey == part.p_partkey).select(
-        F.upper(F.replace("p_brand", F.lit("#"), F.lit("."))).alias("symbol"),
-        F.to_date(F.date_trunc(grain, "l_shipdate")).alias("date"),
+    # the symbol is spelled once per part, not once per trade
+    symbols = part.select(
+        "p_partkey", F.upper(F.replace("p_brand", F.lit("#"), F.lit("."))).alias("symbol")
+    )
+    return lineitem.join(symbols, lineitem.l_partkey == symbols.p_partkey).select(
+        "symbol",
+        F.trunc(F.to_date("l_shipdate"), grain).alias("date"),
         F.try_divide("l_extendedprice", "l_quantity").alias("price"),
         F.col("l_quantity").alias("quantity"),
         position.alias("position"),
