@@ -21,8 +21,8 @@ def pack_order(parts: list[tuple[Column, int]]) -> Column:
     fixed-width buffer, so the aggregation hashes and combines on the map side. Digits are
     gathered in long arithmetic, 18 at a time; a value wider than its declared digits raises.
     """
-    if sum(digits for _, digits in parts) > 38:
-        raise ValueError("the packed key is limited to 38 digits")
+    if sum(digits for _, digits in parts) > 38 or max(digits for _, digits in parts) > 18:
+        raise ValueError("the packed key is limited to 38 digits, 18 for each part")
     words: list[tuple[Column, int]] = []
     word, filled = None, 0
     for column, digits in parts:

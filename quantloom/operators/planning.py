@@ -84,7 +84,8 @@ def gap_runs(published: DataFrame, calendar: DataFrame, start: date, end: date)
         (F.coalesce(following, F.least("tail_first", w1 + 1)) - 1).alias("s1"),
         F.lit(INTERNAL).alias("reason"),
     )
-    return head.unionByName(inner).unionByName(tail).where("s0 <= s1")
+    # `least` and `greatest` pass over NULL, so a window without sessions is ruled out by name
+    return head.unionByName(inner).unionByName(tail).where(w0.isNotNull() & (F.col("s0") <= F.col("s1")))
 
 
 def missing_sessions(published: DataFrame, calendar: DataFrame, start: date, end: date) -> DataFrame:
@@ -154,7 +155,7 @@ def plan_download(
         refresh = known.select(
             "symbol", F.greatest(w1 - overlap + 1, w0).alias("s0"), w1.alias("s1"),
             F.lit(OVERLAP).alias("reason"),
-        ).where("s0 is not null")
+        ).where(w0.isNotNull())
         windows = windows.unionByName(refresh)
     first_day = calendar.select("sid", F.col("session").alias("window_start"))
     last_day = calendar.select("sid", F.col("session").alias("window_end"))
