@@ -77,6 +77,30 @@ def derive_features(bars: DataFrame) -> DataFrame:
     ).withColumn("dollar_volume", F.col("close") * F.col("volume"))
 
 
+def derive_features_sliced(bars: DataFrame) -> DataFrame:
+    """:func:`derive_features` for rows whose copies are not collapsed yet.
+
+    A symbol may then hold any number of rows, so its line is cut by year: the previous row is
+    looked up inside the year, and the first one of a year takes the last of the year before.
+    """
+    sliced = bars.withColumn("year_", F.year("date"))
+    inside = Window.partitionBy("symbol", "year_").orderBy("date")
+    ends = sliced.groupBy("symbol", "year_").agg(F.max_by("adjusted_close", "date").alias("end_"))
+    carried = ends.select(
+        "symbol", "year_",
+        F.lag("end_").over(Window.partitionBy("symbol").orderBy("year_")).alias("carried_"),
+    )
+    previous = F.when(F.col("place_") == 1, F.col("carried_")).otherwise(F.col("before_"))
+    return (
+        sliced.withColumn("before_", F.lag("adjusted_close").over(inside))
+        .withColumn("place_", F.row_number().over(inside))
+        .join(carried, ["symbol", "year_"], "left")
+        .withColumn("daily_return", F.try_divide(F.col("adjusted_close"), previous) - F.lit(1.0))
+        .withColumn("dollar_volume", F.col("close") * F.col("volume"))
+        .drop("year_", "before_", "place_", "carried_")
+    )
+
+
 def missing_raw_columns(raw: DataFrame) -> list[str]:
     return [name for name in RAW_COLUMNS if name not in raw.columns]
 
@@ -141,7 +165,7 @@ def standardize_bars(raw: DataFrame, *, strict: bool = True) -> DataFrame:
     else:
         parsed = parsed.where(F.col("date").isNotNull() & valid_symbol("symbol"))
     extra = [c for c in parsed.columns if c not in STANDARD_COLUMNS]
-    return derive_features(parsed).select(*STANDARD_COLUMNS, *extra)
+    return derive_features_sliced(parsed).select(*STANDARD_COLUMNS, *extra)
 
 
 def order_bars(bars: DataFrame) -> DataFrame:

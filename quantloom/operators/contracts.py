@@ -88,8 +88,9 @@ def universe_violations(normalized: DataFrame, minimum: int = MIN_UNIVERSE_SIZE)
 def bar_violations(bars: DataFrame) -> DataFrame:
     """Value rules of standard bars, plus an empty table being a failure."""
     o, h, lo, c = (F.col(x) for x in ("open", "high", "low", "close"))
-    first = F.row_number().over(Window.partitionBy("symbol").orderBy("date")) == 1
-    marked = bars.withColumn("is_first", first)
+    # an aggregate, not a window: rows of one symbol are unbounded while copies are unchecked
+    opening = bars.groupBy("symbol").agg(F.min("date").alias("first_date"))
+    marked = bars.join(opening, "symbol", "left").withColumn("is_first", F.col("date") == F.col("first_date"))
     rules = {f"{p}_not_positive": (~is_positive(p), F.col(p)) for p in PRICE_COLUMNS}
     rows = row_rules(marked, _key("symbol", "date"), {
         **rules,

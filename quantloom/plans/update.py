@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.bars import parse_raw
@@ -24,24 +24,21 @@ Fetch = Callable[[DataFrame], DataFrame]
 def rows_in_windows(rows: DataFrame, windows: DataFrame, day: str = "date") -> DataFrame:
     """Rows inside one of their symbol's windows, tagged with it.
 
-    Windows of a symbol never overlap, so the last one opened decides: both sides are laid in one
-    line per symbol instead of comparing every row with every window.
+    A range join as an equi-join: windows are spread over the months they touch, so a row meets
+    the few windows of its own month, and a hot symbol is split by month and by adaptive
+    execution. Windows of a symbol never overlap, hence no row is tagged twice.
     """
-    opened = windows.where("window_start is not null").select(
-        "symbol", F.col("window_start").alias("day_"), F.lit(0).alias("side_"),
-        F.struct("window_start", "window_end", F.col("reason").alias("plan_reason")).alias("window_"),
+    spread = windows.where("window_start is not null").select(
+        "symbol", "window_start", "window_end", F.col("reason").alias("plan_reason"),
+        F.explode(
+            F.sequence(F.trunc("window_start", "month"), F.trunc("window_end", "month"), F.expr("interval 1 month"))
+        ).alias("month_"),
     )
-    body = rows.select(
-        F.col("symbol"), F.col(day).alias("day_"), F.lit(1).alias("side_"),
-        F.struct(*rows.columns).alias("row_"),
-    )
-    line = Window.partitionBy("symbol").orderBy("day_", "side_")
-    current = F.last("window_", ignorenulls=True).over(line)
     return (
-        opened.unionByName(body, allowMissingColumns=True)
-        .withColumn("window_", current)
-        .where((F.col("side_") == 1) & (F.col("day_") <= F.col("window_.window_end")))
-        .select("row_.*", "window_.*")
+        rows.withColumn("month_", F.trunc(day, "month"))
+        .join(spread, ["symbol", "month_"])
+        .where(F.col(day).between(F.col("window_start"), F.col("window_end")))
+        .select(*rows.columns, "window_start", "window_end", "plan_reason")
     )
 
 

@@ -59,7 +59,7 @@ def universe_violations(m: Market):
 
 
 @query("bar_violations", both(
-    rules_sql("""(SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) = 1 AS f FROM o_damaged)""", SYMBOL_DAY, {
+    rules_sql("""(SELECT *, date = min(date) OVER (PARTITION BY symbol) AS f FROM o_damaged)""", SYMBOL_DAY, {
         "adjusted_close_not_positive": ("adjusted_close <= 0", "adjusted_close"),
         "high_not_positive": ("high <= 0", "high"),
         "volume_negative": ("volume < 0", "volume"),

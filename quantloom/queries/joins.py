@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import calendar, evaluation, execution, merge, selection
 from ..operators.panel import dense_grid
+from ..session import scratch_path
+from ..sources.panels import stored_panels, write_panels
 from ..sources.universe import outside_universe, without_rows
 from .inputs import HORIZON, Market
 from .registry import query
@@ -98,8 +100,10 @@ def _requirements(m: Market, *versions: str):
 @query("context_panels", "SELECT as_of_date, symbol, factor_version, raw_value FROM o_panel", dates=["as_of_date"])
 def context_panels(m: Market):
     """Only the exact version is taken from a store that holds two."""
-    both = m.panel.unionByName(m.panel.withColumn("factor_version", F.lit("2.0.0")))
-    return selection.context_panels(both, _requirements(m, "1.0.0")).select(
+    root = scratch_path(m.spark, "panels")
+    for version in ("1.0.0", "2.0.0"):
+        write_panels(m.panel.withColumn("factor_version", F.lit(version)), root)
+    return selection.context_panels(stored_panels(m.spark, root), _requirements(m, "1.0.0")).select(
         "as_of_date", "symbol", "factor_version", "raw_value"
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import bars as bar_ops
 from ..operators import evaluation, execution, planning, quality, ranking, selection
 from ..operators.calendar import last_sessions
+from ..operators.contracts import repeated
 from ..operators.weights import weight_refusals
 from .inputs import CAP, CASH, PLAN_END, PLAN_START, TOP_N, Market
 from .registry import query
@@ -95,14 +96,12 @@ def refusals(m: Market):
 
 
 @query("date_monotonic", """
-SELECT symbol, date, date > lag(date) OVER (PARTITION BY symbol ORDER BY date) AS increases FROM o_damaged""",
-       dates=["date"])
+SELECT 'date_not_increasing' AS rule, symbol || '|' || CAST(date AS VARCHAR) AS key, CAST(count(*) AS DOUBLE) AS value
+FROM (SELECT symbol, date, date > lag(date) OVER (PARTITION BY symbol ORDER BY date) AS up FROM o_damaged) GROUP BY symbol, date
+HAVING bool_or(up = FALSE)""")
 def date_monotonic(m: Market):
     """Sorted by date, a repeated date is the only way to break the rule."""
-    from pyspark.sql import Window
-
-    line = Window.partitionBy("symbol").orderBy("date")
-    return m.damaged.select("symbol", "date", (F.col("date") > F.lag("date").over(line)).alias("increases"))
+    return repeated(m.damaged, "date_not_increasing", "symbol", "date")
 
 
 @query("gap_runs", "SELECT symbol, s0, s1, reason FROM o_runs")

@@ -14,6 +14,7 @@ from ..schemas import BAR, REQUESTABLE_FIELDS, STANDARD_COLUMNS
 from ..session import scratch_path
 
 LAYOUT = ["symbol", "year"]
+PRUNE_LIMIT = 1000
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
@@ -38,6 +39,16 @@ def read_symbol(spark: SparkSession, root: str, symbol: str, ordered: bool = Tru
     return rows.orderBy("symbol", "date") if ordered else rows
 
 
+def rows_of_symbols(spark: SparkSession, root: str, symbols: DataFrame) -> DataFrame:
+    """Stored rows of the given symbols. Few names become a partition filter, so only their
+    folders are read; many stay a semi join."""
+    names = [r[0] for r in symbols.select("symbol").distinct().limit(PRUNE_LIMIT + 1).collect()]
+    rows = read_bars(spark, root)
+    if len(names) <= PRUNE_LIMIT:
+        return rows.where(F.col("symbol").isin(names)) if names else rows.where(F.lit(False))
+    return rows.join(symbols.select("symbol"), "symbol", "left_semi")
+
+
 def _checked_fields(fields: list[str]) -> None:
     if not fields or len(set(fields)) != len(fields):
         raise ValueError(f"request each field once and at least one: {fields}")
@@ -92,18 +103,17 @@ def read_bars_window(
 
 
 def write_bars(bars: DataFrame, root: str, mode: str = "error", layout: list[str] | None = None) -> None:
-    """Partitioned Parquet, one task per partition folder, rows in date order.
+    """Partitioned Parquet, folders gathered into few files, rows in date order.
 
-    Partition folders hold at most one year of one symbol, so keying the write on them
-    cannot gather an unbounded group. Pass ``layout=["year"]`` where a folder per symbol
-    would be too many.
+    The rebalance hint lets adaptive execution merge small folders into one task and split a
+    hot one over several. Pass ``layout=["year"]`` where a folder per symbol would be too many.
     """
     layout = LAYOUT if layout is None else layout
     keys = [F.col(k) for k in ("symbol", "year")]
     (
         bars.select(*STANDARD_COLUMNS, F.year("date").alias("year"))
-        .repartition(*keys)
-        .sortWithinPartitions("symbol", "date")
+        .hint("rebalance", *keys)
+        .sortWithinPartitions("symbol", "year", "date")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*layout)
@@ -133,10 +143,9 @@ def publish_bars(bars: DataFrame, root: str) -> DataFrame:
     _stop_on(bar_violations(staged), "staged bars break the contract")
 
     symbols = staged.select("symbol").distinct()
-    before = read_bars(spark, root).join(symbols, "symbol", "left_semi")
-    write_bars(before, kept)
+    write_bars(rows_of_symbols(spark, root, symbols), kept)
     write_bars(staged, root, mode="overwrite")
-    live = read_bars(spark, root).join(symbols, "symbol", "left_semi")
+    live = rows_of_symbols(spark, root, symbols)
     try:
         _stop_on(publish_violations(staged, live), "published bars differ from the staged ones")
     except ValueError:
@@ -175,5 +184,5 @@ def trades_from_lineitem(lineitem: DataFrame, part: DataFrame, grain: str = "wee
 
 __all__ = [
     "bars_from_trades", "has_files", "land_raw", "publish_bars", "read_bars", "read_bars_window",
-    "read_history", "read_symbol", "trades_from_lineitem", "window_duplicates", "write_bars",
+    "read_history", "read_symbol", "rows_of_symbols", "trades_from_lineitem", "window_duplicates", "write_bars",
 ]

@@ -13,17 +13,16 @@ from .bars import has_files
 KEY = ["factor_name", "factor_version", "year", "as_of_date"]
 
 
-def write_panels(panel: DataFrame, root: str, files_per_date: int = 1) -> None:
+def write_panels(panel: DataFrame, root: str) -> None:
     """Replaces exactly the dates being written; every other stored date stays.
 
-    A date is one file of one row per symbol; raise ``files_per_date`` for universes too
-    large to write in one task.
+    The rebalance hint gathers small dates into one task and splits a date too large for one.
     """
     (
         panel.select("symbol", "raw_value", "is_eligible", "factor_name", "factor_version",
                      F.year("as_of_date").alias("year"), "as_of_date")
-        .repartition("as_of_date", F.pmod(F.xxhash64("symbol"), F.lit(files_per_date)))
-        .sortWithinPartitions("factor_name", "factor_version", "as_of_date", "symbol")
+        .hint("rebalance", F.col("as_of_date"))
+        .sortWithinPartitions("factor_name", "factor_version", "year", "as_of_date", "symbol")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*KEY).parquet(root)
     )

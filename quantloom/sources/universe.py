@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bool_word, clean_text
 from ..operators.panel import dense_grid
+from ..operators.ranking import checked_bound, running_total
 from ..schemas import UNIVERSE
 
 
@@ -69,23 +70,18 @@ def active_pool(normalized: DataFrame) -> DataFrame:
 
 
 def with_ord(symbols: DataFrame) -> DataFrame:
-    """Numbers distinct symbols in symbol order, exactly, without one task seeing them all.
-
-    Symbols are numbered inside their two-letter prefix and shifted by the prefixes before.
-    """
-    lead = F.substring("symbol", 1, 2)
-    marked = symbols.withColumn("lead_", lead)
-    inside = Window.partitionBy("lead_").orderBy("symbol")
-    sizes = marked.groupBy("lead_").agg(F.count("*").alias("size_"))
-    before = Window.orderBy("lead_").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.withColumn("shift_", F.coalesce(F.sum("size_").over(before), F.lit(0))).drop("size_")
-    return (
-        marked.withColumn("local_", F.row_number().over(inside))
-        .join(shift, "lead_")
-        .select("symbol", (F.col("local_") + F.col("shift_")).cast("bigint").alias("ord"))
+    """Numbers distinct symbols in symbol order: one window when their checked count allows it,
+    else prefix counts over range-partitioned slices."""
+    ranked = running_total if checked_bound(symbols) is None else _counted
+    return ranked(symbols, [], [F.col("symbol")], F.lit(1), "ord").select(
+        "symbol", F.col("ord").cast("bigint").alias("ord")
     )
 
 
+def _counted(df: DataFrame, keys, order, amount, out: str) -> DataFrame:
+    return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+
+
 def static_snapshot(normalized: DataFrame, dates: DataFrame, source: str = "static") -> DataFrame:
     """The same pool on every date. Today's members stand in for the past, so results carry
     survivorship bias."""

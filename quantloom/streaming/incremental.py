@@ -10,7 +10,7 @@ from ..operators.bars import parse_raw
 from ..functions import valid_symbol
 from ..operators.merge import merge_bars, union_windows
 from ..session import scratch_path
-from ..sources.bars import publish_bars, read_bars
+from ..sources.bars import publish_bars, rows_of_symbols
 
 
 def fold_batch(batch: DataFrame, root: str) -> None:
@@ -27,7 +27,7 @@ def fold_batch(batch: DataFrame, root: str) -> None:
     fresh = spark.read.parquet(staged)
     if fresh.isEmpty():
         return
-    touched = read_bars(spark, root).join(fresh.select("symbol").distinct(), "symbol", "left_semi")
+    touched = rows_of_symbols(spark, root, fresh)
     publish_bars(merge_bars(touched, fresh), root)
 
 
