@@ -238,3 +238,28 @@ def test_stream_equals_batch(spark):
         incremental_bars(spark, f"{base}/raw", first.schema, f"{base}/live", f"{base}/checkpoint").awaitTermination()
     got = rows(bar_io.read_bars(spark, f"{base}/live"), "date", "close")
     assert got == [(JAN[0], 10.0), (JAN[1], 11.0), (JAN[2], 50.0), (JAN[3], 60.0)]
+
+
+def test_sliced_lag_equals_the_plain_one(spark):
+    from datetime import timedelta
+
+    data = [(s, date(2021, 11, 1) + timedelta(days=37 * i), 10.0 + (i * 7) % 5, 1) for s in "AB" for i in range(30)]
+    plain = standard(spark, *data)
+    sliced = bar_ops.derive_features_sliced(plain.drop("daily_return", "dollar_volume"))
+    assert rows(sliced, *plain.columns) == rows(plain)
+
+
+def test_many_symbols_fall_back_to_a_join(spark, monkeypatch):
+    root = scratch_path(spark, "bars")
+    bar_io.write_bars(standard(spark, *[(f"S{i}", JAN[0], 1 + i, 1) for i in range(4)]), root)
+    some = spark.createDataFrame([("S1",), ("S2",), ("GONE",)], "symbol string")
+    few = rows(bar_io.rows_of_symbols(spark, root, some), "symbol")
+    monkeypatch.setattr(bar_io, "PRUNE_LIMIT", 1)
+    assert few == rows(bar_io.rows_of_symbols(spark, root, some), "symbol") == [("S1",), ("S2",)]
+
+
+def test_large_universes_are_numbered_in_slices(spark, monkeypatch):
+    names = [f"S{i:03d}" for i in range(60)]
+    monkeypatch.setattr(universe, "checked_bound", lambda df: None)
+    df = universe.with_ord(spark.createDataFrame([(n,) for n in reversed(names)], "symbol string"))
+    assert rows(df, "ord", "symbol") == [(i + 1, n) for i, n in enumerate(names)]
