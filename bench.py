@@ -19,7 +19,7 @@ HEADLINE = [
     "top_n_by_factor", "capped_score_weights", "portfolio_transition", "fill_orders",
     "weekly_schedule", "prev_session_or_same", "panel_range_scan", "factor_research", "portfolio_run",
 ]
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def main() -> None:

@@ -16,6 +16,7 @@ from ..operators.weights import capped_score_weights, target_cash, weight_refusa
 from ..session import durable
 
 Strategy = Callable[[DataFrame], DataFrame]  # panel of all dates -> result of all dates
+Rule = Callable[[DataFrame, float, float], DataFrame]  # (selected, cash, cap) -> rows of all dates
 
 
 def _stop_on(problems: DataFrame, what: str) -> None:
@@ -44,15 +45,19 @@ def strategy_run(
 def portfolio_run(
     result: DataFrame, cash: float, cap: float,
     state: DataFrame | None = None, state_cash: DataFrame | None = None,
+    construct: Rule = capped_score_weights, refuse: Rule = weight_refusals,
 ) -> dict[str, DataFrame]:
     """Targets, moves and totals of every date that can be weighted.
 
+    ``construct`` may be any rule that returns positions, with ``refuse`` naming the dates it
+    cannot weight.
+
     Without an explicit ``state`` each date starts from the target of the date before, and the
     first one from cash.
     """
     selected = selected_scores(result)
-    refused = durable(weight_refusals(selected, cash, cap), "refusals")
-    target = durable(capped_score_weights(selected, cash, cap), "target")
+    refused = durable(refuse(selected, cash, cap), "refusals")
+    target = durable(construct(selected, cash, cap), "target")
     wanted_cash = durable(
         target_cash(result, cash).join(refused.select("as_of_date").distinct(), "as_of_date", "left_anti"),
         "target-cash",

@@ -56,7 +56,7 @@ def fn_day_normalize(m: Market):
 
 
 @query("fn_calendar_parts", """
-SELECT o_orderkey, CAST(date_trunc('week', o_orderdate) AS DATE) AS week, isodow(o_orderdate) - 1 AS weekday,
+SELECT o_orderkey, CAST(date_trunc('week', o_orderdate) AS DATE) AS week, CAST(isodow(o_orderdate) - 1 AS INT) AS weekday,
        last_day(o_orderdate) AS month_end FROM orders""", dates=["week", "month_end"])
 def fn_calendar_parts(m: Market):
     return m.table("orders").select(
@@ -112,7 +112,7 @@ def fn_transition_status(m: Market):
 
 @query("fn_json_array", """
 SELECT p_partkey, '["' || p_brand || '","' || p_type || '"]' AS encoded,
-       p_brand || '|' || p_type AS decoded, NULL AS repeated FROM part""")
+       p_brand || '|' || p_type AS decoded, CAST(NULL AS VARCHAR) AS repeated FROM part""")
 def fn_json_array(m: Market):
     texts = F.array("p_brand", "p_type")
     encoded = fn.encode_texts(texts)

@@ -257,13 +257,12 @@ class Market:
 
     @cached_property
     def held_dates(self) -> DataFrame:
-        """Published days with a late start, an early end, holes, and symbols never loaded."""
-        rows = self.stored_bars.select("symbol", "date").join(self.calendar, F.col("date") == F.col("session"))
+        """Published days: late starts, early ends, light weeks missing, some symbols never loaded."""
+        rows = self.stored_bars.select("symbol", "date", "volume").join(self.calendar, F.col("date") == F.col("session"))
         rows = rows.join(self.pool, "symbol")
         keep = (
-            (F.col("ord") <= 22) & (F.col("sid") >= 5 + 2 * F.col("ord"))
-            & (F.col("sid") <= self.last_sid - F.pmod(F.col("ord"), F.lit(12)))
-            & ~F.pmod(F.col("sid"), F.lit(37)).isin(5, 6)
+            (F.col("ord") <= 22) & (F.col("volume") >= 60)
+            & (F.col("sid") >= 5 + 2 * F.col("ord")) & (F.col("sid") <= self.last_sid - F.col("ord"))
         )
         return durable(rows.where(keep).select("symbol", "date"), "held")
 

@@ -103,7 +103,7 @@ def _months(m: Market):
 
 @query("factor_batch", f"""
 SELECT as_of_date, CASE WHEN as_of_date < DATE '2000-01-01' THEN 'hit' ELSE 'miss' END AS outcome,
-       'succeeded' AS status, 0 AS problems FROM {MONTHS}""", dates=["as_of_date"])
+       'succeeded' AS status, CAST(0 AS BIGINT) AS problems FROM {MONTHS}""", dates=["as_of_date"])
 def factor_batch(m: Market):
     """Half of the months are stored by a first run, the second computes the rest."""
     job = _job(m)
@@ -168,7 +168,7 @@ def portfolio_run(m: Market):
 
 
 @query("portfolio_from_cash", """
-SELECT c.as_of_date, coalesce(w, 0) AS buy_weight, 0.0 AS sell_weight, cash_weight - 1.0 AS cash_weight_change,
+SELECT c.as_of_date, coalesce(w, 0) AS buy_weight, CAST(0.0 AS DOUBLE) AS sell_weight, cash_weight - 1.0 AS cash_weight_change,
        0.5 * (coalesce(w, 0) + abs(cash_weight - 1.0)) AS turnover
 FROM o_cash c LEFT JOIN (SELECT as_of_date, sum(weight) AS w FROM o_pos GROUP BY as_of_date) USING (as_of_date)
 """, dates=["as_of_date"], rounded=["buy_weight", "cash_weight_change", "turnover"])

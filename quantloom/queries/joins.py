@@ -67,11 +67,13 @@ def dense_cross_section(m: Market):
     return dense_grid(m.pool, m.dates)
 
 
-SOME = "(SELECT symbol FROM o_pool WHERE ord % 3 <> 0)"
+SOME = "(SELECT DISTINCT upper(replace(p_brand, '#', '.')) AS symbol FROM part WHERE p_size = 50)"
 
 
 def _some(m: Market):
-    return m.pool.where("ord % 3 <> 0")
+    """Brands that make a part of the largest size."""
+    symbol = F.upper(F.replace("p_brand", F.lit("#"), F.lit("."))).alias("symbol")
+    return m.table("part").where("p_size = 50").select(symbol).distinct()
 
 
 @query("universe_semi", f"SELECT date, symbol, close FROM o_bars WHERE symbol IN {SOME}", dates=["date"])

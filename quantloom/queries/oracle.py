@@ -105,7 +105,7 @@ FROM o_panel GROUP BY as_of_date, factor_name, factor_version""",
 SELECT p.as_of_date, 'top_n_by_factor' AS strategy_name, '1.0.0' AS strategy_version, p.symbol, p.ord,
        p.raw_value AS score, r.rank, coalesce(r.rank <= 5, FALSE) AS is_selected
 FROM o_panel p LEFT JOIN (
-  SELECT as_of_date, symbol, row_number() OVER (PARTITION BY as_of_date ORDER BY raw_value DESC, symbol) AS rank
+  SELECT as_of_date, symbol, CAST(row_number() OVER (PARTITION BY as_of_date ORDER BY raw_value DESC, symbol) AS INT) AS rank
   FROM o_panel WHERE raw_value IS NOT NULL) r USING (as_of_date, symbol)""",
     "o_sel": "SELECT as_of_date, symbol, ord, score FROM o_result WHERE is_selected",
     "o_refused": """
@@ -129,15 +129,15 @@ SELECT f.as_of_date, f.symbol, f.ord, f.score,
 FROM o_fill1 f JOIN o_fill2 k USING (as_of_date)
 LEFT JOIN o_fill1 t ON t.as_of_date = f.as_of_date AND t.i = k.k""",
     "o_cash": """
-SELECT as_of_date, CASE WHEN bool_or(is_selected) THEN 0.05 ELSE 1.0 END AS cash_weight
+SELECT as_of_date, CAST(CASE WHEN bool_or(is_selected) THEN 0.05 ELSE 1.0 END AS DOUBLE) AS cash_weight
 FROM o_result WHERE as_of_date NOT IN (SELECT as_of_date FROM o_refused) GROUP BY as_of_date""",
     "o_next": "SELECT as_of_date, cash_weight, lead(as_of_date) OVER (ORDER BY as_of_date) AS next_date FROM o_cash",
     "o_state": "SELECT n.next_date AS as_of_date, p.symbol, p.ord, p.weight FROM o_pos p JOIN o_next n USING (as_of_date) WHERE n.next_date IS NOT NULL",
-    "o_scash": "SELECT as_of_date, coalesce(lag(cash_weight) OVER (ORDER BY as_of_date), 1.0) AS cash_weight FROM o_cash",
+    "o_scash": "SELECT as_of_date, CAST(coalesce(lag(cash_weight) OVER (ORDER BY as_of_date), 1.0) AS DOUBLE) AS cash_weight FROM o_cash",
     "o_move": """
 SELECT as_of_date, symbol, coalesce(s.weight, 0.0) AS current_weight, coalesce(t.weight, 0.0) AS target_weight,
        coalesce(t.weight, 0.0) - coalesce(s.weight, 0.0) AS weight_change,
-       row_number() OVER (PARTITION BY as_of_date ORDER BY t.ord IS NULL, coalesce(t.ord, s.ord)) AS position
+       CAST(row_number() OVER (PARTITION BY as_of_date ORDER BY t.ord IS NULL, coalesce(t.ord, s.ord)) AS INT) AS position
 FROM o_pos t FULL JOIN o_state s USING (as_of_date, symbol)""",
     "o_events": """
 SELECT o_cash.as_of_date AS decision_date, n.session AS execution_date
@@ -156,7 +156,7 @@ SELECT *, fill_price * quantity AS gross_notional,
             ELSE fill_price * quantity - transaction_cost END AS cash_change
 FROM (SELECT o.*, o.scheduled_fill_date AS fill_date,
              b.open * CASE WHEN side = 'BUY' THEN 1.0 + 0.0005 ELSE 1.0 - 0.0005 END AS fill_price,
-             1.0 AS transaction_cost
+             CAST(1.0 AS DOUBLE) AS transaction_cost
       FROM o_orders o JOIN o_bars b ON b.symbol = o.symbol AND b.date = o.scheduled_fill_date)""",
     "o_bsid": "SELECT b.*, c.sid, (SELECT max(sid) FROM o_cal) AS top FROM o_std b JOIN o_cal c ON c.session = b.date",
     "o_published": "SELECT * FROM o_bsid WHERE sid <= top - 10",
@@ -175,7 +175,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY arrival DE
 WHERE pick = 1""",
     "o_held": """
 SELECT b.symbol, b.date, b.sid FROM o_bsid b JOIN o_pool USING (symbol)
-WHERE ord <= 22 AND b.sid >= 5 + 2 * ord AND b.sid <= top - ord % 12 AND b.sid % 37 NOT IN (5, 6)""",
+WHERE ord <= 22 AND b.volume >= 60 AND b.sid >= 5 + 2 * ord AND b.sid <= top - ord""",
     "o_wins": "SELECT session, sid FROM o_cal WHERE session BETWEEN DATE '1995-03-01' AND DATE '2001-10-15'",
     "o_missing": """
 SELECT s.symbol, w.session, w.sid,

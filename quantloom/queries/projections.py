@@ -48,11 +48,12 @@ def usable(m: Market):
     return m.damaged.select("date", F.lower("symbol").alias("ticker"), usable_price("adjusted_close").alias("price"))
 
 
-WANTED = "(SELECT DISTINCT upper(trim(symbol)) AS symbol FROM o_master WHERE line % 10000000000 < 500)"
+WANTED = "(SELECT DISTINCT 'S' || s_suppkey AS symbol FROM supplier)"
 
 
 def _requested(m: Market):
-    return m.messy_master.where("line % 10000000000 < 500").select("symbol")
+    """Every supplier, spelled loosely."""
+    return m.table("supplier").select(F.concat(F.lit(" s"), F.col("s_suppkey").cast("string")).alias("symbol"))
 
 
 @query("select_universe_entries", f"""
