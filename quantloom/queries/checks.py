@@ -353,10 +353,10 @@ def fill_violations(m: Market):
 SELECT 'out_of_order' AS rule, order_id AS key, CAST(position AS DOUBLE) AS value FROM (
   SELECT order_id, position, row_number() OVER (PARTITION BY fill_date ORDER BY order_id) AS a,
          row_number() OVER (PARTITION BY fill_date ORDER BY position) AS b
-  FROM (SELECT f.order_id, f.fill_date, p.ord AS position FROM o_fills f JOIN o_pool p USING (symbol))) WHERE a <> b""")
+  FROM (SELECT f.order_id, f.fill_date, -p.ord AS position FROM o_fills f JOIN o_pool p USING (symbol))) WHERE a <> b""")
 def history_order_violations(m: Market):
-    """Fills listed in reverse-numbered universe order against their promised id order."""
-    listed = m.fills.join(m.pool, "symbol").withColumnRenamed("ord", "position")
+    """Fills listed in reverse universe order against their promised id order."""
+    listed = m.fills.join(m.pool, "symbol").withColumn("position", -F.col("ord"))
     return contracts.history_order_violations(listed, "order_id", "fill_date", "order_id")
 
 

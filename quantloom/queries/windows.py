@@ -90,9 +90,13 @@ def capped_score_weights(m: Market):
     return m.positions
 
 
-@query("weight_refusals", "SELECT * FROM o_refused", dates=["as_of_date"])
+@query("weight_refusals", """
+SELECT CASE WHEN score > 0 THEN 'infeasible_cap' ELSE 'non_positive_score' END AS rule, as_of_date, symbol
+FROM o_result WHERE rank <= 20 AND score <= 0""", dates=["as_of_date"])
 def refusals(m: Market):
-    return weight_refusals(m.selected, CASH, CAP)
+    """Twenty names a date reach down to falling prices, which have no positive share."""
+    wide = selection.top_n_by_factor(m.stored_panel, 20, m.bound)
+    return weight_refusals(selection.selected_scores(wide), CASH, CAP)
 
 
 @query("date_monotonic", """
