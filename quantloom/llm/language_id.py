@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shingles import mix
+from .tables import emit, inputs, results
 from .words import Lexicon, slices
 
 _LETTERS = regex.compile(r"\p{L}+")
@@ -81,6 +82,14 @@ class KneserNey:
                 model.contexts.append(_pack([(w[n], lambda g: 1.0) for _, w in fitted]))
         return model
 
+    def limit(self, lang: str, events: int, z: float) -> float:
+        """The largest loss per event with which a text of that many events is taken for the language."""
+        if lang not in self.limits:
+            return np.inf
+        mean, spread, per_event = self.limits[lang]
+        worst = -float(np.log(self.unseen[self.languages.index(lang)]))
+        return mean + max(z * np.sqrt(spread + per_event / events), (worst - mean) / 2)
+
     def log_probs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Summed natural log-probabilities per run and language, and the number of events of each run."""
         hashes, place = gram_hashes(runs, self.order)
@@ -295,31 +304,30 @@ def _identify(shared, z: float):
                     names.append(lang)
                     scores.append(float(1 / np.exp(-(loss - loss[best]) * min(n, 100)).sum()))
                     losses.append(float(loss[best]))
-                    mean, spread, per_event = model.limits.get(lang, (np.inf, 0.0, 0.0))
-                    rejected.append(bool(loss[best] > mean + z * np.sqrt(spread + per_event / n)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                     pa.array(losses, pa.float64()), pa.array(events), pa.array(rejected, pa.bool_())],
-                    names=["doc_id", "lang_pred", "score", "cross_entropy", "events", "rejected"])
+                    rejected.append(bool(loss[best] > model.limit(lang, n, z)))
+                yield emit(
+                    part, lang_pred=pa.array(names, pa.string()), score=pa.array(scores, pa.float64()),
+                    cross_entropy=pa.array(losses, pa.float64()), events=pa.array(events), rejected=pa.array(rejected, pa.bool_()))
 
     return run
 
 
-def identify(docs: DataFrame, model: KneserNey, z: float = 8.0) -> DataFrame:
+def identify(docs: DataFrame, model: KneserNey, z: float = 8.0, carry: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score, cross_entropy, events, rejected.
 
     The prediction is the language with the lowest cross-entropy per character event (ties: the first by name); runs
     of letters are scored in lower case between a start and an end mark. ``score`` is the softmax share of
     the winner, with the evidence of at most 100 events. A document is rejected when its loss lies more than ``z`` calibrated
-    deviations above its language's mean; the deviation has a part that shrinks with the number of events, so short texts
-    are not rejected for being short.
+    deviations above its language's mean and nearer to the loss of unknown characters than to that mean; the deviation has
+    a part that shrinks with the number of events, so short texts are not rejected for being short.
 
     Texts that are null or have no letter get ``und``, score 0 and are rejected, as do all texts when no language was
-    learned. Only the text is read. Repeated rows each give a row; an empty table gives none. One map over the
+    learned. Only the text is read; with ``carry`` the whole row comes along as ``document``. Repeated rows each give a row; an empty table gives none. One map over the
     rows, no shuffle; the broadcast model is bounded by ``max_grams`` per language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_identify(shared, z), _RESULT)
+    given = inputs(docs, carry)
+    return given.mapInArrow(_identify(shared, z), results(_RESULT, given))
 
 
 def held_out(column: str = "doc_id"):

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import language_id, toxicity
 from .exact_dedup import exact_dedup
+from .language_id import held_out
 from .near_dedup import near_dedup
 from .packing import pack
 from .token_counts import token_counts
@@ -55,3 +58,19 @@ def op3_token_counts(spark, sf_dir):
 def op4_packing(spark, sf_dir):
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.select("doc_id", "text").where(~held_out()).join(labels, "doc_id"))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted", "spans")
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(~held_out()))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quantloom.session import scratch_path
 
@@ -42,6 +44,21 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def with_extra(docs: DataFrame, *names: str) -> DataFrame:
-    """The named columns only: whatever else the table has cannot clash with an operator's own names."""
-    return docs.select(*(F.col(f"`{n}`") for n in names))
+def inputs(docs: DataFrame, carry: bool) -> DataFrame:
+    """(doc_id, text), and with ``carry`` the whole row as the struct ``document``, so that no name can clash."""
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text")]
+    return docs.select(*columns, *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document")] if carry else []))
+
+
+def results(schema: str, given: DataFrame) -> T.StructType:
+    """The result columns, and ``document`` where the input carries it."""
+    out = T.StructType(list(T.StructType.fromDDL(schema).fields))
+    return out.add("document", given.schema["document"].dataType) if "document" in given.columns else out
+
+
+def emit(part: pa.RecordBatch, **columns) -> pa.RecordBatch:
+    """doc_id of ``part``, the given columns, and ``document`` where ``part`` carries it."""
+    out = {"doc_id": part.column("doc_id"), **columns}
+    if "document" in part.schema.names:
+        out["document"] = part.column("document")
+    return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
