@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import language_id, toxicity
 from .exact_dedup import exact_dedup
+from .embedding_dedup import near_vectors
 from .language_id import held_out
 from .near_dedup import near_dedup
 from .packing import pack
@@ -74,3 +75,8 @@ def op10_language_id(spark, sf_dir):
     model = language_id.train(docs.where(~held_out()))
     found = language_id.identify(docs, model)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@query
+def op6_embedding_near_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .near_dedup import signatures
+from .shingles import Shingler
 from .tables import emit, inputs, results
 from .words import Lexicon, slices
 
@@ -29,14 +31,14 @@ def normal(chunk: bytes) -> str:
 
 def stems(word: str) -> list[str]:
     """The word and its beginnings, by which labelled documents are turned into labelled tokens."""
-    return [f"w {word}"] + [f"{k} {word[:k]}" for k in (4, 5, 6) if len(word) > k]
+    return [f"w {word}"] + [f"{k} {word[:k]}" for k in range(4, 9) if len(word) > k]
 
 
 def features(word: str) -> list[str]:
-    return [f"w {word}", f"p3 {word[:3]}", f"p4 {word[:4]}", f"p5 {word[:5]}", f"s3 {word[-3:]}", f"l {min(len(word), 12)}", "b"]
+    return [f"w {word}", *(f"p{k} {word[:k]}" for k in range(3, 9)), f"s3 {word[-3:]}", "b"]
 
 
-N_FEATURES = 7
+N_FEATURES = 9
 
 
 def feature_ids(words: list[str]) -> np.ndarray:
@@ -75,9 +77,10 @@ def forward_backward(odds: np.ndarray, mask: np.ndarray, moves: np.ndarray) -> t
 class ChainModel:
     """Emission weights over hashed features, and a 2 x 2 matrix of transition scores (the 0 -> 0 score is 0)."""
 
-    def __init__(self, weights: np.ndarray | None = None, moves: np.ndarray | None = None):
+    def __init__(self, weights: np.ndarray | None = None, moves: np.ndarray | None = None, calibration: np.ndarray | None = None):
         self.weights = np.zeros(DIMENSIONS, np.float32) if weights is None else weights
         self.moves = np.zeros((2, 2)) if moves is None else moves
+        self.calibration = np.array([-8.0, 0, 0, 0, 0]) if calibration is None else calibration
 
     def summary(self) -> dict:
         return {"nonzero": int(np.count_nonzero(self.weights)), "moves": self.moves.round(2).tolist()}
@@ -95,6 +98,11 @@ class ChainModel:
         both = (forward * backward)[chain, place]
         return both / (1 + both)
 
+    def scores(self, marginals: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Documents' probabilities of being toxic from their words' marginals; 0 for texts without words."""
+        x = evidence_of(marginals, counts) @ self.calibration
+        return np.where(counts > 0, 1 / (1 + np.exp(-np.clip(x, -30, 30))), 0.0)
+
     @staticmethod
     def _grid(scores, chain, place):
         mask = np.zeros((int(chain[-1]) + 1, CHAIN), bool)
@@ -103,7 +111,7 @@ class ChainModel:
         odds[chain, place] = np.exp(np.clip(scores, -30, 30))
         return odds, mask
 
-    def fit(self, words: list[str], tokens: np.ndarray, counts: np.ndarray, labels: np.ndarray, rounds: int = 60, decay: float = 1e-6):
+    def fit(self, words: list[str], tokens: np.ndarray, counts: np.ndarray, labels: np.ndarray, rounds: int = 40, decay: float = 1e-6):
         """Maximises the conditional log-likelihood of the labelled tokens by gradient steps of adaptive size (Adam)."""
         ids = feature_ids(words)
         used, packed = np.unique(ids, return_inverse=True)
@@ -142,19 +150,30 @@ class ChainModel:
         return self
 
 
-def label_tokens(docs: list[list[str]], toxic: list[int], support: float = 0.03, margin: float = 3.0) -> list[set[str]]:
-    """Per document its words that count as toxic: in toxic documents, those with a stem that at least ``support`` of the toxic
-    documents contain (4 at least) and whose smoothed log-odds of toxic against clean documents exceed ``margin``."""
+def _marks(words: list[str]) -> dict[str, list[str]]:
+    """The document's words by stem, and by "several words of the stem" where it has two occurrences or more."""
+    by_stem: dict[str, list[str]] = {}
+    for w in words:
+        for s in stems(w):
+            by_stem.setdefault(s, []).append(w)
+    return by_stem | {f"several {s}": found for s, found in by_stem.items() if len(found) > 1}
+
+
+def label_tokens(docs: list[list[str]], toxic: list[int], evidence: float = 30.0, margin: float = 1.5) -> list[set[str]]:
+    """Per document its words that count as toxic: in toxic documents, those whose stem, or repeated stem, has smoothed log-odds
+    of toxic against clean documents above ``margin`` and counts that are no accident (likelihood ratio of ``evidence`` or more)."""
     seen = (Counter(), Counter())
     for words, y in zip(docs, toxic):
-        seen[y].update({s for w in set(words) for s in stems(w)})
+        seen[y].update(_marks(words).keys())
     n0, n1 = toxic.count(0), toxic.count(1)
-    least = max(4, support * n1)
-    marked = {
-        s for s, c in seen[1].items()
-        if c >= least and np.log((c + 0.5) / (n1 + 1)) - np.log((seen[0][s] + 0.5) / (n0 + 1)) > margin
-    }
-    return [{w for w in set(words) if w and any(s in marked for s in stems(w))} if y else set() for words, y in zip(docs, toxic)]
+    marked = set()
+    for s, c1 in seen[1].items():
+        c0 = seen[0][s]
+        if np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1)) > margin:
+            ratio = c1 * np.log(c1 * (n0 + n1) / ((c0 + c1) * n1)) + (c0 * np.log(c0 * (n0 + n1) / ((c0 + c1) * n0)) if c0 else 0)
+            if 2 * ratio >= evidence:
+                marked.add(s)
+    return [{w for s, found in _marks(words).items() if s in marked for w in found} - {""} if y else set() for words, y in zip(docs, toxic)]
 
 
 def train(labelled: DataFrame, max_docs: int = 1500) -> ChainModel:
@@ -169,13 +188,68 @@ def train(labelled: DataFrame, max_docs: int = 1500) -> ChainModel:
     toxic: list[int] = []
     for y in (0, 1):
         sample = rows.where(F.col("toxic") == y).orderBy(*order).limit(max_docs)
-        for row in sample.select("text").toLocalIterator():
-            docs.append([normal(c) for c in (row.text or "").encode("utf-8", "surrogatepass").split()])
+        for text in unlike([row.text or "" for row in sample.select("text").toLocalIterator()]):
+            docs.append([normal(c) for c in text.encode("utf-8", "surrogatepass").split()])
             toxic.append(y)
     return fit(docs, toxic)
 
 
+def unlike(texts: list[str]) -> list[str]:
+    """The texts without near copies of earlier ones, whose shared rare words would pass for toxic ones: a text goes when
+    one of four MinHash values of its three-word shingles has been seen."""
+    sets = Shingler(3).sets(texts)
+    some = [i for i, s in enumerate(sets) if len(s)]
+    seen: set = set()
+    kept = []
+    for i, values in zip(some, signatures([sets[i] for i in some], 4).tolist()):
+        marks = set(enumerate(values))
+        if not marks & seen:
+            kept.append(texts[i])
+        seen |= marks
+    return kept
+
+
+def evidence_of(marginals: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Per document: 1, the log-odds of its most toxic word, and the logarithms of its expected number and share of toxic words
+    and of its length."""
+    out = np.zeros((len(counts), 5))
+    out[:, 0] = 1
+    some = counts > 0
+    if some.any():
+        n = counts[some]
+        starts = (np.cumsum(counts) - counts)[some]
+        high = np.clip(np.maximum.reduceat(marginals, starts), 1e-9, 1 - 1e-9)
+        expected = np.add.reduceat(np.where(marginals >= 0.05, marginals, 0.0), starts)
+        out[some, 1:] = np.column_stack([np.clip(np.log(high / (1 - high)), -8, 8), np.log1p(expected), np.log(expected / n + 1e-4), np.log(n)])
+    return out
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, decay: float = 0.1, rounds: int = 30) -> np.ndarray:
+    """Logistic regression by Newton steps, weakly regularised."""
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (y - p) - decay * w
+        curve = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + decay * np.eye(len(w))
+        w = w + np.linalg.solve(curve, slope)
+    return w
+
+
 def fit(docs: list[list[str]], toxic: list[int]) -> ChainModel:
+    """The field on all documents; its document calibration on those of a third, under a field fitted on the others."""
+    if len(set(toxic)) < 2:
+        return ChainModel()
+    third = [i for i in range(len(docs)) if i % 3 == 0]
+    others = [i for i in range(len(docs)) if i % 3]
+    trial = _fit_field([docs[i] for i in others], [toxic[i] for i in others])
+    counts = np.array([len(docs[i]) for i in third], np.int64)
+    p = trial.marginals(trial.emissions([w for i in third for w in docs[i]]), counts)
+    model = _fit_field(docs, toxic)
+    model.calibration = calibrate(evidence_of(p, counts), np.array([toxic[i] for i in third], float))
+    return model
+
+
+def _fit_field(docs: list[list[str]], toxic: list[int]) -> ChainModel:
     marked = label_tokens(docs, toxic)
     index: dict[str, int] = {}
     tokens = np.array([index.setdefault(w, len(index)) for words in docs for w in words], np.int64)
@@ -187,8 +261,7 @@ def fit(docs: list[list[str]], toxic: list[int]) -> ChainModel:
 
 def _score(shared, threshold: float, least: float):
     def run(batches):
-        weights, moves = shared.value
-        model = ChainModel(weights, moves)
+        model = ChainModel(*shared.value)
 
         def compute(chunks):
             return model.emissions([normal(c) for c in chunks]), np.ones(len(chunks), np.int64)
@@ -203,13 +276,13 @@ def _score(shared, threshold: float, least: float):
                 scores = lexicon.values[lexicon.starts[rows]] if len(rows) else np.zeros(0)
                 p = model.marginals(scores, counts)
                 ends = np.cumsum(counts)
-                out, spans = [], []
+                out = model.scores(p, counts)
+                spans = []
                 for text, n, end in zip(texts, counts.tolist(), ends.tolist()):
-                    mine = p[end - n:end]
-                    out.append(float(mine.max()) if n else 0.0)
-                    spans.append(_spans(text, np.flatnonzero(mine >= least)) if n and out[-1] >= least else [])
+                    at = np.flatnonzero(p[end - n:end] >= least)
+                    spans.append(_spans(text, at) if len(at) else [])
                 yield emit(
-                    part, score=pa.array(out, pa.float64()), predicted=pa.array([int(s >= threshold) for s in out], pa.int32()),
+                    part, score=pa.array(out, pa.float64()), predicted=pa.array((out >= threshold).astype(np.int32)),
                     spans=pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
 
     return run
@@ -236,10 +309,10 @@ def score(docs: DataFrame, model: ChainModel, threshold: float = 0.3, span_thres
     """One row per row of ``docs``: doc_id, score, predicted (score >= ``threshold``), spans (start, end in code points).
 
     Every word of the whole text gets its marginal probability of being toxic by forward-backward over its chain of
-    at most 64 words; the document's score is the largest marginal and its spans are the words of at least
-    ``span_threshold``. Null and empty texts score 0 and have no spans. Only the text is read; with
+    at most 64 words. The document's score is a calibrated function of the largest marginal and of the expected number and
+    share of toxic words; its spans are the words whose marginal is ``span_threshold`` or more. Null and empty texts score 0 and have no spans. Only the text is read; with
     ``carry`` the whole row comes along as ``document``. Repeated rows each give a row; an empty table gives none. One map over the rows with a broadcast model of fixed size (4 MB), no shuffle.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.moves))
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.moves, model.calibration))
     given = inputs(docs, carry)
     return given.mapInArrow(_score(shared, threshold, span_threshold), results(_RESULT, given))
