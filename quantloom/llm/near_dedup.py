@@ -18,31 +18,66 @@ from .words import slices
 _FIRST, _SECOND = np.uint32(0x9E3779B9), np.uint32(0x7F4A7C15)
 
 
-def permute(x: np.ndarray, key: np.uint32) -> np.ndarray:
-    """A bijection of 32-bit numbers, chosen by ``key`` (the finalizer of MurmurHash3)."""
-    y = x ^ key
-    y ^= y >> np.uint32(16)
-    y *= np.uint32(0x85EBCA6B)
-    y ^= y >> np.uint32(13)
-    y *= np.uint32(0xC2B2AE35)
-    y ^= y >> np.uint32(16)
-    return y
-
-
-def signatures(sets: list[np.ndarray], size: int) -> np.ndarray:
-    """Circulant MinHash: coordinate k is the minimum of the second permutation, shifted circularly by k,
-    over the set's ids after the first permutation. Every set must have a member."""
-    out = np.empty((len(sets), size), np.uint32)
-    if not sets:
-        return out
-    lengths = np.array([len(s) for s in sets])
-    starts = np.cumsum(lengths) - lengths
-    ids = permute((np.concatenate(sets) >> np.uint64(32)).astype(np.uint32), _FIRST)
-    for k in range(size):
-        out[:, k] = np.minimum.reduceat(permute(ids - np.uint32(k), _SECOND), starts)
+def permute(x: np.ndarray, key: np.uint32, out: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """A bijection of 32-bit numbers, chosen by ``key`` (the finalizer of MurmurHash3), written to ``out``."""
+    np.bitwise_xor(x, key, out=out)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, None)):
+        np.right_shift(out, np.uint32(shift), out=spare)
+        np.bitwise_xor(out, spare, out=out)
+        if factor:
+            np.multiply(out, np.uint32(factor), out=out)
     return out
 
 
+def signatures(values: np.ndarray, sizes: np.ndarray, length: int, chunk: int = 1 << 15) -> np.ndarray:
+    """Circulant MinHash of consecutive sets, none empty: coordinate k is the minimum of the second permutation, shifted
+    circularly by k, over the set's ids after the first permutation. Works on ``chunk`` ids at a time, to stay in cache."""
+    out = np.empty((len(sizes), length), np.uint32)
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(sizes):
+        begin = int(ends[first] - sizes[first])
+        last = max(first + 1, int(np.searchsorted(ends, begin + chunk, side="right")))
+        short = (values[begin:int(ends[last - 1])] >> np.uint64(32)).astype(np.uint32)
+        ids, moved, spare = (np.empty_like(short) for _ in range(3))
+        permute(short, _FIRST, ids, spare)
+        starts = ends[first:last] - sizes[first:last] - begin
+        for k in range(length):
+            np.subtract(ids, np.uint32(k), out=moved)
+            out[first:last, k] = np.minimum.reduceat(permute(moved, _SECOND, moved, spare), starts)
+        first = last
+    return out
+
+
+def nibbles(signature: np.ndarray) -> np.ndarray:
+    """The low four bits of all coordinates, sixteen to a number, for cheap estimates; the tail is zero in every row."""
+    rows, length = signature.shape
+    width = -(-length // 16)
+    low = np.zeros((rows, width * 16), np.uint64)
+    low[:, :length] = signature & np.uint32(15)
+    out = np.zeros((rows, width), np.uint64)
+    for i in range(16):
+        out |= low[:, i::16] << np.uint64(4 * i)
+    return out.view(np.int64)
+
+
+def unlike_at_most(length: int, percent: int) -> int:
+    """Differing nibbles that a pair at the threshold exceeds with probability of about 3 in a million (4.5 deviations)."""
+    p = (1 - percent / 100) * 15 / 16
+    return int(length * p + 4.5 * (length * p * (1 - p)) ** 0.5) + 1
+
+
+def _differing(a, b, width: int):
+    """How many nibbles differ between two arrays of packed nibbles."""
+    total = F.lit(0)
+    for i in range(width):
+        x = a[i].bitwiseXOR(b[i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
 def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key per band; the band's number is part of it."""
     keys = np.empty((len(signature), bands), np.uint64)
@@ -54,7 +89,9 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("keys", pa.list_(pa.int64()))])
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("keys", pa.list_(pa.int64())),
+                     ("sketch", pa.list_(pa.int64()))])
+_SKETCH_SCHEMA = "doc_id long, n_shingles long, set_id binary, keys array<long>, sketch array<long>"
 
 
 def _sketches(width: int, bands: int, rows: int):
@@ -62,17 +99,21 @@ def _sketches(width: int, bands: int, rows: int):
         shingler = Shingler(width)
         for batch in batches:
             for part in slices(batch):
-                sets = shingler.sets(part.column("text").to_pylist())
-                sizes = np.array([len(s) for s in sets], np.int64)
+                values, sizes = shingler.flat(part.column("text").to_pylist())
                 some = np.flatnonzero(sizes)
-                keys = band_keys(signatures([sets[i] for i in some], bands * rows), bands, rows).view(np.int64)
-                lists: list = [None] * len(sets)
-                digests: list = [None] * len(sets)
+                signature = signatures(values, sizes[some], bands * rows)
+                keys = band_keys(signature, bands, rows).view(np.int64)
+                sketch = nibbles(signature)
+                lists: list = [None] * len(sizes)
+                sketches: list = [None] * len(sizes)
+                digests: list = [None] * len(sizes)
+                ends = np.cumsum(sizes)
                 for at, i in enumerate(some.tolist()):
-                    lists[i] = keys[at]
-                    digests[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
+                    lists[i], sketches[i] = keys[at], sketch[at]
+                    digests[i] = hashlib.blake2b(values[ends[i] - sizes[i]:ends[i]].tobytes(), digest_size=16).digest()
+                longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
+                    [part.column("doc_id"), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(lists, longs), pa.array(sketches, longs)],
                     schema=_SKETCH)
 
     return run
@@ -96,7 +137,7 @@ def _confirm(width: int, percent: int):
 
 
 def near_dedup(
-    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, stars: int = 2,
+    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, stars: int = 3,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -105,7 +146,8 @@ def near_dedup(
 
     Candidates share a band of the circulant signature (``bands`` bands of ``rows`` coordinates: a pair at
     the threshold t is missed with probability (1 - t^rows)^bands). Equal sets are one node from the start. A
-    bucket never emits all its pairs: ``stars`` times its members are compared with one centre, and linked
+    bucket never emits all its pairs, and a candidate whose whole signatures differ too much for the threshold is left out before
+    any text moves: ``stars`` times its members are compared with one centre, and linked
     nodes merge; then the members outside a bucket's main component, usually few, are compared with all
     members of other components. So no candidate that could still join two components is left out. Every
     link is confirmed on the full sets of the two whole texts.
@@ -116,12 +158,14 @@ def near_dedup(
     """
     work = Workspace(docs.sparkSession, "near")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    sketched = work.save(texts.mapInArrow(_sketches(width, bands, rows), "doc_id long, n_shingles long, set_id binary, keys array<long>"))
+    sketched = work.save(texts.mapInArrow(_sketches(width, bands, rows), _SKETCH_SCHEMA))
     usable = sketched.where("set_id is not null and doc_id is not null")
     # equal sets have equal keys and sizes; the smallest id stands for all, and copies collapse before the shuffle
     nodes = work.save(usable.groupBy("set_id").agg(
-        F.min("doc_id").alias("node"), F.any_value("n_shingles").alias("n"), F.any_value("keys").alias("keys")))
-    spread = nodes.select("node", "n", F.explode("keys").alias("bucket"))
+        F.min("doc_id").alias("node"), F.any_value("n_shingles").alias("n"), F.any_value("keys").alias("keys"),
+        F.any_value("sketch").alias("sketch")))
+    spread = nodes.select("node", "n", "sketch", F.explode("keys").alias("bucket"))
+    most = unlike_at_most(bands * rows, percent)
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = work.save(spread.join(shared.select("bucket"), "bucket"))
 
@@ -132,22 +176,25 @@ def near_dedup(
             placed = members.withColumn("comp", F.col("node"))
         else:
             placed = work.save(members.join(labels, "node", "left").select(
-                "node", "n", "bucket", F.coalesce("component", "node").alias("comp")))
+                "node", "n", "sketch", "bucket", F.coalesce("component", "node").alias("comp")))
+        other = placed.select("bucket", *(F.col(c).alias(f"other_{c}") for c in ("node", "n", "sketch", "comp")))
+        similar = (
+            (F.col("comp") != F.col("other_comp"))
+            & (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent)
+            & (_differing(F.col("sketch"), F.col("other_sketch"), -(-bands * rows // 16)) <= most)
+        )
+        sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"))
+        main = sizes.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("comps"), F.max_by("comp", "size").alias("main"), F.min_by("low", F.xxhash64("low", F.lit(turn))).alias("pick"),
+            F.min("low").alias("low")).where("comps > 1")
         if turn < stars:
-            pick = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            heads = placed.groupBy("bucket").agg(
-                F.min_by("node", pick).alias("head"), F.min_by("n", pick).alias("head_n"), F.min_by("comp", pick).alias("head_comp"),
-                F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").drop("lo", "hi")
-            pairs = placed.join(heads, "bucket").where("comp <> head_comp")
-            pairs = pairs.select("node", "n", F.col("head").alias("other"), F.col("head_n").alias("other_n"))
+            head = F.col("low") if turn == 0 else F.col("pick")
+            heads = main.select("bucket", head.alias("other_node"))
+            asked = placed.join(other.join(heads, ["bucket", "other_node"]), "bucket").where(similar)
         else:
-            sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
-            main = sizes.groupBy("bucket").agg(F.max_by("comp", F.col("size")).alias("main"), F.count(F.lit(1)).alias("comps"))
-            outside = placed.join(main.where("comps > 1").drop("comps"), "bucket").where("comp <> main").drop("main")
-            inside = placed.select("bucket", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("comp").alias("other_comp"))
-            pairs = outside.join(inside, "bucket").where("comp <> other_comp").select("node", "n", "other", "other_n")
-        pairs = pairs.where(f"least(n, other_n) * 100 >= greatest(n, other_n) * {percent}")
-        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+            outside = placed.join(main.select("bucket", "main"), "bucket").where("comp <> main").drop("main")
+            asked = outside.join(other, "bucket").where(similar)
+        pairs = asked.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
         found = work.save(_verified(work, pairs, texts, width, percent))
         links = found if links is None else links.unionByName(found)
         labels = components(work, links)

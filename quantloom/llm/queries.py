@@ -47,7 +47,7 @@ FROM t JOIN g USING (norm)
 
 @query
 def op2_minhash_near_dedup(spark, sf_dir):
-    return near_dedup(table(spark, sf_dir, "documents"), width=3, percent=85, bands=26, rows=6)
+    return near_dedup(table(spark, sf_dir, "documents"), width=3, percent=85, bands=20, rows=5)
 
 
 @query

@@ -36,26 +36,41 @@ class Shingler:
         self.width = width
         self.lexicon = Lexicon(_hash_words)
 
-    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
+    def flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All sets, one after another, and their sizes."""
         words = [(t or "").encode("utf-8", "surrogatepass").translate(LOWER).split() for t in texts]
-        flat = [w for ws in words for w in ws]
-        rows = self.lexicon.rows(flat)
-        hashes = self.lexicon.values[self.lexicon.starts[rows]] if len(rows) else np.zeros(0, np.uint64)
-        out, at = [], 0
-        for ws in words:
-            out.append(self._set(hashes[at:at + len(ws)]))
-            at += len(ws)
-        return out
-
-    def _set(self, hashes: np.ndarray) -> np.ndarray:
-        n = len(hashes)
-        if n == 0:
-            return np.zeros(0, np.uint64)
-        width = min(self.width, n)
-        total = np.full(n - width + 1, width, np.uint64)
-        for i in range(width):
-            total = mix(total + hashes[i:n - width + 1 + i] * np.uint64(_FACTORS[i % 64]))
-        return np.unique(total)
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        rows = self.lexicon.rows([w for ws in words for w in ws])
+        if not len(rows):
+            return np.zeros(0, np.uint64), counts
+        hashes = self.lexicon.values[self.lexicon.starts[rows]]
+        starts = np.cumsum(counts) - counts
+        widths = np.minimum(counts, self.width)
+        # a shingle starts at every word but the last width - 1 of its text
+        first = np.arange(len(hashes)) - np.repeat(starts, counts) <= np.repeat(counts - widths, counts)
+        at = np.flatnonzero(first)
+        reach = np.repeat(widths, np.where(counts > 0, counts - widths + 1, 0))
+        total = reach.astype(np.uint64)
+        for i in range(self.width):
+            if i and (reach <= i).any():
+                some = reach > i
+                total[some] = mix(total[some] + hashes[at[some] + i] * np.uint64(_FACTORS[i % 64]))
+            else:
+                total = mix(total + hashes[at + i] * np.uint64(_FACTORS[i % 64]))
+        sizes = np.where(counts > 0, counts - widths + 1, 0)
+        ends = np.cumsum(sizes).tolist()
+        for start, end in zip([0, *ends[:-1]], ends):
+            total[start:end].sort()
+        fresh = np.ones(len(total), bool)
+        fresh[1:] = total[1:] != total[:-1]
+        borders = np.cumsum(sizes) - sizes
+        fresh[borders[sizes > 0]] = True
+        kept = np.concatenate([np.zeros(1, np.int64), np.cumsum(fresh)])
+        return total[fresh], kept[borders + sizes] - kept[borders]
+
+    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
+        values, sizes = self.flat(texts)
+        return np.split(values, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:

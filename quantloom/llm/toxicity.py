@@ -197,12 +197,12 @@ def train(labelled: DataFrame, max_docs: int = 1500) -> ChainModel:
 def unlike(texts: list[str]) -> list[str]:
     """The texts without near copies of earlier ones, whose shared rare words would pass for toxic ones: a text goes when
     one of four MinHash values of its three-word shingles has been seen."""
-    sets = Shingler(3).sets(texts)
-    some = [i for i, s in enumerate(sets) if len(s)]
+    values, sizes = Shingler(3).flat(texts)
+    some = np.flatnonzero(sizes)
     seen: set = set()
     kept = []
-    for i, values in zip(some, signatures([sets[i] for i in some], 4).tolist()):
-        marks = set(enumerate(values))
+    for i, coordinates in zip(some.tolist(), signatures(values, sizes[some], 4).tolist()):
+        marks = set(enumerate(coordinates))
         if not marks & seen:
             kept.append(texts[i])
         seen |= marks
