@@ -6,13 +6,13 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shingles import mix
 from .tables import emit, inputs, results
-from .words import Lexicon, slices
+from .words import Lexicon, mix, slices, split_words
 
 _LETTERS = regex.compile(r"\p{L}+")
 _START, _END = "^", "$"  # never inside a run of letters
@@ -21,7 +21,7 @@ UNDETERMINED = "und"
 
 def runs_of(chunk: bytes) -> list[str]:
     """The runs of letters of a chunk between white space, in lower case."""
-    text = chunk.decode("utf-8", "surrogatepass")
+    text = chunk.decode("utf-8")
     return [text.lower()] if text.isalpha() else [r.lower() for r in _LETTERS.findall(text)]
 
 
@@ -180,39 +180,49 @@ def _interpolate(counts: dict[str, int], order: int, uniform: float):
     return probs, weights
 
 
-def _count_grams(order: int):
+def _count_grams(order: int, held: int = 300_000):
+    """Counts words per language first, then turns each distinct word into grams; ``held`` words are kept at a time."""
+
     def run(batches):
-        held: dict = {}
         grams: dict = defaultdict(int)
+        tables: dict[str, tuple[Lexicon, list, np.ndarray]] = {}
+
+        def flush(lang):
+            _, names, counts = tables.pop(lang)
+            for word, c in zip(names, counts.tolist()):
+                for r in runs_of(word):
+                    s = _START + r + _END
+                    for i in range(1, len(s)):
+                        grams[lang, s[max(0, i - order + 1):i + 1]] += c
+
+        def table(lang):
+            if lang not in tables:
+                names: list = []
+
+                def note(words):
+                    names.extend(words)
+                    return np.zeros(len(words), np.int8), np.ones(len(words), np.int64)
 
-        def flush():
-            if not held:
-                return
-            by_lang = defaultdict(list)
-            for (lang, word), c in held.items():
-                by_lang[lang].append((word, c))
-            for lang, items in by_lang.items():
-                for word, c in items:
-                    for r in runs_of(word):
-                        s = _START + r + _END
-                        for i in range(1, len(s)):
-                            grams[lang, s[max(0, i - order + 1):i + 1]] += c
-            held.clear()
+                tables[lang] = (Lexicon(note, 1 << 22), names, np.zeros(0, np.int64))
+            return tables[lang]
 
         for batch in batches:
             for part in slices(batch):
-                langs = part.column("lang").to_pylist()
-                for lang, text in zip(langs, part.column("text").to_pylist()):
-                    for word in (text or "").encode("utf-8", "surrogatepass").split():
-                        key = (lang, word)
-                        held[key] = held.get(key, 0) + 1
-                if len(held) > 300_000:
-                    flush()
-        flush()
-        names = list(grams)
+                langs = part.column("lang")
+                for lang in pc.unique(langs).to_pylist():
+                    lexicon, names, counts = table(lang)
+                    rows = lexicon.rows(split_words(part.column("text").filter(pc.equal(langs, lang))))
+                    counts = np.concatenate([counts, np.zeros(len(names) - len(counts), np.int64)])
+                    counts += np.bincount(rows, minlength=len(names))
+                    tables[lang] = (lexicon, names, counts)
+                    if len(names) > held:
+                        flush(lang)
+        for lang in list(tables):
+            flush(lang)
+        found = list(grams)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([l for l, _ in names], pa.string()), pa.array([g for _, g in names], pa.string()),
-             pa.array([grams[x] for x in names], pa.int64())], names=["lang", "gram", "n"])
+            [pa.array([l for l, _ in found], pa.string()), pa.array([g for _, g in found], pa.string()),
+             pa.array([grams[x] for x in found], pa.int64())], names=["lang", "gram", "n"])
 
     return run
 
@@ -269,11 +279,10 @@ class Scorer:
             np.add.at(out, np.array(owner), np.column_stack([-logs, events]))
         return out.ravel(), np.full(len(chunks), self.width, np.int64)
 
-    def score(self, texts: list[str | None]) -> np.ndarray:
+    def score(self, texts: pa.Array) -> np.ndarray:
         """Per text: summed loss by language, then the number of events."""
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        rows = self.lexicon.rows([c for chunks in split for c in chunks])
+        words = split_words(texts)
+        rows, counts = self.lexicon.rows(words), words.counts
         if not len(rows):
             return np.zeros((len(texts), self.width))
         values = self.lexicon.values[: self.lexicon.used].reshape(-1, self.width)[rows]
@@ -291,7 +300,7 @@ def _identify(shared, z: float):
         scorer = Scorer(model)
         for batch in batches:
             for part in slices(batch):
-                sums = scorer.score(part.column("text").to_pylist())
+                sums = scorer.score(part.column("text"))
                 events = sums[:, -1].round().astype(np.int64)
                 names, scores, losses, rejected = [], [], [], []
                 for total, n in zip(sums[:, :-1], events.tolist()):

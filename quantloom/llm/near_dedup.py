@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shingles import Shingler, common, mix
+from .shingles import Shingler, common
 from .tables import Workspace, text_of
-from .words import slices
+from .words import mix, slices
 
 # The two permutations of the universe of 2^32 shingle ids: the same bijection, differently keyed.
 _FIRST, _SECOND = np.uint32(0x9E3779B9), np.uint32(0x7F4A7C15)
@@ -99,7 +99,7 @@ def _sketches(width: int, bands: int, rows: int):
         shingler = Shingler(width)
         for batch in batches:
             for part in slices(batch):
-                values, sizes = shingler.flat(part.column("text").to_pylist())
+                values, sizes = shingler.flat(part.column("text"))
                 some = np.flatnonzero(sizes)
                 signature = signatures(values, sizes[some], bands * rows)
                 keys = band_keys(signature, bands, rows).view(np.int64)
@@ -124,8 +124,8 @@ def _confirm(width: int, percent: int):
         shingler = Shingler(width)
         for batch in batches:
             for part in slices(batch, "text_a", 2 << 20):
-                left = shingler.sets(part.column("text_a").to_pylist())
-                right = shingler.sets(part.column("text_b").to_pylist())
+                left = shingler.sets(part.column("text_a"))
+                right = shingler.sets(part.column("text_b"))
                 keep = []
                 for x, y in zip(left, right):
                     shared = common(x, y)

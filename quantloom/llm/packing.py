@@ -6,14 +6,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import text_of
 from .tokenizers import PieceEncoder, load
-from .words import ASCII_SPACE, LOWER, Lexicon, slices
-
-_SPACE = ASCII_SPACE.encode()
+from .words import Lexicon, slices, split_words, sums
 
 
 class LowerWordEncoder:
@@ -34,7 +33,7 @@ class LowerWordEncoder:
         self.lexicon = Lexicon(self._encode)
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [w.decode("utf-8", "surrogatepass") for w in words]
+        texts = [w.decode("utf-8") for w in words]
         encode = self.tokenizer.encode_batch_fast
         joint = np.array([i for i, t in enumerate(texts) if t.isalpha()], np.int64)
         found: list = [None] * len(words)
@@ -51,24 +50,13 @@ class LowerWordEncoder:
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.concatenate(found), lengths
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each has."""
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        if any(b"<|" in r for r in raw):
-            rows, counts = self.plain.rows(texts)
-            table = self.plain.lexicon
-        else:
-            split = [r.translate(LOWER).split() for r in raw]
-            counts = np.fromiter(map(len, split), np.int64, len(split))
-            rows, table = self.lexicon.rows([w for words in split for w in words]), self.lexicon
-        ids, lengths = table.gather(rows)
-        return ids.astype(np.uint32), _run_sums(lengths, counts)
-
-
-def _run_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    total = np.concatenate([np.zeros(1, np.int64), np.cumsum(values)])
-    ends = np.cumsum(counts)
-    return total[ends] - total[ends - counts]
+        if pc.any(pc.match_substring(texts, "<|")).as_py():
+            return self.plain.ids(texts)
+        words = split_words(texts)
+        ids, lengths = self.lexicon.gather(self.lexicon.rows(words))
+        return ids, sums(lengths, words.counts)
 
 
 def binary_pieces(n: int, longest: int) -> list[int]:
@@ -88,11 +76,11 @@ def _pieces(path: str, longest: int, end_id: int, with_ids: bool):
         encoder = LowerWordEncoder(path)
         for batch in batches:
             for part in slices(batch, limit=2 << 20):
-                ids, counts = encoder.ids(part.column("text").to_pylist())
+                ids, counts = encoder.ids(part.column("text"))
                 out: dict[str, list] = {n: [] for n in _PIECE.names}
                 at = 0
                 for doc_id, n in zip(part.column("doc_id").to_pylist(), counts.tolist()):
-                    whole = np.append(ids[at:at + n], np.uint32(end_id))
+                    whole = np.append(ids[at:at + n], end_id)
                     at += n
                     start = 0
                     for length in binary_pieces(n + 1, longest):

@@ -1,28 +1,14 @@
-"""Sets of word shingles as sorted 64-bit hashes."""
+"""Sets of word shingles as ascending 64-bit hashes."""
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 
-from .words import LOWER, Lexicon
+from .words import mix, split_words
 
 # odd multipliers that make the hash of a shingle depend on the order of its words
-_FACTORS = [int(xxhash.xxh3_64_intdigest(f"shingle {i}")) | 1 for i in range(64)]
-
-
-def _hash_words(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w) for w in words), np.uint64, len(words)), np.ones(len(words), np.int64)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every input bit (the finalizer of splitmix64)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+_FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
 class Shingler:
@@ -34,41 +20,37 @@ class Shingler:
 
     def __init__(self, width: int):
         self.width = width
-        self.lexicon = Lexicon(_hash_words)
 
-    def flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All sets, one after another, and their sizes."""
-        words = [(t or "").encode("utf-8", "surrogatepass").translate(LOWER).split() for t in texts]
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        rows = self.lexicon.rows([w for ws in words for w in ws])
-        if not len(rows):
+        words = split_words(texts)
+        counts, hashes = words.counts, words.hashes
+        if not len(hashes):
             return np.zeros(0, np.uint64), counts
-        hashes = self.lexicon.values[self.lexicon.starts[rows]]
         starts = np.cumsum(counts) - counts
         widths = np.minimum(counts, self.width)
+        sizes = np.where(counts > 0, counts - widths + 1, 0)
         # a shingle starts at every word but the last width - 1 of its text
-        first = np.arange(len(hashes)) - np.repeat(starts, counts) <= np.repeat(counts - widths, counts)
-        at = np.flatnonzero(first)
-        reach = np.repeat(widths, np.where(counts > 0, counts - widths + 1, 0))
+        at = np.flatnonzero(np.arange(len(hashes)) - np.repeat(starts, counts) <= np.repeat(counts - widths, counts))
+        reach = np.repeat(widths, sizes)
         total = reach.astype(np.uint64)
         for i in range(self.width):
-            if i and (reach <= i).any():
+            factor = _FACTORS[i % 64]
+            if (reach <= i).any():
                 some = reach > i
-                total[some] = mix(total[some] + hashes[at[some] + i] * np.uint64(_FACTORS[i % 64]))
+                total[some] = mix(total[some] + hashes[at[some] + i] * factor)
             else:
-                total = mix(total + hashes[at + i] * np.uint64(_FACTORS[i % 64]))
-        sizes = np.where(counts > 0, counts - widths + 1, 0)
-        ends = np.cumsum(sizes).tolist()
-        for start, end in zip([0, *ends[:-1]], ends):
+                total = mix(total + hashes[at + i] * factor)
+        ends = np.cumsum(sizes)
+        for start, end in zip((ends - sizes).tolist(), ends.tolist()):
             total[start:end].sort()
         fresh = np.ones(len(total), bool)
         fresh[1:] = total[1:] != total[:-1]
-        borders = np.cumsum(sizes) - sizes
-        fresh[borders[sizes > 0]] = True
+        fresh[(ends - sizes)[sizes > 0]] = True
         kept = np.concatenate([np.zeros(1, np.int64), np.cumsum(fresh)])
-        return total[fresh], kept[borders + sizes] - kept[borders]
+        return total[fresh], kept[ends] - kept[ends - sizes]
 
-    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
+    def sets(self, texts: pa.Array) -> list[np.ndarray]:
         values, sizes = self.flat(texts)
         return np.split(values, np.cumsum(sizes)[:-1]) if len(sizes) else []
 

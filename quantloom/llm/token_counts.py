@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .tables import Workspace, text_of
 from .tokenizers import PieceEncoder, version_digest
-from .words import slices, sums
+from .words import slices
 
 CACHE_SCHEMA = "tokenizer string, content binary, n_tokens long"
 
@@ -25,8 +25,7 @@ def _count(path: str):
         encoder = PieceEncoder(path)
         for batch in batches:
             for part in slices(batch):
-                rows, pieces = encoder.rows(part.column("text").to_pylist())
-                counts = sums(encoder.lexicon.lengths[rows], pieces)
+                counts = encoder.lengths(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("content"), pa.array(counts, pa.int64())], names=["content", "n_tokens"])
 
     return run

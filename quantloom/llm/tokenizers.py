@@ -4,17 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
 
-from .words import Lexicon
-
-# The white space of Unicode. A piece is a run of it and the run of other characters that
-# follows; no pre-token of the two tokenizers reaches from one piece into the next.
-_WHITE = "\t-\r \x85\xa0  -     　"
-PIECES = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
-
+from .words import Lexicon, split_pieces, sums
 
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,19 +27,29 @@ def version_digest(path: str) -> str:
 
 
 class PieceEncoder:
-    """Ids of texts by a tokenizers file, one encoding per distinct piece a worker meets."""
+    """Ids of texts by a tokenizers file, one encoding per distinct piece a worker meets.
+
+    A piece is a run of white space and the run of other characters after it: no pre-token of the public tokenizers
+    reaches from one piece into the next, so the ids of a text are those of its pieces."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.lexicon = Lexicon(self._encode)
 
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [p.decode("utf-8") for p in pieces]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths
 
-    def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The lexicon rows of all pieces, and how many pieces each text has."""
-        split = [PIECES.findall(t) for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        return self.lexicon.rows([p for pieces in split for p in pieces]), counts
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each has."""
+        words = split_pieces(texts)
+        ids, lengths = self.lexicon.gather(self.lexicon.rows(words))
+        return ids, sums(lengths, words.counts)
+
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """How many ids each text has."""
+        words = split_pieces(texts)
+        rows = self.lexicon.rows(words)
+        return sums(self.lexicon.lengths[rows].astype(np.int64), words.counts)

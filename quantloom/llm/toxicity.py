@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .near_dedup import signatures
 from .shingles import Shingler
 from .tables import emit, inputs, results
-from .words import Lexicon, slices
+from .words import Lexicon, slices, split_words
 
 #: A chain is at most this many consecutive words; longer texts are consecutive chains.
 CHAIN = 64
@@ -26,7 +26,7 @@ _WORDS = regex.compile(r"[^ \t-\r]+")
 
 def normal(chunk: bytes) -> str:
     """A word as the model sees it: lower case, without punctuation at its ends."""
-    return _EDGE.sub("", chunk.decode("utf-8", "surrogatepass").lower())
+    return _EDGE.sub("", chunk.decode("utf-8").lower())
 
 
 def stems(word: str) -> list[str]:
@@ -197,7 +197,7 @@ def train(labelled: DataFrame, max_docs: int = 1500) -> ChainModel:
 def unlike(texts: list[str]) -> list[str]:
     """The texts without near copies of earlier ones, whose shared rare words would pass for toxic ones: a text goes when
     one of four MinHash values of its three-word shingles has been seen."""
-    values, sizes = Shingler(3).flat(texts)
+    values, sizes = Shingler(3).flat(pa.array(texts, pa.string()))
     some = np.flatnonzero(sizes)
     seen: set = set()
     kept = []
@@ -269,18 +269,15 @@ def _score(shared, threshold: float, least: float):
         lexicon = Lexicon(compute)
         for batch in batches:
             for part in slices(batch):
-                texts = part.column("text").to_pylist()
-                raw = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-                counts = np.fromiter(map(len, raw), np.int64, len(raw))
-                rows = lexicon.rows([c for chunks in raw for c in chunks])
-                scores = lexicon.values[lexicon.starts[rows]] if len(rows) else np.zeros(0)
-                p = model.marginals(scores, counts)
+                words = split_words(part.column("text"))
+                counts = words.counts
+                p = model.marginals(lexicon.single(lexicon.rows(words)), counts)
                 ends = np.cumsum(counts)
                 out = model.scores(p, counts)
                 spans = []
-                for text, n, end in zip(texts, counts.tolist(), ends.tolist()):
+                for i, (n, end) in enumerate(zip(counts.tolist(), ends.tolist())):
                     at = np.flatnonzero(p[end - n:end] >= least)
-                    spans.append(_spans(text, at) if len(at) else [])
+                    spans.append(_spans(part.column("text")[i].as_py(), at) if len(at) else [])
                 yield emit(
                     part, score=pa.array(out, pa.float64()), predicted=pa.array((out >= threshold).astype(np.int32)),
                     spans=pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
