@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, toxicity
+from . import bpe, language_id, toxicity, warc
 from .exact_dedup import exact_dedup
 from .embedding_dedup import near_vectors
 from .language_id import held_out
+from .lm_scoring import cross_entropy_difference
 from .near_dedup import near_dedup
 from .packing import pack
+from .tables import Workspace
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +82,58 @@ def op10_language_id(spark, sf_dir):
 @query
 def op6_embedding_near_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_bpe(spark, sf_dir):
+    automaton = bpe.Automaton.compile(public_tokenizers.path("byte_bpe_50k.json"))
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), automaton, public_tokenizers.PATTERN), automaton)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op8_lm_scoring(spark, sf_dir):
+    """Target: the documents labelled as good. Background: all documents."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+@query
+def op9_warc_audit(spark, sf_dir):
+    """All pages as WARC files, a replica of them with known damage, and the audit of the two."""
+    work = Workspace(spark, "replicas")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    first, second = work.path(), work.path()
+    warc.write_warc(pages, first)
+    warc.write_warc(warc.damaged(pages), second)
+    return warc.audit(spark, first, second)
+
+
+ORACLES["op9_warc_audit"] = r"""
+WITH both_sides AS (
+  SELECT page_id, url, coalesce(html, '') AS html,
+    CASE WHEN page_id % 50 = 7 AND length(html) > 0 THEN
+      left(html, length(html) // 2) || CASE WHEN html[length(html) // 2 + 1] = '#' THEN '*' ELSE '#' END || html[length(html) // 2 + 2:]
+    ELSE coalesce(html, '') END AS hurt,
+    page_id // 1024 AS segment
+  FROM pages),
+head AS (
+  SELECT *, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:uuid:' ||
+    regexp_replace(md5(page_id::VARCHAR), '(.{8})(.{4})(.{4})(.{4})(.{12})', '----') || '>' || chr(13) || chr(10) ||
+    'WARC-Date: 2024-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) ||
+    'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' AS h, chr(13) || chr(10) || chr(13) || chr(10) AS gap
+  FROM both_sides),
+bytes AS (
+  SELECT *, h || strlen(html)::VARCHAR || gap || html || gap AS a, h || strlen(hurt)::VARCHAR || gap || hurt || gap AS b FROM head),
+placed AS (
+  SELECT *, coalesce(sum(strlen(a)) OVER (PARTITION BY segment ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_a,
+    coalesce(sum(strlen(b)) OVER (PARTITION BY segment ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_b
+  FROM bytes),
+first AS (SELECT segment, start_a AS offset, strlen(a) AS length, url AS uri, sha256(a) AS digest FROM placed),
+second AS (SELECT segment, start_b AS offset, strlen(b) AS length, url AS uri, sha256(b) AS digest FROM placed WHERE page_id % 1024 <> 1023)
+SELECT segment, CAST("offset" AS BIGINT) AS "offset", CAST(coalesce(f.length, s.length) AS BIGINT) AS length, coalesce(f.uri, s.uri) AS uri,
+  CASE WHEN s.digest IS NULL THEN 'missing' WHEN f.digest IS NULL THEN 'extra' ELSE 'changed' END AS status,
+  f.digest AS first_digest, s.digest AS second_digest
+FROM first f FULL JOIN second s USING (segment, "offset")
+WHERE f.digest IS DISTINCT FROM s.digest
+"""

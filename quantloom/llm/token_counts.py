@@ -64,6 +64,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     fresh = misses.mapInArrow(_count(tokenizer_path), "content binary, n_tokens long")
     fresh.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache_path)
     counts = read_cache(spark, cache_path).where(F.col("tokenizer") == version)
-    counts = counts.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    # stored, so that the join below has plain exchanges on both sides and a hot content can be split
+    counts = work.save(counts.groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
     sizes = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content")
     return sizes.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -139,7 +139,13 @@ class HashIndex:
 
     def add(self, hashes: np.ndarray, first: int) -> None:
         """Gives distinct new hashes the rows ``first``, ``first`` + 1 and so on."""
-        rows = np.arange(first, first + len(hashes), dtype=np.int32)
+        self._add(hashes, np.arange(first, first + len(hashes), dtype=np.int32))
+
+    def add_constant(self, hashes: np.ndarray, row: int) -> None:
+        """Gives distinct new hashes one row."""
+        self._add(hashes, np.full(len(hashes), row, np.int32))
+
+    def _add(self, hashes: np.ndarray, rows: np.ndarray) -> None:
         slot = (hashes & self.mask).astype(np.int64)
         while len(hashes):
             free = np.flatnonzero(self.keys[slot] == 0)
