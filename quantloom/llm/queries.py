@@ -115,11 +115,11 @@ WITH both_sides AS (
     CASE WHEN page_id % 50 = 7 AND length(html) > 0 THEN
       left(html, length(html) // 2) || CASE WHEN html[length(html) // 2 + 1] = '#' THEN '*' ELSE '#' END || html[length(html) // 2 + 2:]
     ELSE coalesce(html, '') END AS hurt,
-    page_id // 1024 AS segment
+    page_id // 1024 AS segment, md5(page_id::VARCHAR) AS m
   FROM pages),
 head AS (
   SELECT *, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:uuid:' ||
-    regexp_replace(md5(page_id::VARCHAR), '(.{8})(.{4})(.{4})(.{4})(.{12})', '----') || '>' || chr(13) || chr(10) ||
+    substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-' || substr(m, 13, 4) || '-' || substr(m, 17, 4) || '-' || substr(m, 21) || '>' || chr(13) || chr(10) ||
     'WARC-Date: 2024-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) ||
     'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' AS h, chr(13) || chr(10) || chr(13) || chr(10) AS gap
   FROM both_sides),
