@@ -27,10 +27,6 @@ def valid_symbol(x, *, exact: bool = True, max_length: int | None = None) -> Col
     return ok
 
 
-def valid_ticker(x) -> Column:
-    return valid_symbol(x, max_length=MAX_SYMBOL_LENGTH)
-
-
 def valid_name(x, *, exact: bool = True) -> Column:
     tail = r"\z" if exact else r"\n?\z"
     return F.coalesce(_c(x).rlike(rf"\A{NAME_PATTERN}{tail}"), F.lit(False))

@@ -22,7 +22,10 @@ def unpriced_orders(orders: DataFrame, opens: DataFrame) -> DataFrame:
 def fill_orders(
     orders: DataFrame, opens: DataFrame, slippage_bps: float = SLIPPAGE_BPS, commission: float = 0.0
 ) -> DataFrame:
-    """Complete fills: buys above the open, sells below it, a flat cost each."""
+    """Complete fills: buys above the open, sells below it, a flat cost each.
+
+    Orders without a usable open are left to :func:`unpriced_orders`; :func:`execute_orders` refuses them.
+    """
     if not 0.0 <= slippage_bps < MAX_SLIPPAGE_BPS:
         raise ValueError("slippage must be at least 0 and below 10000 basis points")
     if commission < 0:
@@ -45,5 +48,15 @@ def fill_orders(
     )
 
 
+def execute_orders(
+    orders: DataFrame, opens: DataFrame, slippage_bps: float = SLIPPAGE_BPS, commission: float = 0.0
+) -> DataFrame:
+    """Fills of all orders; a single order without a usable open stops the run."""
+    missing = unpriced_orders(orders, opens).select("order_id").limit(5).collect()
+    if missing:
+        raise ValueError(f"orders without a usable open: {[r[0] for r in missing]}")
+    return fill_orders(orders, opens, slippage_bps, commission)
+
+
 def order_fills(fills: DataFrame) -> DataFrame:
     return fills.orderBy("fill_date", "order_id")

@@ -38,7 +38,8 @@ def merge_bars(published: DataFrame, downloaded: DataFrame, arrival: str = "arri
 
     ``arrival`` numbers downloaded rows from 0 in delivery order.
     """
-    merged = keep_last(_tagged(published, downloaded, arrival), "arrival")
+    tagged = _tagged(published, downloaded, arrival)
+    merged = keep_last(tagged, "arrival")
     return derive_features(merged).select(*STANDARD_COLUMNS)
 
 

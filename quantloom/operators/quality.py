@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import REQUIRED_COLUMNS
+from ..schemas import NON_NULL_COLUMNS
 
 
 def column_types(df: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def null_counts(bars: DataFrame) -> DataFrame:
     """Nulls of every required column, one row per column, from one scan."""
     entries = [
         F.struct(F.lit(name).alias("column"), _null_count(bars, name).alias("null_count"))
-        for name in REQUIRED_COLUMNS
+        for name in NON_NULL_COLUMNS
     ]
     return bars.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
@@ -77,26 +77,32 @@ def head_tail_sample(bars: DataFrame, rows: int = 3) -> DataFrame:
 def verify_dataset(bars: DataFrame) -> DataFrame:
     """One verdict row: size, date range, duplicates, nulls and the issues they raise.
 
-    Rows are first counted per key, so duplicates and nulls come out of one shuffle.
+    Rows are first counted per key, so duplicates and nulls come out of one shuffle. Without ``symbol`` duplicates are
+    not checked; without ``date`` nothing but that is reported.
     """
-    present = [name for name in REQUIRED_COLUMNS if name in bars.columns]
-    absent = [name for name in REQUIRED_COLUMNS if name not in bars.columns]
+    dated = "date" in bars.columns
+    keyed = dated and "symbol" in bars.columns
+    checked = NON_NULL_COLUMNS if dated else []
+    present = [name for name in checked if name in bars.columns]
+    absent = [name for name in checked if name not in bars.columns]
     keys = [name for name in ("symbol", "date") if name in bars.columns]
     per_key = bars.groupBy(*keys).agg(
         F.count("*").alias("copies"),
         *[F.count_if(F.col(n).isNull()).alias(f"null_{n}") for n in present],
     )
-    lo, hi = (F.min("date"), F.max("date")) if "date" in keys else (F.lit(None), F.lit(None))
+    lo, hi = (F.min("date"), F.max("date")) if dated else (F.lit(None), F.lit(None))
+    repeats = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)) if keyed else F.lit(0).cast("bigint")
     totals = per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("n_rows"),
         lo.cast("date").alias("min_date"), hi.cast("date").alias("max_date"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"),
+        repeats.alias("duplicate_rows"),
         *[F.coalesce(F.sum(f"null_{n}"), F.lit(0)).alias(f"null_{n}") for n in present],
     )
     empty = F.col("n_rows") == 0
     issues = [
         F.when(empty, F.lit("dataset contains 0 rows")),
-        F.when(~empty & F.col("min_date").isNull(), F.lit("date range is empty")),
+        *([] if dated else [F.when(~empty, F.lit("missing column date"))]),
+        *([F.when(~empty & F.col("min_date").isNull(), F.lit("date range is empty"))] if dated else []),
         F.when(F.col("duplicate_rows") > 0, F.lit("duplicate (symbol, date) rows")),
         *[F.when(~empty & (F.col(f"null_{n}") > 0), F.lit(f"null values in {n}")) for n in present],
         *[F.when(~empty, F.lit(f"missing column {n}")) for n in absent],

@@ -33,11 +33,12 @@ def strategy_run(
     ``grid`` is ``(as_of_date, symbol, ord)`` and gives the panel rows their universe order.
     """
     _stop_on(missing_panels(panels, requirements, dates), "required panels are not stored")
-    panel = context_panels(panels, requirements).join(
-        grid.join(dates, "as_of_date", "left_semi"), ["as_of_date", "symbol"]
-    )
-    result = durable(strategy(panel), "strategy")
     covered = grid.join(dates, "as_of_date", "left_semi")
+    asked = context_panels(panels, requirements).join(dates, "as_of_date", "left_semi")
+    strange = asked.join(covered, ["as_of_date", "symbol"], "left_anti").select("as_of_date", "symbol")
+    _stop_on(strange, "panel rows outside the universe")
+    panel = asked.join(covered, ["as_of_date", "symbol"])
+    result = durable(strategy(panel), "strategy")
     _stop_on(strategy_violations(result, covered), "the strategy result breaks its contract")
     return result
 

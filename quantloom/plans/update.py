@@ -14,7 +14,7 @@ from ..operators.merge import merge_bars, merge_report, union_windows
 from ..operators.planning import plan_download
 from ..schemas import OVERLAP_SESSIONS
 from ..session import durable
-from ..sources.bars import land_raw, publish_bars, read_bars
+from ..sources.bars import land_raw, landed, publish_bars, rows_of_symbols
 from ..sources.reports import append_run_log
 
 # windows -> vendor rows of those windows, each tagged with its window
@@ -48,32 +48,40 @@ def update_bars(
 ) -> DataFrame:
     """Plan, fetch, land, merge, check and publish; returns one record per symbol.
 
-    A symbol whose merged history breaks the contract keeps its published rows; the others go on.
+    A symbol with an unreadable day among its rows, or whose merged history breaks the contract, keeps its published
+    rows and is recorded as failed with the number of problems; the others go on. Rows of symbols that nobody asked
+    for, malformed ones among them, are published nowhere and recorded as refused. Of several rows for one day the last
+    delivered stays.
     """
     spark = symbols.sparkSession
-    # the plan and the merged rows feed several steps and must not change underneath them
-    published = durable(read_bars(spark, root), "published")
-    plan = durable(plan_download(symbols, published, calendar, start, end, overlap), "plan")
+    published = rows_of_symbols(spark, root, symbols)
+    plan = durable(plan_download(symbols, published.select("symbol", "date"), calendar, start, end, overlap), "plan")
     windows = plan.where("status = 'planned'")
     land_raw(fetch(windows), raw_root, run_id)
-    landed = spark.read.parquet(raw_root).where(F.col("run_id") == run_id)
 
-    parsed = parse_raw(landed).where("date is not null")
-    fresh = union_windows(parsed.withColumn("arrival", F.lit(0).cast("bigint"))).withColumn(
-        "arrival", F.lit(0).cast("bigint")
-    )
-    touched = published.join(windows.select("symbol").distinct(), "symbol", "left_semi")
+    asked = windows.select("symbol").distinct()
+    parsed = parse_raw(landed(spark, raw_root, run_id))
+    strays = durable(
+        parsed.join(asked, "symbol", "left_anti").groupBy("symbol").agg(F.count("*").alias("stray_rows")), "strays")
+    wanted = parsed.join(asked, "symbol", "left_semi")
+    unread = durable(
+        wanted.where("date is null").groupBy("symbol").agg(F.count("*").alias("unread_rows")), "unread")
+    fresh = durable(
+        union_windows(wanted.join(unread, "symbol", "left_anti"), "delivery").withColumn("arrival", F.lit(0).cast("bigint")),
+        "fresh")
+    touched = published.join(asked, "symbol", "left_semi")
     merged = durable(merge_bars(touched, fresh), "merged")
     broken = durable(
         bar_violations(merged).select(F.split("key", r"\|")[0].alias("symbol"))
         .groupBy("symbol").agg(F.count("*").alias("problems")),
         "broken",
     )
-    good = merged.join(broken, "symbol", "left_anti")
+    # before publishing, which replaces what `touched` reads
+    counts = durable(merge_report(touched, fresh), "counts")
+    good = merged.join(broken, "symbol", "left_anti").join(fresh.select("symbol").distinct(), "symbol", "left_semi")
     if not good.isEmpty():
         publish_bars(good, root)
 
-    counts = merge_report(touched, fresh)
     spans = windows.groupBy("symbol").agg(
         # a symbol has a handful of windows, at most one per gap
         F.array_sort(F.collect_list(F.struct(
@@ -82,22 +90,29 @@ def update_bars(
     )
     status = (
         F.when(F.col("plan_status") != "planned", F.lit("skipped"))
-        .when(F.col("problems") > 0, "failed")
-        .when(F.col("merged_rows").isNull(), "failed")
+        .when((F.col("problems") > 0) | (F.col("unread_rows") > 0), "failed")
+        .when(F.coalesce("downloaded_rows", F.lit(0)) == 0, "failed")
         .otherwise("success")
     )
     records = (
         plan.select("symbol", F.col("status").alias("plan_status")).distinct()
-        .join(counts, "symbol", "left").join(broken, "symbol", "left").join(spans, "symbol", "left")
+        .join(counts, "symbol", "left").join(broken, "symbol", "left").join(unread, "symbol", "left").join(spans, "symbol", "left")
         .select(
             F.lit(run_id).alias("run_id"), "symbol", status.alias("status"), "plan_status",
             F.coalesce("downloaded_rows", F.lit(0)).alias("downloaded_rows"),
             F.coalesce("new_dates", F.lit(0)).alias("new_dates"),
             F.coalesce("replaced_dates", F.lit(0)).alias("replaced_dates"),
-            F.coalesce("problems", F.lit(0)).alias("problems"),
+            (F.coalesce("problems", F.lit(0)) + F.coalesce("unread_rows", F.lit(0))).alias("problems"),
             "min_date", "max_date", "windows",
         )
     )
+    refused = strays.select(
+        F.lit(run_id).alias("run_id"), "symbol", F.lit("refused").alias("status"), F.lit("unrequested").alias("plan_status"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ("downloaded_rows", "new_dates", "replaced_dates")],
+        F.col("stray_rows").alias("problems"),
+        *[F.lit(None).cast(records.schema[c].dataType).alias(c) for c in ("min_date", "max_date", "windows")],
+    )
+    records = records.unionByName(refused)
     records = durable(records, "records")
     append_run_log(records, log_root)
     return records

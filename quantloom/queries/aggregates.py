@@ -13,12 +13,36 @@ from .registry import query
 STAT_ROUNDED = ["mean", "std"]
 
 
-@query("verify_dataset", """
+def _unadjusted(m: Market):
+    """Damaged bars without adjusted closes in one year and without traded value in another."""
+    year = F.year("date")
+    return m.damaged.withColumns({
+        "adjusted_close": F.when(year != 1997, F.col("adjusted_close")),
+        "dollar_volume": F.when(year != 1998, F.col("dollar_volume")),
+    })
+
+
+UNADJUSTED = """
+(SELECT * REPLACE (CASE WHEN year(date) <> 1997 THEN adjusted_close END AS adjusted_close,
+                   CASE WHEN year(date) <> 1998 THEN dollar_volume END AS dollar_volume) FROM o_damaged)"""
+
+
+@query("verify_dataset", f"""
 SELECT count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date,
        count(*) - count(DISTINCT (symbol, date)) AS duplicate_rows,
-       'duplicate (symbol, date) rows' AS issues, FALSE AS ok FROM o_damaged""", dates=["min_date", "max_date"])
+       'duplicate (symbol, date) rows; null values in adjusted_close; null values in dollar_volume' AS issues, FALSE AS ok
+FROM {UNADJUSTED}""", dates=["min_date", "max_date"])
 def verify_dataset(m: Market):
-    return quality.verify_dataset(m.damaged).withColumn("issues", F.array_join("issues", "; "))
+    return quality.verify_dataset(_unadjusted(m)).withColumn("issues", F.array_join("issues", "; "))
+
+
+@query("verify_without_symbol", f"""
+SELECT count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date, CAST(0 AS BIGINT) AS duplicate_rows,
+       'null values in adjusted_close; null values in dollar_volume' AS issues, FALSE AS ok
+FROM {UNADJUSTED}""", dates=["min_date", "max_date"])
+def verify_without_symbol(m: Market):
+    """Without symbols, rows of one day are no duplicates."""
+    return quality.verify_dataset(_unadjusted(m).drop("symbol")).withColumn("issues", F.array_join("issues", "; "))
 
 
 @query("duplicate_rows", "SELECT count(*) - count(DISTINCT (symbol, date)) AS duplicate_rows FROM o_damaged")
@@ -26,19 +50,17 @@ def duplicate_rows(m: Market):
     return quality.duplicate_rows(m.damaged)
 
 
-@query("null_counts", """
-SELECT 'date' AS "column", count(*) FILTER (date IS NULL) AS null_count FROM o_parsed
-UNION ALL SELECT 'symbol', count(*) FILTER (symbol IS NULL) FROM o_parsed
-UNION ALL SELECT 'open', count(*) FILTER (open IS NULL) FROM o_parsed
-UNION ALL SELECT 'high', count(*) FILTER (high IS NULL) FROM o_parsed
+@query("null_counts", f"""
+SELECT 'open' AS "column", count(*) FILTER (open IS NULL) AS null_count FROM {UNADJUSTED}
+UNION ALL SELECT 'high', count(*) FILTER (high IS NULL) FROM {UNADJUSTED}
 UNION ALL SELECT 'low', -1
-UNION ALL SELECT 'close', count(*) FILTER (close IS NULL) FROM o_parsed
-UNION ALL SELECT 'volume', count(*) FILTER (volume IS NULL) FROM o_parsed""")
+UNION ALL SELECT 'close', count(*) FILTER (close IS NULL) FROM {UNADJUSTED}
+UNION ALL SELECT 'adjusted_close', count(*) FILTER (adjusted_close IS NULL) FROM {UNADJUSTED}
+UNION ALL SELECT 'volume', count(*) FILTER (volume IS NULL) FROM {UNADJUSTED}
+UNION ALL SELECT 'dollar_volume', count(*) FILTER (dollar_volume IS NULL) FROM {UNADJUSTED}""")
 def null_counts(m: Market):
-    """Parsed vendor rows, with one required column missing altogether."""
-    from ..operators.bars import parse_raw
-
-    return quality.null_counts(parse_raw(m.raw).drop("low"))
+    """Damaged bars, with one checked column missing altogether."""
+    return quality.null_counts(_unadjusted(m).drop("low"))
 
 
 @query("year_coverage", "SELECT CAST(year(date) AS INT) AS year, count(*) AS row_count FROM o_bars GROUP BY 1")

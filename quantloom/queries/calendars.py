@@ -89,11 +89,11 @@ SELECT symbol, window_start, window_end, expected, delivered FROM (
     (SELECT count(*) FROM o_cal WHERE session BETWEEN window_start AND window_end) AS expected,
     count(b.close) AS delivered
   FROM o_plan p LEFT JOIN o_bars b ON b.symbol = p.symbol AND b.date BETWEEN window_start AND window_end
-       AND b.volume >= 120
+       AND dayofyear(b.date) % 5 <> 2
   GROUP BY p.symbol, window_start, window_end)
 WHERE delivered < expected""", dates=["window_start", "window_end"])
 def short_delivery(m: Market):
     """The vendor delivers only the more active weeks of each planned window."""
     plan = planning.plan_download(m.pool, m.held_dates, m.calendar, PLAN_START, PLAN_END)
-    delivered = rows_in_windows(m.stored_bars.where("volume >= 120"), plan)
+    delivered = rows_in_windows(m.stored_bars.where("dayofyear(date) % 5 <> 2"), plan)
     return planning.short_deliveries(plan, delivered, m.calendar)

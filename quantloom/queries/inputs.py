@@ -65,10 +65,10 @@ class Market:
 
     @cached_property
     def business_days(self) -> DataFrame:
-        """Weekdays with at least one block trade: a daily calendar with holidays."""
-        lines = self.table("lineitem").where("l_quantity >= 45")
-        days = lines.select(F.to_date("l_shipdate").alias("date"))
-        return durable(session_calendar(days.where(weekday_index("date") < 5)), "calendar")
+        """Weekdays on which anything is traded, without two holidays in 23 days: a daily calendar from all order lines."""
+        days = self.table("lineitem").select(F.to_date("l_shipdate").alias("date"))
+        holiday = F.pmod(F.datediff("date", F.lit("1990-01-01")), F.lit(23)).isin(5, 11)
+        return durable(session_calendar(days.where((weekday_index("date") < 5) & ~holiday)), "calendar")
 
     @cached_property
     def bars_by_sid(self) -> DataFrame:
@@ -257,11 +257,11 @@ class Market:
 
     @cached_property
     def held_dates(self) -> DataFrame:
-        """Published days: late starts, early ends, light weeks missing, some symbols never loaded."""
-        rows = self.stored_bars.select("symbol", "date", "volume").join(self.calendar, F.col("date") == F.col("session"))
+        """Published days: late starts, early ends, gaps at other weeks for every symbol, some symbols never loaded."""
+        rows = self.stored_bars.select("symbol", "date").join(self.calendar, F.col("date") == F.col("session"))
         rows = rows.join(self.pool, "symbol")
         keep = (
-            (F.col("ord") <= 22) & (F.col("volume") >= 60)
+            (F.col("ord") <= 22) & (F.pmod(7 * F.col("sid") + 3 * F.col("ord"), F.lit(11)) != 4)
             & (F.col("sid") >= 5 + 2 * F.col("ord")) & (F.col("sid") <= self.last_sid - F.col("ord"))
         )
         return durable(rows.where(keep).select("symbol", "date"), "held")

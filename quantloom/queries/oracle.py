@@ -22,7 +22,7 @@ FROM (SELECT DISTINCT CAST(date_trunc('week', l_shipdate) AS DATE) AS session FR
     "o_bdays": """
 SELECT session, row_number() OVER (ORDER BY session) AS sid
 FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS session FROM lineitem
-      WHERE l_quantity >= 45 AND isodow(l_shipdate) <= 5)""",
+      WHERE isodow(l_shipdate) <= 5 AND (CAST(l_shipdate AS DATE) - DATE '1990-01-01') % 23 NOT IN (5, 11))""",
     "o_pool": """
 SELECT symbol, row_number() OVER (ORDER BY symbol) AS ord
 FROM (SELECT DISTINCT upper(replace(p_brand, '#', '.')) AS symbol FROM part)""",
@@ -175,7 +175,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY arrival DE
 WHERE pick = 1""",
     "o_held": """
 SELECT b.symbol, b.date, b.sid FROM o_bsid b JOIN o_pool USING (symbol)
-WHERE ord <= 22 AND b.volume >= 60 AND b.sid >= 5 + 2 * ord AND b.sid <= top - ord""",
+WHERE ord <= 22 AND (7 * b.sid + 3 * ord) % 11 <> 4 AND b.sid >= 5 + 2 * ord AND b.sid <= top - ord""",
     "o_wins": "SELECT session, sid FROM o_cal WHERE session BETWEEN DATE '1995-03-01' AND DATE '2001-10-15'",
     "o_missing": """
 SELECT s.symbol, w.session, w.sid,

@@ -11,7 +11,7 @@ STANDARD_COLUMNS = [
     "date", "symbol", "open", "high", "low", "close",
     "adjusted_close", "volume", "daily_return", "dollar_volume",
 ]
-REQUIRED_COLUMNS = ["date", "symbol", "open", "high", "low", "close", "volume"]
+NON_NULL_COLUMNS = ["open", "high", "low", "close", "adjusted_close", "volume", "dollar_volume"]
 REQUESTABLE_FIELDS = ["open", "high", "low", "close", "adjusted_close", "volume"]
 SYMBOL_PATTERN = r"[A-Z0-9.\-]+"
 NAME_PATTERN = r"[a-z0-9_]+"
@@ -73,17 +73,3 @@ STORED_PANEL = T.StructType([
     T.StructField("year", T.IntegerType()),
     T.StructField("as_of_date", T.DateType()),
 ])
-
-RUN_LOG = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("symbol", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("row_count", T.LongType()),
-    T.StructField("min_date", T.DateType()),
-    T.StructField("max_date", T.DateType()),
-    T.StructField("windows", T.ArrayType(T.StructType([
-        T.StructField("start", T.DateType()),
-        T.StructField("end", T.DateType()),
-        T.StructField("reason", T.StringType()),
-    ]))),
-])

@@ -87,7 +87,7 @@ def read_bars_window(
 ) -> DataFrame:
     """Bars of the named symbols in the closed window; only stored fields may be asked for.
 
-    Callers check :func:`window_duplicates` first; no symbols gives the header alone.
+    Copies of a requested symbol's bar anywhere in the table are refused; no symbols gives the header alone.
     """
     if start > end:
         raise ValueError(f"start {start} is after end {end}")
@@ -95,6 +95,8 @@ def read_bars_window(
     if refused or not fields:
         raise ValueError(f"not requestable: {refused or fields}")
     rows = _wanted(bars, symbols) if symbols else bars.where(F.lit(False))
+    if symbols:
+        _stop_on(window_duplicates(bars, symbols), "repeated bars")
     return (
         rows.where(F.col("date").between(F.lit(start), F.lit(end)))
         .select("date", "symbol", *fields)
@@ -131,7 +133,9 @@ def publish_bars(bars: DataFrame, root: str) -> DataFrame:
     """Stage, check, replace the touched partitions, confirm; returns the live rows.
 
     The staged copy is what gets checked and what gets published, and the partitions about to
-    be replaced are kept aside first. Should the confirmation fail they are put back.
+    be replaced are kept aside first. A symbol's whole history is replaced: years that the new version
+    lacks go. Should anything fail from the overwrite on, the symbols are put back as they were, and
+    partitions that only the failed version had are removed.
     """
     spark = bars.sparkSession
     staging, kept = scratch_path(spark, "staged"), scratch_path(spark, "kept")
@@ -144,19 +148,45 @@ def publish_bars(bars: DataFrame, root: str) -> DataFrame:
 
     symbols = staged.select("symbol").distinct()
     write_bars(rows_of_symbols(spark, root, symbols), kept)
-    write_bars(staged, root, mode="overwrite")
-    live = rows_of_symbols(spark, root, symbols)
+    before, after = _folders(read_bars(spark, kept)), _folders(staged)
     try:
+        write_bars(staged, root, mode="overwrite")
+        _remove(spark, root, before - after)
+        live = rows_of_symbols(spark, root, symbols)
         _stop_on(publish_violations(staged, live), "published bars differ from the staged ones")
-    except ValueError:
+    except Exception:
+        _remove(spark, root, after - before)
         write_bars(read_bars(spark, kept), root, mode="overwrite")
         raise
     return live
 
 
+def _folders(bars: DataFrame) -> set[tuple[str, int]]:
+    """The partitions a table occupies: one name per symbol and year."""
+    return {(r[0], r[1]) for r in bars.select("symbol", F.year("date")).distinct().collect()}
+
+
+def _remove(spark: SparkSession, root: str, folders: set[tuple[str, int]]) -> None:
+    """Deletes partitions that the live version no longer has."""
+    for symbol, year in folders:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/symbol={symbol}/year={year}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def land_raw(raw: DataFrame, root: str, run_id: str) -> None:
-    """Appends vendor rows untouched, next to the window they were fetched for."""
-    raw.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(root)
+    """Stores vendor rows untouched, next to the window they were fetched for, one folder per run.
+
+    ``delivery`` numbers the rows in the order they were delivered. A run lands once: its id cannot be used again.
+    """
+    folder = f"{root}/run_id={run_id}"
+    if has_files(raw.sparkSession, folder):
+        raise ValueError(f"run {run_id} has already landed")
+    raw.withColumn("delivery", F.monotonically_increasing_id()).write.parquet(folder)
+
+
+def landed(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    """The vendor rows of one run; other runs' folders are not read."""
+    return spark.read.parquet(f"{root}/run_id={run_id}").withColumn("run_id", F.lit(run_id))
 
 
 def trades_from_lineitem(lineitem: DataFrame, part: DataFrame, grain: str = "week") -> DataFrame:
@@ -184,5 +214,5 @@ def trades_from_lineitem(lineitem: DataFrame, part: DataFrame, grain: str = "wee
 
 __all__ = [
     "bars_from_trades", "has_files", "land_raw", "publish_bars", "read_bars", "read_bars_window",
-    "read_history", "read_symbol", "rows_of_symbols", "trades_from_lineitem", "window_duplicates", "write_bars",
+    "landed", "read_history", "read_symbol", "rows_of_symbols", "trades_from_lineitem", "window_duplicates", "write_bars",
 ]

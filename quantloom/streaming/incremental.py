@@ -6,24 +6,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.bars import parse_raw
-from ..functions import valid_symbol
+from ..operators.bars import parse_raw, raw_violations
 from ..operators.merge import merge_bars, union_windows
-from ..session import scratch_path
+from ..session import durable, scratch_path
 from ..sources.bars import publish_bars, rows_of_symbols
 
 
-def fold_batch(batch: DataFrame, root: str) -> None:
+#: Where a row stands among all deliveries: the file's time and name, then the row's place in it.
+ORDER = {"modified_": "_metadata.file_modification_time", "file_": "_metadata.file_path", "row_": "_metadata.row_index"}
+
+
+def fold_batch(batch: DataFrame, root: str, rejects: str, number: int) -> None:
     """One micro-batch: only the symbols it touches are read, merged and replaced.
 
-    A batch that is replayed after a failure merges to the same rows, so publishing it twice
-    changes nothing.
+    Of several rows for one day the last delivered stays. A symbol with an unreadable day or a malformed name keeps
+    its published rows: its part of the batch is counted in the batch's folder below ``rejects``. A batch that is replayed after a
+    failure merges to the same rows, so publishing it twice changes nothing.
     """
     spark = batch.sparkSession
     staged = scratch_path(spark, "batch")
-    parsed = parse_raw(batch).where(F.col("date").isNotNull() & valid_symbol("symbol"))
-    zero = F.lit(0).cast("bigint")
-    union_windows(parsed.withColumn("arrival", zero)).withColumn("arrival", zero).write.parquet(staged)
+    parsed = parse_raw(batch)
+    bad = durable(raw_violations(parsed), "violations")
+    bad.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+    refused = bad.select(F.col("symbol").alias("refused_")).distinct()
+    readable = parsed.join(refused, F.col("symbol").eqNullSafe(F.col("refused_")), "left_anti")
+    placed = readable.withColumn("arrival", F.struct(*ORDER))
+    union_windows(placed).withColumn("arrival", F.lit(0).cast("bigint")).write.parquet(staged)
     fresh = spark.read.parquet(staged)
     if fresh.isEmpty():
         return
@@ -32,12 +40,18 @@ def fold_batch(batch: DataFrame, root: str) -> None:
 
 
 def incremental_bars(
-    spark: SparkSession, source: str, schema, root: str, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession, source: str, schema, root: str, checkpoint: str, files_per_batch: int = 1000,
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """Drains the files available now; run it again, or on a schedule, for the next ones."""
+    """Drains the files available now; run it again, or on a schedule, for the next ones.
+
+    ``rejects`` (``root`` with "-rejects" if None) gets the counts of refused rows by rule and symbol, one folder per batch.
+    """
     raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    raw = raw.select("*", *[F.col(path).alias(name) for name, path in ORDER.items()])
+    rejects = rejects or f"{root}-rejects"
     return (
-        raw.writeStream.foreachBatch(lambda batch, _: fold_batch(batch, root))
+        raw.writeStream.foreachBatch(lambda batch, number: fold_batch(batch, root, rejects, number))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
