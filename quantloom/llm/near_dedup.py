@@ -94,14 +94,14 @@ _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_i
 _SKETCH_SCHEMA = "doc_id long, n_shingles long, set_id binary, keys array<long>, sketch array<long>"
 
 
-def _sketches(width: int, bands: int, rows: int):
+def _sketches(width: int, bands: int, rows: int, length: int):
     def run(batches):
         shingler = Shingler(width)
         for batch in batches:
             for part in slices(batch):
                 values, sizes = shingler.flat(part.column("text"))
                 some = np.flatnonzero(sizes)
-                signature = signatures(values, sizes[some], bands * rows)
+                signature = signatures(values, sizes[some], length)
                 keys = band_keys(signature, bands, rows).view(np.int64)
                 sketch = nibbles(signature)
                 lists: list = [None] * len(sizes)
@@ -137,14 +137,14 @@ def _confirm(width: int, percent: int):
 
 
 def near_dedup(
-    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, stars: int = 3,
+    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, length: int = 192, stars: int = 4,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked when 100 * |A and B| >= ``percent`` * |A or B| on their full sets of
     ``width``-word shingles; ``component_id`` is the smallest id reachable by links.
 
-    Candidates share a band of the circulant signature (``bands`` bands of ``rows`` coordinates: a pair at
+    Candidates share a band of the circulant signature (``bands`` bands of ``rows`` of its ``length`` coordinates: a pair at
     the threshold t is missed with probability (1 - t^rows)^bands). Equal sets are one node from the start. A
     bucket never emits all its pairs, and a candidate whose whole signatures differ too much for the threshold is left out before
     any text moves: ``stars`` times its members are compared with one centre, and linked
@@ -156,16 +156,18 @@ def near_dedup(
     and their texts join that id's component; a row with null ``doc_id`` is linked with nothing, has a null
     component and is kept. An empty table gives no rows; other columns are ignored.
     """
+    if length < bands * rows:
+        raise ValueError("the signature must be as long as all bands")
     work = Workspace(docs.sparkSession, "near")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    sketched = work.save(texts.mapInArrow(_sketches(width, bands, rows), _SKETCH_SCHEMA))
+    sketched = work.save(texts.mapInArrow(_sketches(width, bands, rows, length), _SKETCH_SCHEMA))
     usable = sketched.where("set_id is not null and doc_id is not null")
     # equal sets have equal keys and sizes; the smallest id stands for all, and copies collapse before the shuffle
     nodes = work.save(usable.groupBy("set_id").agg(
         F.min("doc_id").alias("node"), F.any_value("n_shingles").alias("n"), F.any_value("keys").alias("keys"),
         F.any_value("sketch").alias("sketch")))
     spread = nodes.select("node", "n", "sketch", F.explode("keys").alias("bucket"))
-    most = unlike_at_most(bands * rows, percent)
+    most = unlike_at_most(length, percent)
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = work.save(spread.join(shared.select("bucket"), "bucket"))
 
@@ -181,18 +183,19 @@ def near_dedup(
         similar = (
             (F.col("comp") != F.col("other_comp"))
             & (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent)
-            & (_differing(F.col("sketch"), F.col("other_sketch"), -(-bands * rows // 16)) <= most)
+            & (_differing(F.col("sketch"), F.col("other_sketch"), -(-length // 16)) <= most)
         )
-        sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"))
+        sizes = placed.groupBy("bucket", "comp").agg(
+            F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.min_by("node", F.xxhash64("node", "bucket", F.lit(turn))).alias("pick"))
         main = sizes.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("comps"), F.max_by("comp", "size").alias("main"), F.min_by("low", F.xxhash64("low", F.lit(turn))).alias("pick"),
-            F.min("low").alias("low")).where("comps > 1")
+            F.count(F.lit(1)).alias("comps"), F.min("low").alias("low"),
+            F.max_by(F.struct("comp", "pick"), F.struct("size", "comp")).alias("main")).where("comps > 1")
         if turn < stars:
-            head = F.col("low") if turn == 0 else F.col("pick")
-            heads = main.select("bucket", head.alias("other_node"))
+            # first the smallest id, then in every bucket another member of its main component
+            heads = main.select("bucket", (F.col("low") if turn == 0 else F.col("main.pick")).alias("other_node"))
             asked = placed.join(other.join(heads, ["bucket", "other_node"]), "bucket").where(similar)
         else:
-            outside = placed.join(main.select("bucket", "main"), "bucket").where("comp <> main").drop("main")
+            outside = placed.join(main.select("bucket", F.col("main.comp").alias("main")), "bucket").where("comp <> main").drop("main")
             asked = outside.join(other, "bucket").where(similar)
         pairs = asked.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
         found = work.save(_verified(work, pairs, texts, width, percent))
