@@ -137,7 +137,7 @@ def _confirm(width: int, percent: int):
 
 
 def near_dedup(
-    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, length: int = 192, stars: int = 4,
+    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, length: int = 192, stars: int = 2, wide: int = 64,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -149,7 +149,8 @@ def near_dedup(
     bucket never emits all its pairs, and a candidate whose whole signatures differ too much for the threshold is left out before
     any text moves: ``stars`` times its members are compared with one centre, and linked
     nodes merge; then the members outside a bucket's main component, usually few, are compared with all
-    members of other components. So no candidate that could still join two components is left out. Every
+    members of other components: with a main component of more than ``wide`` members in the bucket in blocks of whole sets, which lists
+    no pairs, else pair by pair. So no candidate that could still join two components is left out. Every
     link is confirmed on the full sets of the two whole texts.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat a ``doc_id`` count once per row
@@ -189,17 +190,25 @@ def near_dedup(
             F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.min_by("node", F.xxhash64("node", "bucket", F.lit(turn))).alias("pick"))
         main = sizes.groupBy("bucket").agg(
             F.count(F.lit(1)).alias("comps"), F.min("low").alias("low"),
-            F.max_by(F.struct("comp", "pick"), F.struct("size", "comp")).alias("main")).where("comps > 1")
+            F.max_by(F.struct("comp", "pick"), F.struct("size", "comp")).alias("main"), F.max("size").alias("main_size")).where("comps > 1")
         if turn < stars:
             # first the smallest id, then in every bucket another member of its main component
             heads = main.select("bucket", (F.col("low") if turn == 0 else F.col("main.pick")).alias("other_node"))
             asked = placed.join(other.join(heads, ["bucket", "other_node"]), "bucket").where(similar)
         else:
-            outside = placed.join(main.select("bucket", F.col("main.comp").alias("main")), "bucket").where("comp <> main").drop("main")
-            asked = outside.join(other, "bucket").where(similar)
+            mains = main.select("bucket", F.col("main.comp").alias("main"), "main_size")
+            outside = work.save(placed.join(mains, "bucket").where("comp <> main"))
+            # large main components are compared block by block below, all other pairs one by one
+            apart = (F.col("main_size") > wide) & (F.col("other_comp") == F.col("main"))
+            asked = outside.join(other, "bucket").where(similar & ~apart)
         pairs = asked.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
         found = work.save(_verified(work, pairs, texts, width, percent))
         links = found if links is None else links.unionByName(found)
+        if turn == stars:
+            attached = work.save(outside.where(F.col("main_size") > wide).select("node", F.col("main").alias("comp")).distinct())
+            if not attached.isEmpty():
+                everyone = nodes.select("node").distinct().join(labels, "node").select("node", F.col("component").alias("comp"))
+                links = links.unionByName(work.save(_blockwise(work, attached, everyone, texts, width, percent)))
         labels = components(work, links)
 
     classes = nodes.select("set_id", "node").join(labels, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
@@ -208,6 +217,58 @@ def near_dedup(
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+#: Most documents of either side in one block of :func:`_blockwise`.
+BLOCK = 512
+
+
+def _blockwise(work: Workspace, attached: DataFrame, everyone: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between nodes (node, comp) attached to a component and the component's members ``everyone`` (node, comp).
+
+    Both sides of a component are dealt into blocks of about ``BLOCK`` documents; each pair of blocks is one unit that compares full
+    sets through a common index of shingles and returns confirmed links only."""
+    inner = attached.groupBy("comp").agg(F.count(F.lit(1)).alias("askers"))
+    size = everyone.join(inner, "comp").groupBy("comp").agg(F.count(F.lit(1)).alias("members"), F.any_value("askers").alias("askers"))
+    size = work.save(size.select(
+        "comp", F.ceil(F.col("members") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("askers") / BLOCK).cast("int").alias("columns")))
+    hashed = F.xxhash64("node", F.lit("block"))
+
+    def dealt(nodes, asks, own, others):
+        """Each node is in one block of its own side and meets every block of the other."""
+        return nodes.join(size, "comp").select(
+            "node", "comp", F.lit(asks).alias("asks"), F.pmod(hashed, F.col(own)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias(others))
+
+    units = dealt(everyone, False, "rows", "columns").unionByName(dealt(attached, True, "columns", "rows"))
+    ids = work.save(attached.select("node").union(everyone.join(inner, "comp", "left_semi").select("node")).distinct())
+    paired = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, texts["doc_id"] == ids["node"], "left_semi")
+    held = units.join(paired.select(F.col("doc_id").alias("node"), "text"), "node")
+    return held.groupBy("comp", "rows", "columns").applyInArrow(_meet(width, percent), "a long, b long")
+
+
+def _meet(width: int, percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        asks, node = group.column("asks").to_numpy(zero_copy_only=False), group.column("node").to_numpy()
+        values, sizes = Shingler(width).flat(group.column("text").combine_chunks())
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        listed = ~asks[owner]
+        order = np.argsort(values[listed], kind="stable")
+        index, holder = values[listed][order], owner[listed][order]
+        ends = np.cumsum(sizes)
+        links: list[tuple[int, int]] = []
+        for i in np.flatnonzero(asks).tolist():
+            mine = values[ends[i] - sizes[i]:ends[i]]
+            low, high = np.searchsorted(index, mine, "left"), np.searchsorted(index, mine, "right")
+            n = high - low
+            at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+            shared = np.bincount(holder[at], minlength=len(sizes))
+            close = (shared > 0) & (100 * shared >= percent * (sizes + sizes[i] - shared))
+            links += [(min(node[i], node[j]), max(node[i], node[j])) for j in np.flatnonzero(close).tolist() if node[i] != node[j]]
+        return pa.table([pa.array([l[k] for l in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 #: Ids of this many documents or fewer are sent to every executor (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
