@@ -27,7 +27,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of ``batch`` with at most ``limit`` bytes of text each, or one longer row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, held = 0, 0
@@ -63,10 +63,11 @@ class Words:
             longest = int(self.lengths.max())
             powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(longest, _BASE, np.uint64)]))
             # bytes between words belong to the word before them and count nothing
-            place = np.arange(starts[0], len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw))))
-            inside = place < np.repeat(self.lengths, np.diff(np.append(starts, len(raw))))
-            terms = _BYTE_CODES[raw[starts[0]:]] * powers[np.minimum(place, longest)]
-            terms[~inside] = 0
+            spans = np.diff(np.append(starts, len(raw)))
+            place = np.arange(starts[0], len(raw), dtype=np.int32) - np.repeat(starts.astype(np.int32), spans)
+            terms = _BYTE_CODES[raw[starts[0]:]]
+            terms *= powers[np.minimum(place, longest)]
+            terms[place >= np.repeat(self.lengths.astype(np.int32), spans)] = 0
             self.hashes = mix(np.add.reduceat(terms, starts - starts[0]) + self.lengths.astype(np.uint64))
 
     def __len__(self) -> int:

@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from quantloom.llm import near_dedup as near_module
 from quantloom.llm.components import components
 from quantloom.llm.embedding_dedup import hadamard, near_vectors, polytope_codes
 from quantloom.llm.exact_dedup import exact_dedup
@@ -39,14 +40,30 @@ def test_near_agrees_with_brute_force(spark, width, percent):
     cases.same(found, cases.near(rows, width, percent))
 
 
-def test_near_finds_chains_and_large_groups(spark):
+@pytest.mark.parametrize("wide", [1, 64])
+def test_near_finds_chains_and_large_groups(spark, wide):
     """Each text changes one word of the one before: neighbours are linked, ends are not."""
     words = cases.prose(7, 120).split()
     rows = []
     for i in range(60):
         words[2 * i % 120] = f"new{i}"
         rows.append((i, " ".join(words)))
-    cases.same(near_dedup(cases.table(spark, rows), width=3, percent=85, bands=20, rows=5), cases.near(rows, 3, 85))
+    cases.same(near_dedup(cases.table(spark, rows), width=3, percent=85, bands=20, rows=5, stars=1, wide=wide), cases.near(rows, 3, 85))
+
+
+def test_blocks_meet_every_member_of_their_component(spark, monkeypatch):
+    """Three askers and a component of seven, in blocks of two, against plain set comparison."""
+    monkeypatch.setattr(near_module, "BLOCK", 2)
+    words = cases.prose(8, 100).split()
+    rows = [(i, " ".join([*words[:3 * i], *(f"x{i}{k}" for k in range(8)), *words[3 * i + 8:]])) for i in range(10)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    attached = spark.createDataFrame([(i, 0) for i in (7, 8, 9)], "node long, comp long")
+    everyone = spark.createDataFrame([(i, 0) for i in range(7)], "node long, comp long")
+    found = near_module._blockwise(Workspace(spark, "test"), attached, everyone, texts, 3, 70)
+    sets = {i: cases.shingle_set(t, 3) for i, t in rows}
+    want = [(b, a) for a in (7, 8, 9) for b in range(7) if 100 * len(sets[a] & sets[b]) >= 70 * len(sets[a] | sets[b])]
+    assert want
+    cases.same(found.select("a", "b"), want)
 
 
 def test_shingles_are_sets_of_word_sequences():
