@@ -180,45 +180,32 @@ def _interpolate(counts: dict[str, int], order: int, uniform: float):
     return probs, weights
 
 
-def _count_grams(order: int, held: int = 300_000):
-    """Counts words per language first, then turns each distinct word into grams; ``held`` words are kept at a time."""
+def _count_grams(order: int, held: int = 150_000):
+    """Counts words per language first, then turns each distinct word into grams; about ``held`` words are kept at a time."""
 
     def run(batches):
         grams: dict = defaultdict(int)
-        tables: dict[str, tuple[Lexicon, list, np.ndarray]] = {}
+        counts: dict = {}
 
-        def flush(lang):
-            _, names, counts = tables.pop(lang)
-            for word, c in zip(names, counts.tolist()):
+        def flush():
+            for (lang, word), c in counts.items():
                 for r in runs_of(word):
                     s = _START + r + _END
                     for i in range(1, len(s)):
                         grams[lang, s[max(0, i - order + 1):i + 1]] += c
-
-        def table(lang):
-            if lang not in tables:
-                names: list = []
-
-                def note(words):
-                    names.extend(words)
-                    return np.zeros(len(words), np.int8), np.ones(len(words), np.int64)
-
-                tables[lang] = (Lexicon(note, 1 << 22), names, np.zeros(0, np.int64))
-            return tables[lang]
+            counts.clear()
 
         for batch in batches:
             for part in slices(batch):
                 langs = part.column("lang")
                 for lang in pc.unique(langs).to_pylist():
-                    lexicon, names, counts = table(lang)
-                    rows = lexicon.rows(split_words(part.column("text").filter(pc.equal(langs, lang))))
-                    counts = np.concatenate([counts, np.zeros(len(names) - len(counts), np.int64)])
-                    counts += np.bincount(rows, minlength=len(names))
-                    tables[lang] = (lexicon, names, counts)
-                    if len(names) > held:
-                        flush(lang)
-        for lang in list(tables):
-            flush(lang)
+                    words = split_words(part.column("text").filter(pc.equal(langs, lang)))
+                    _, first, n = np.unique(words.hashes, return_index=True, return_counts=True)
+                    for word, c in zip(words.take(first), n.tolist()):
+                        counts[lang, word] = counts.get((lang, word), 0) + c
+                if len(counts) > held:
+                    flush()
+        flush()
         found = list(grams)
         yield pa.RecordBatch.from_arrays(
             [pa.array([l for l, _ in found], pa.string()), pa.array([g for _, g in found], pa.string()),

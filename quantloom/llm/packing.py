@@ -24,7 +24,7 @@ class LowerWordEncoder:
     """
 
     def __init__(self, path: str):
-        self.plain = PieceEncoder(path)
+        self.path, self.plain = path, None
         self.tokenizer = load(path)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -53,6 +53,7 @@ class LowerWordEncoder:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each has."""
         if pc.any(pc.match_substring(texts, "<|")).as_py():
+            self.plain = self.plain or PieceEncoder(self.path)
             return self.plain.ids(texts)
         words = split_words(texts)
         ids, lengths = self.lexicon.gather(self.lexicon.rows(words))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 
 import numpy as np
@@ -162,13 +163,20 @@ def _marks(words: list[str]) -> dict[str, list[str]]:
 def label_tokens(docs: list[list[str]], toxic: list[int], evidence: float = 30.0, margin: float = 1.5) -> list[set[str]]:
     """Per document its words that count as toxic: in toxic documents, those whose stem, or repeated stem, has smoothed log-odds
     of toxic against clean documents above ``margin`` and counts that are no accident (likelihood ratio of ``evidence`` or more)."""
-    seen = (Counter(), Counter())
+    often: Counter = Counter()
     for words, y in zip(docs, toxic):
-        seen[y].update(_marks(words).keys())
+        if y:
+            often.update(_marks(words).keys())
+    # fewer toxic documents than this cannot be evidence enough; only the rest is counted in clean ones
+    often = Counter({s: c for s, c in often.items() if c >= 3})
+    clean: Counter = Counter()
+    for words, y in zip(docs, toxic):
+        if not y:
+            clean.update(s for s in _marks(words) if s in often)
     n0, n1 = toxic.count(0), toxic.count(1)
     marked = set()
-    for s, c1 in seen[1].items():
-        c0 = seen[0][s]
+    for s, c1 in often.items():
+        c0 = clean[s]
         if np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1)) > margin:
             ratio = c1 * np.log(c1 * (n0 + n1) / ((c0 + c1) * n1)) + (c0 * np.log(c0 * (n0 + n1) / ((c0 + c1) * n0)) if c0 else 0)
             if 2 * ratio >= evidence:
@@ -176,7 +184,7 @@ def label_tokens(docs: list[list[str]], toxic: list[int], evidence: float = 30.0
     return [{w for s, found in _marks(words).items() if s in marked for w in found} - {""} if y else set() for words, y in zip(docs, toxic)]
 
 
-def train(labelled: DataFrame, max_docs: int = 1500) -> ChainModel:
+def train(labelled: DataFrame, max_docs: int = 1000) -> ChainModel:
     """Fits the field on at most ``max_docs`` whole documents of each class, those with the smallest hash of their id.
 
     ``labelled``: doc_id, text, toxic (rows with null label are left out). Document labels become token
@@ -189,7 +197,7 @@ def train(labelled: DataFrame, max_docs: int = 1500) -> ChainModel:
     for y in (0, 1):
         sample = rows.where(F.col("toxic") == y).orderBy(*order).limit(max_docs)
         for text in unlike([row.text or "" for row in sample.select("text").toLocalIterator()]):
-            docs.append([normal(c) for c in text.encode("utf-8", "surrogatepass").split()])
+            docs.append([sys.intern(normal(c)) for c in text.encode("utf-8", "surrogatepass").split()])
             toxic.append(y)
     return fit(docs, toxic)
 

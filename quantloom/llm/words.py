@@ -165,7 +165,7 @@ class Lexicon:
     The table is emptied when it would pass ``capacity`` words, so its memory is bounded; results do not change.
     """
 
-    def __init__(self, compute: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], capacity: int = 1_000_000):
+    def __init__(self, compute: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], capacity: int = 500_000):
         self.compute, self.capacity = compute, capacity
         self._empty()
 
