@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import emit, inputs, results
+from .tables import emit, inputs, results, sample
 from .words import Lexicon, mix, slices, split_words
 
 _LETTERS = regex.compile(r"\p{L}+")
@@ -234,8 +234,7 @@ def train(labelled: DataFrame, order: int = 4, max_grams: int = 400_000, calibra
         for lang, gram, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
             counts[lang][gram] = n
     model = KneserNey.fit(sorted(counts), counts, order)
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_docs)
-    scored = identify(sample, model).where("events > 0").select("lang_pred", "cross_entropy", "events").toArrow()
+    scored = identify(sample(labelled, calibration_docs), model).where("events > 0").select("lang_pred", "cross_entropy", "events").toArrow()
     by_lang = defaultdict(list)
     for lang, loss, n in zip(*(scored.column(i).to_pylist() for i in range(3))):
         by_lang[lang].append((loss, n))

@@ -44,6 +44,12 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def sample(docs: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` rows: those whose id has the smallest hash. Only ids are ordered; whole rows move for the chosen ids alone."""
+    ids = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return docs.join(F.broadcast(ids), "doc_id", "left_semi").limit(rows)
+
+
 def inputs(docs: DataFrame, carry: bool) -> DataFrame:
     """(doc_id, text), and with ``carry`` the whole row as the struct ``document``, so that no name can clash."""
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text")]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .near_dedup import signatures
 from .shingles import Shingler
-from .tables import emit, inputs, results
+from .tables import emit, inputs, results, sample
 from .words import Lexicon, slices, split_words
 
 #: A chain is at most this many consecutive words; longer texts are consecutive chains.
@@ -191,12 +191,11 @@ def train(labelled: DataFrame, max_docs: int = 1000) -> ChainModel:
     labels by :func:`label_tokens`. With no rows of a class the model scores every text the same.
     """
     rows = labelled.where("toxic in (0, 1)").select("doc_id", "text", "toxic")
-    order = F.xxhash64("doc_id"), F.col("doc_id")
     docs: list[list[str]] = []
     toxic: list[int] = []
     for y in (0, 1):
-        sample = rows.where(F.col("toxic") == y).orderBy(*order).limit(max_docs)
-        for text in unlike([row.text or "" for row in sample.select("text").toLocalIterator()]):
+        some = sample(rows.where(F.col("toxic") == y), max_docs)
+        for text in unlike([row.text or "" for row in some.select("text").toLocalIterator()]):
             docs.append([sys.intern(normal(c)) for c in text.encode("utf-8", "surrogatepass").split()])
             toxic.append(y)
     return fit(docs, toxic)
