@@ -6,11 +6,12 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from quantloom.queries import QUERIES  # noqa: E402
+from quantloom.queries import ORACLES, QUERIES  # noqa: E402
 from quantloom.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -22,13 +23,31 @@ HEADLINE = [
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
+def duckdb_seconds(names: list[str], sf_dir: str) -> dict[str, float]:
+    """The same queries' SQL in DuckDB, once each, for comparison."""
+    import duckdb
+
+    con = duckdb.connect()
+    for file in os.listdir(sf_dir):
+        if file.endswith(".parquet"):
+            con.execute(f"CREATE VIEW {file[:-8]} AS SELECT * FROM '{sf_dir}/{file}'")
+    out = {}
+    for name in names:
+        if name in ORACLES:
+            start = time.perf_counter()
+            con.execute(ORACLES[name]).fetchall()
+            out[name] = round(time.perf_counter() - start, 4)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         "bench", f"local[{cpus}]",
         **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
-           "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"},
+           "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="spark-", dir="/tmp")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
@@ -43,9 +62,10 @@ def main() -> None:
         timings[name] = round(statistics.median(taken[1:]), 4)
         print(name, timings[name], file=sys.stderr, flush=True)
     spark.stop()
+    duck = duckdb_seconds(names, sf_dir)
     print(json.dumps({
         "metric": "total_warm_seconds", "value": round(sum(timings.values()), 4), "unit": "sec",
-        "queries": timings, "sf": os.path.basename(sf_dir.rstrip("/")),
+        "queries": timings, "duckdb": duck, "sf": os.path.basename(sf_dir.rstrip("/")),
     }))
 
 

@@ -23,14 +23,19 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def read_bars(spark: SparkSession, root: str) -> DataFrame:
-    """The whole table; an absent one reads as no rows.
+def read_bars(spark: SparkSession, root: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    """The whole table, or its closed date range; an absent one reads as no rows. A range opens the folders of its years only.
 
     The schema is given, so ``symbol=007`` stays text and no file is opened to infer types.
     """
     if not has_files(spark, root):
         return spark.createDataFrame([], BAR).select(*STANDARD_COLUMNS)
-    return spark.read.schema(BAR).parquet(root).select(*STANDARD_COLUMNS)
+    rows = spark.read.schema(BAR).parquet(root)
+    if start is not None:
+        rows = rows.where((F.col("year") >= start.year) & (F.col("date") >= F.lit(start)))
+    if end is not None:
+        rows = rows.where((F.col("year") <= end.year) & (F.col("date") <= F.lit(end)))
+    return rows.select(*STANDARD_COLUMNS)
 
 
 def read_symbol(spark: SparkSession, root: str, symbol: str, ordered: bool = True) -> DataFrame:

@@ -8,23 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import PANEL, STORED_PANEL
+from ..session import durable
 from .bars import has_files
 
-KEY = ["factor_name", "factor_version", "year", "as_of_date"]
+FOLDERS = ["factor_name", "factor_version", "year"]
+KEY = [*FOLDERS, "as_of_date"]
 
 
 def write_panels(panel: DataFrame, root: str) -> None:
     """Replaces exactly the dates being written; every other stored date stays.
 
-    The rebalance hint gathers small dates into one task and splits a date too large for one.
+    A folder holds a year of one factor version, its rows in order of date, so that row-group statistics prune single
+    dates. The years touched are read, the dates being written taken out of them, and the whole years replaced.
     """
-    (
+    spark = panel.sparkSession
+    fresh = durable(
         panel.select("symbol", "raw_value", "is_eligible", "factor_name", "factor_version",
-                     F.year("as_of_date").alias("year"), "as_of_date")
-        .hint("rebalance", F.col("as_of_date"))
-        .sortWithinPartitions("factor_name", "factor_version", "year", "as_of_date", "symbol")
+                     F.year("as_of_date").alias("year"), "as_of_date"), "panel")
+    rows = fresh
+    if has_files(spark, root):
+        held = stored_panels(spark, root).join(fresh.select(*FOLDERS).distinct(), FOLDERS, "left_semi")
+        held = held.join(fresh.select(*KEY).distinct(), KEY, "left_anti")
+        # what is overwritten below must not be read while it is
+        rows = durable(held.unionByName(fresh), "years")
+    (
+        rows.hint("rebalance", *[F.col(c) for c in FOLDERS])
+        .sortWithinPartitions(*KEY, "symbol")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*KEY).parquet(root)
+        .partitionBy(*FOLDERS).parquet(root)
     )
 
 
@@ -38,7 +49,7 @@ def read_panels(
     spark: SparkSession, root: str, name: str, version: str,
     start: date | None = None, end: date | None = None,
 ) -> DataFrame:
-    """Panels of one factor version in a closed range; only their folders are listed.
+    """Panels of one factor version in a closed range; only their years' folders are listed.
 
     Dates without a panel are simply absent, never filled.
     """
@@ -59,6 +70,22 @@ def misfiled(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def read_whole_panels(
+    spark: SparkSession, root: str, name: str, version: str, start: date, end: date, wanted: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`read_panels` that refuses what it cannot vouch for: panels of the version filed under a year that is not their
+    date's, and ``wanted`` dates (as_of_date) that are not stored."""
+    strange = misfiled(spark, root).where((F.col("factor_name") == name) & (F.col("factor_version") == version)).limit(5).collect()
+    if strange:
+        raise ValueError(f"misfiled panels: {[r.asDict() for r in strange]}")
+    rows = read_panels(spark, root, name, version, start, end)
+    if wanted is not None:
+        lost = wanted.join(rows.select("as_of_date").distinct(), "as_of_date", "left_anti").limit(5).collect()
+        if lost:
+            raise ValueError(f"panels are not stored: {[r[0].isoformat() for r in lost]}")
+    return rows
+
+
 def stored_keys(spark: SparkSession, root: str) -> DataFrame:
     return stored_panels(spark, root).select("factor_name", "factor_version", "as_of_date").distinct()
 

@@ -182,7 +182,29 @@ def test_panel_store_replaces_single_keys(spark):
     assert panel_io.missing_keys(spark, root, wanted).count() == 1
     assert panel_io.misfiled(spark, root).count() == 0
     plan = panel_io.read_panels(spark, root, "f", "1", JAN[1], JAN[1])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(factor_name" in plan
+    assert "PartitionFilters: [isnotnull(factor_name" in plan and "(year#" in plan.split("PartitionFilters")[1]
+    assert len({f.rsplit("/", 1)[0] for f in panel_io.stored_panels(spark, root).inputFiles()}) == 2
+
+
+def test_whole_panels_are_vouched_for(spark):
+    root = scratch_path(spark, "panels")
+    panel_io.write_panels(panel(spark, JAN[0], 1.0), root)
+    dates = spark.createDataFrame([(JAN[0],), (JAN[1],)], "as_of_date date")
+    with pytest.raises(ValueError, match="not stored"):
+        panel_io.read_whole_panels(spark, root, "f", "1", JAN[0], JAN[3], dates)
+    assert panel_io.read_whole_panels(spark, root, "f", "1", JAN[0], JAN[3], dates.limit(1)).count() == 1
+    panel(spark, JAN[1], 2.0).select("symbol", "raw_value", "is_eligible", "as_of_date").write.parquet(f"{root}/factor_name=f/factor_version=1/year=1999")
+    with pytest.raises(ValueError, match="misfiled"):
+        panel_io.read_whole_panels(spark, root, "f", "1", JAN[0], JAN[3])
+
+
+def test_range_reads_open_their_years_only(spark):
+    root = scratch_path(spark, "bars")
+    bar_io.write_bars(standard(spark, ("A", date(2022, 1, 3), 1, 1), ("A", JAN[0], 1, 1)), root)
+    some = bar_io.read_bars(spark, root, JAN[0], JAN[1])
+    assert rows(some, "date") == [(JAN[0],)]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "year" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
 def test_cache_plan_outcomes(spark):
