@@ -175,8 +175,8 @@ def near_vectors(
     blocks whose pairs are separate units, so no task holds a whole hot bucket, and none is capped.
 
     Vectors that are null, empty, zero, or hold null or non-finite components have no links and are kept; vectors of
-    different lengths are never linked. Repeated rows are vectors of their own and link with each other. A null id counts for
-    others' links but never names a component of others; its own row keeps a null component only if unlinked. An empty table gives no
+    different lengths are never linked. Repeated rows are vectors of their own and link with each other. Rows without id count as
+    copies of an equal vector with an id; else they link with their own copies only and keep a null component. An empty table gives no
     rows; other columns are ignored.
     """
     spark = vectors.sparkSession
