@@ -123,7 +123,7 @@ def _confirm(width: int, percent: int):
     def run(batches):
         shingler = Shingler(width)
         for batch in batches:
-            for part in slices(batch, "text_a", 2 << 20):
+            for part in slices(batch, "text_a"):
                 left = shingler.sets(part.column("text_a"))
                 right = shingler.sets(part.column("text_b"))
                 keep = []

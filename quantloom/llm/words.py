@@ -27,7 +27,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of ``batch`` with at most ``limit`` bytes of text each, or one longer row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, held = 0, 0
