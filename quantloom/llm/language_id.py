@@ -11,12 +11,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import emit, inputs, results, sample
+from .tables import emit, inputs, results, sample_each
 from .words import Lexicon, mix, slices, split_words
 
 _LETTERS = regex.compile(r"\p{L}+")
 _START, _END = "^", "$"  # never inside a run of letters
 UNDETERMINED = "und"
+#: A language with fewer calibration rows takes the deviations of all languages together.
+MIN_CALIBRATION = 20
 
 
 def runs_of(chunk: bytes) -> list[str]:
@@ -85,7 +87,7 @@ class KneserNey:
     def limit(self, lang: str, events: int, z: float) -> float:
         """The largest loss per event with which a text of that many events is taken for the language."""
         if lang not in self.limits:
-            return np.inf
+            return np.inf  # nothing was calibrated at all
         mean, spread, per_event = self.limits[lang]
         worst = -float(np.log(self.unseen[self.languages.index(lang)]))
         return mean + max(z * np.sqrt(spread + per_event / events), (worst - mean) / 2)
@@ -219,7 +221,8 @@ def train(labelled: DataFrame, order: int = 4, max_grams: int = 400_000, calibra
 
     Grams are counted over all rows, combined inside each task and then by Spark. A model keeps its ``max_grams``
     most frequent grams, which bounds what is broadcast. The rejection limit of a language is fitted on
-    the ``calibration_docs`` rows with the smallest hash of their id.
+    the ``calibration_docs`` of its rows with the smallest hash of their id, as far as the model takes them for that language;
+    one with fewer than ``MIN_CALIBRATION`` of them takes the deviations of all languages, and without any also their mean.
     """
     labelled = labelled.where("lang is not null").select("doc_id", "text", "lang")
     spark = labelled.sparkSession
@@ -234,18 +237,42 @@ def train(labelled: DataFrame, order: int = 4, max_grams: int = 400_000, calibra
         for lang, gram, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
             counts[lang][gram] = n
     model = KneserNey.fit(sorted(counts), counts, order)
-    scored = identify(sample(labelled, calibration_docs), model).where("events > 0").select("lang_pred", "cross_entropy", "events").toArrow()
-    by_lang = defaultdict(list)
-    for lang, loss, n in zip(*(scored.column(i).to_pylist() for i in range(3))):
-        by_lang[lang].append((loss, n))
-    for lang, pairs in by_lang.items():
-        loss, n = np.array(pairs, float).T
-        mean = float(np.average(loss, weights=n))
-        per_event = float(np.mean(n * (loss - mean) ** 2))
-        model.limits[lang] = (mean, float(np.var(loss)), per_event)
+    chosen = sample_each(labelled, "lang", calibration_docs)
+    model.limits = _limits(sorted(counts), _moments(_calibration(chosen, model)))
     return model
 
 
+def _calibration(docs: DataFrame, model: KneserNey) -> DataFrame:
+    """(lang, loss, n) of the texts with letters that the model takes for their own language; one row for each id."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct("lang").alias("document"))
+    found = given.mapInArrow(_identify(shared, np.inf), results(_RESULT, given)).where("events > 0 and lang_pred = document.lang")
+    found = found.groupBy(F.col("lang_pred").alias("lang"), "doc_id").agg(F.max(F.struct("cross_entropy", "events")).alias("m"))
+    return found.select("lang", F.col("m.cross_entropy").alias("loss"), F.col("m.events").alias("n"))
+
+
+def _moments(losses: DataFrame) -> dict[str, tuple[int, float, float, float]]:
+    """Per language: rows, mean loss of an event, variance between rows, and variance of one event."""
+    means = losses.groupBy("lang").agg((F.sum(F.col("loss") * F.col("n")) / F.sum("n")).alias("mean"))
+    held = losses.join(F.broadcast(means), "lang")
+    per_event = F.avg(F.col("n") * (F.col("loss") - F.col("mean")) ** 2)
+    rows = held.groupBy("lang").agg(F.count("*"), F.first("mean"), F.var_pop("loss"), per_event).collect()
+    return {r[0]: tuple(r[1:]) for r in rows}
+
+
+def _limits(languages: list[str], moments: dict[str, tuple[int, float, float, float]]) -> dict[str, tuple[float, float, float]]:
+    """Mean and variances of every language; those of all languages together, each by its rows, where one has too few rows."""
+    if not moments:
+        return {}
+    rows = np.array(list(moments.values()), float)
+    pooled = np.average(rows[:, 1:], axis=0, weights=rows[:, 0])
+    out = {}
+    for lang in languages:
+        count, mean, *spreads = moments.get(lang, (0, *pooled))
+        out[lang] = (mean, *(spreads if count >= MIN_CALIBRATION else pooled[1:]))
+    return {lang: tuple(map(float, v)) for lang, v in out.items()}
+
+
 class Scorer:
     """Cross-entropies of texts, one evaluation per distinct chunk between white space."""
 

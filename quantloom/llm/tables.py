@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,18 @@ def sample(docs: DataFrame, rows: int) -> DataFrame:
     return docs.join(F.broadcast(ids), "doc_id", "left_semi").limit(rows)
 
 
+def sample_each(docs: DataFrame, key: str, rows: int) -> DataFrame:
+    """The rows of ``rows`` ids of each ``key``: those with the smallest hash. Hashes up to a share that leaves about twice
+    as many are kept first, so that no group is ordered whole."""
+    ids = docs.where("doc_id is not null").select(key, "doc_id").distinct()
+    sizes = ids.groupBy(key).count().withColumn("share", 2.0 * rows / F.col("count"))
+    hashed = ids.withColumn("hash", F.xxhash64("doc_id")).join(F.broadcast(sizes), key)
+    few = hashed.where((F.col("hash") / 2.0**64 + 0.5 <= F.col("share")) | (F.col("count") <= 2 * rows))
+    place = F.row_number().over(Window.partitionBy(key).orderBy("hash", "doc_id"))
+    chosen = few.withColumn("place", place).where(F.col("place") <= rows).select(key, "doc_id")
+    return docs.join(F.broadcast(chosen), [key, "doc_id"], "left_semi")
+
+
 def inputs(docs: DataFrame, carry: bool) -> DataFrame:
     """(doc_id, text), and with ``carry`` the whole row as the struct ``document``, so that no name can clash."""
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text")]

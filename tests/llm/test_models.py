@@ -69,6 +69,18 @@ def test_language_of_awkward_texts(spark, model):
     assert language_id.identify(cases.table(spark, rows), none).where("lang_pred <> 'und'").count() == 0
 
 
+def test_a_language_of_one_document_rejects_too(spark):
+    """Rare languages have a finite limit; a foreign script, which the smallest model finds least unlikely, is rejected."""
+    rows = [(i, cases.prose(i, 80), "en") for i in range(400)] + [(i, cases.prose(i, 80)[::-1], "ne") for i in range(400, 800)]
+    rows.append((800, "kaikki ihmiset syntyvat vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan", "fi"))
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), calibration_docs=100)
+    assert set(model.limits) == {"en", "ne", "fi"} and all(np.isfinite(model.limit(l, 300, 8.0)) for l in model.limits)
+    texts = [(1, "ЖЩЭЮЯ " * 50), (2, rows[800][1]), (3, cases.prose(900, 80))]
+    found = {r.doc_id: r for r in language_id.identify(cases.table(spark, texts), model).collect()}
+    assert found[1].rejected and not found[2].rejected and not found[3].rejected
+    assert (found[2].lang_pred, found[3].lang_pred) == ("fi", "en")
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
     scores, moves = rng.normal(size=6), rng.normal(size=(2, 2))
