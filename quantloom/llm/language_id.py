@@ -19,6 +19,8 @@ _START, _END = "^", "$"  # never inside a run of letters
 UNDETERMINED = "und"
 #: A language with fewer calibration rows takes the deviations of all languages together.
 MIN_CALIBRATION = 20
+#: Squared nats: the loss of single characters varies as much at least, also where all calibration rows are alike.
+LEAST_VARIANCE = 1.0
 
 
 def runs_of(chunk: bytes) -> list[str]:
@@ -89,8 +91,7 @@ class KneserNey:
         if lang not in self.limits:
             return np.inf  # nothing was calibrated at all
         mean, spread, per_event = self.limits[lang]
-        worst = -float(np.log(self.unseen[self.languages.index(lang)]))
-        return mean + max(z * np.sqrt(spread + per_event / events), (worst - mean) / 2)
+        return mean + z * np.sqrt(spread + max(per_event, LEAST_VARIANCE) / events)
 
     def log_probs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Summed natural log-probabilities per run and language, and the number of events of each run."""
@@ -221,24 +222,38 @@ def train(labelled: DataFrame, order: int = 4, max_grams: int = 400_000, calibra
 
     Grams are counted over all rows, combined inside each task and then by Spark. A model keeps its ``max_grams``
     most frequent grams, which bounds what is broadcast. The rejection limit of a language is fitted on
-    the ``calibration_docs`` of its rows with the smallest hash of their id, as far as the model takes them for that language;
-    one with fewer than ``MIN_CALIBRATION`` of them takes the deviations of all languages, and without any also their mean.
+    the ``calibration_docs`` of its rows with the smallest hash of their id, each scored by models of the half of the rows that it
+    is not in, as far as those take it for that language. One with fewer than ``MIN_CALIBRATION`` of them takes the deviations of all
+    languages, and without any also their mean; if no row was held back from anything, the model's own losses count.
     """
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
     labelled = labelled.where("lang is not null").select("doc_id", "text", "lang")
-    spark = labelled.sparkSession
-    counted = labelled.select("lang", "text").mapInArrow(_count_grams(order), "lang string, gram string, n long")
-    counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    marked = labelled.select(F.concat(half.cast("string"), "lang").alias("lang"), "text")
+    counted = marked.mapInArrow(_count_grams(order), "lang string, gram string, n long")
+    second = F.col("lang").startswith("1")
+    counted = counted.groupBy(F.expr("substring(lang, 2)").alias("lang"), "gram").agg(
+        F.sum("n").alias("n"), F.sum(F.when(second, F.col("n")).otherwise(0)).alias("n1"))
     from pyspark.sql import Window
 
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     kept = counted.withColumn("place", rank).where(F.col("place") <= max_grams)
     counts: dict[str, dict[str, int]] = defaultdict(dict)
-    for batch in kept.select("lang", "gram", "n").toArrow().to_batches():
-        for lang, gram, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+    halves: list[dict[str, dict[str, int]]] = [defaultdict(dict), defaultdict(dict)]
+    for batch in kept.select("lang", "gram", "n", "n1").toArrow().to_batches():
+        for lang, gram, n, n1 in zip(*(batch.column(i).to_pylist() for i in range(4))):
             counts[lang][gram] = n
-    model = KneserNey.fit(sorted(counts), counts, order)
+            for table, c in zip(halves, (n - n1, n1)):
+                if c:
+                    table[lang][gram] = c
     chosen = sample_each(labelled, "lang", calibration_docs)
-    model.limits = _limits(sorted(counts), _moments(_calibration(chosen, model)))
+    losses = []
+    for k, table in enumerate(halves):
+        other = KneserNey.fit(sorted(table), table, order)
+        table.clear()
+        losses.append(_calibration(chosen.where(half != k), other))
+    model = KneserNey.fit(sorted(counts), counts, order)
+    moments = _moments(losses[0].unionByName(losses[1])) or _moments(_calibration(chosen, model))
+    model.limits = _limits(model.languages, moments)
     return model
 
 
@@ -340,7 +355,7 @@ def identify(docs: DataFrame, model: KneserNey, z: float = 8.0, carry: bool = Fa
     The prediction is the language with the lowest cross-entropy per character event (ties: the first by name); runs
     of letters are scored in lower case between a start and an end mark. ``score`` is the softmax share of
     the winner, with the evidence of at most 100 events. A document is rejected when its loss lies more than ``z`` calibrated
-    deviations above its language's mean and nearer to the loss of unknown characters than to that mean; the deviation has
+    deviations above its language's mean, whatever the alphabet of the corpus; the deviation has
     a part that shrinks with the number of events, so short texts are not rejected for being short.
 
     Texts that are null or have no letter get ``und``, score 0 and are rejected, as do all texts when no language was

@@ -81,6 +81,19 @@ def test_a_language_of_one_document_rejects_too(spark):
     assert (found[2].lang_pred, found[3].lang_pred) == ("fi", "en")
 
 
+def test_limits_do_not_follow_the_alphabet(spark):
+    """An unlearned language in a learned script is rejected also beside a language of thousands of letters."""
+    rng = np.random.default_rng(5)
+    wide = lambda: " ".join("".join(map(chr, 0x4E00 + (5000 * rng.random(6) ** 2).astype(int))) for _ in range(60))
+    rows = [(i, cases.prose(i, 80), "en") for i in range(300)] + [(i, wide(), "zh") for i in range(300, 600)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    foreign = "kaikki ihmiset syntyvat vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu jarki ja omatunto " * 4
+    texts = [(1, foreign), (2, cases.prose(900, 80)), (3, wide()), (4, cases.prose(901, 3))]
+    found = {r.doc_id: r for r in language_id.identify(cases.table(spark, texts), model).collect()}
+    assert found[1].lang_pred == "en" and found[1].rejected
+    assert [(found[i].lang_pred, found[i].rejected) for i in (2, 3, 4)] == [("en", False), ("zh", False), ("en", False)]
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
     scores, moves = rng.normal(size=6), rng.normal(size=(2, 2))
