@@ -195,3 +195,23 @@ def test_scores_agree_with_brute_force(spark):
         else:
             assert r.target_loss is None and r.score is None
     assert cross_entropy_difference(cases.empty(spark), spark.createDataFrame([], "doc_id long")).collect() == []
+
+
+def test_every_character_counts(spark):
+    """More characters than 126: each keeps its own trigrams, as in a dense model of all of them; tiny chunks give the same."""
+    letters = [chr(0x4E00 + i) for i in range(150)]
+    rng = np.random.default_rng(2)
+    rows = [(1, "".join(letters[:75]) * 2), (2, "".join(letters[75:]) * 2), (3, "".join(rng.choice(letters, 200))), (None, "a\U0001F600"), (4, None)]
+    found = {r.doc_id: r for r in cross_entropy_difference(
+        cases.table(spark, rows), spark.createDataFrame([(1,), (3,)], "doc_id long")).collect()}
+    number = {c: i + 2 for i, c in enumerate(sorted({c for _, t in rows for c in t or ""}))}
+    size = len(number) + 2
+    framed = lambda t: [0, 0, *(number[c] for c in t or "")]
+    at = lambda t: [(a * size + b) * size + c for a, b, c in zip(framed(t), framed(t)[1:], framed(t)[2:])]
+    near, far = (losses(np.bincount([g for i, t in rows if i in ids for g in at(t)], minlength=size**3), size) for ids in ((1, 3), (1, 2, 3, 4, None)))
+    for i, t in rows:
+        assert found[i].n_tokens == len(t or "")
+        if t:
+            assert math.isclose(found[i].target_loss, near[at(t)].mean(), rel_tol=1e-4)
+            assert math.isclose(found[i].background_loss, far[at(t)].mean(), rel_tol=1e-4)
+    assert found[2].score - found[1].score > 1
