@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from .tables import Workspace
 
 _GAP = "\r\n\r\n"
+#: Where the offsets of a segment's next file begin; no file is as long.
+PART = 1 << 31
 _LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)", re.IGNORECASE)
 _URI = re.compile(rb"\r\nwarc-target-uri:[ \t]*([^\r\n]*)", re.IGNORECASE)
 
@@ -27,10 +29,35 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit(_GAP), body)
 
 
-def write_warc(pages: DataFrame, path: str, per_segment: int = 1024) -> None:
-    """Uncompressed WARC files of (page_id, url, html), one folder ``segment=n`` per ``per_segment`` consecutive ids, ordered by id."""
-    rows = pages.select(
-        F.coalesce(F.floor(F.col("page_id") / per_segment), F.lit(-1)).cast("long").alias("segment"), "page_id", "url", "html")
+def write_warc(pages: DataFrame, path: str, per_segment: int = 1024, file_bytes: int = 256 << 20) -> None:
+    """Uncompressed WARC files of (page_id, url, html), one folder ``segment=n`` per ``per_segment`` consecutive ids, ordered by id;
+    pages without id are segment -1.
+
+    A segment of more than ``file_bytes``, which many pages without id or with one id make, is dealt by the hash of its rows to
+    parts of about half as many bytes, each a file in a folder of its own, ``segment=n_part`` after the first. Equal rows are dealt by
+    their number, so no file grows with them, and equal pages always give equal files.
+    """
+    segment = F.coalesce(F.floor(F.col("page_id") / per_segment), F.lit(-1)).cast("long")
+    rows = pages.select(segment.alias("segment"), "page_id", "url", "html")
+    bytes_ = F.octet_length(record(F.col("page_id"), F.col("url"), F.col("html"))).cast("long") + len(_GAP)
+    sizes = rows.groupBy("segment").agg(F.sum(bytes_).alias("bytes")).where(F.col("bytes") > file_bytes)
+    # as few as the bytes allow, so every task can have the list
+    large = {r["segment"]: -(-2 * r["bytes"] // file_bytes) for r in sizes.collect()}
+    rows = rows.withColumn("part", F.lit(0).cast("long"))
+    if large:
+        parts = F.broadcast(pages.sparkSession.createDataFrame(list(large.items()), "segment long, parts long"))
+        hot = rows.drop("part").join(parts, "segment")
+        key = ["segment", "parts", "page_id", "url", "html"]
+        digest = F.sha2(F.concat_ws("\n", *(F.coalesce(F.hex(c), F.lit("-")) for c in (F.col("page_id"), F.col("url"), F.col("html")))), 256)
+        copies = hot.groupBy("segment", "parts", digest.alias("digest")).agg(F.count("*").alias("n"), F.first(F.struct(*key[2:])).alias("page"))
+        # copies are numbered in two steps, a block of numbers and the numbers of a block, each dealt out before it grows
+        blocks = copies.withColumn("block", F.explode(F.expr("sequence(0L, (n - 1) div 64)")))
+        blocks = blocks.repartition("digest", "block")
+        each = blocks.withColumn("copy", F.explode(F.expr("sequence(block * 64, least(block * 64 + 63, n - 1))")))
+        dealt = each.select("segment", "page.*", F.pmod(F.xxhash64("digest", "copy"), F.col("parts")).alias("part"))
+        rows = rows.join(parts.select("segment"), "segment", "left_anti").unionByName(dealt)
+    folder = F.when(F.col("part") == 0, F.col("segment").cast("string")).otherwise(F.concat_ws("_", "segment", "part"))
+    rows = rows.select(folder.alias("segment"), "page_id", "url", "html")
     rows = rows.repartition("segment").sortWithinPartitions("segment", "page_id", "url", "html")
     rows = rows.select("segment", record(F.col("page_id"), F.col("url"), F.col("html")).alias("value"))
     rows.write.partitionBy("segment").option("lineSep", _GAP).text(path)
@@ -56,17 +83,20 @@ def _records(batches):
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     for batch in batches:
         out: list[list] = [[] for _ in names]
-        for segment, content in zip(batch.column("segment").to_pylist(), batch.column("content")):
-            for found in parse(content.as_py()):
-                for column, value in zip(out, (segment, *found)):
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+            segment, part = re.search(r"/segment=(-?\d+)(?:_(\d+))?/[^/]*$", path).groups()
+            for offset, *found in parse(content.as_py()):
+                for column, value in zip(out, (int(segment), int(part or 0) * PART + offset, *found)):
                     column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=names)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the WARC files below ``path``: segment, offset, length, uri, digest."""
-    files = spark.read.schema("path string, modificationTime timestamp, length long, content binary, segment long").format("binaryFile").load(path)
-    return files.select("segment", "content").mapInArrow(_records, "segment long, offset long, length long, uri string, digest string")
+    """One row per record of the WARC files below ``path``: segment, offset, length, uri, digest.
+
+    The offsets of part k of a segment begin at k times ``PART``."""
+    files = spark.read.schema("path string, modificationTime timestamp, length long, content binary, segment string").format("binaryFile").load(path)
+    return files.select("path", "content").mapInArrow(_records, "segment long, offset long, length long, uri string, digest string")
 
 
 def ranges(records: DataFrame, span: int) -> DataFrame:
@@ -99,7 +129,8 @@ def audit(spark: SparkSession, first: str, second: str, span: int = 1 << 16, fan
     nodes that differ are compared, and only records of differing ranges in the end. ``status`` is "changed" where both replicas have a record at
     the offset, "missing" where only the first has, "extra" where only the second has.
 
-    A node lists at most ``fan`` children, or the records of ``span`` bytes, so no group grows with the file. Equal replicas and
+    A node lists at most ``fan`` children, or the records of ``span`` bytes, so no group grows with the file; the parts of a segment
+    are one tree. Equal replicas and
     empty ones give no rows; a file that only one replica has is reported record by record; a damaged header turns the rest of its file into one record
     with null uri.
     """

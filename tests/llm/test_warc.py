@@ -79,3 +79,19 @@ def test_root_follows_the_definition(spark):
     top = warc.parents(warc.parents(nodes, 2), 2).collect()
     middle = {0: sha(f"0:{low[0]}\n1:{low[1]}"), 1: sha(f"3:{low[3]}")}
     assert [r.hash for r in top] == [sha(f"0:{middle[0]}\n1:{middle[1]}")]
+
+
+def test_no_file_grows_with_pages_of_one_segment(spark, tmp_path):
+    """Pages without id, and copies of one page, are spread over files of bounded size, none lost, and damage is found in any of them."""
+    rows = [(i, f"https://a.example/{i}", cases.prose(i, 30)) for i in range(100)]
+    rows += [(None, f"https://b.example/{i}", cases.prose(i, 30)) for i in range(400)] + [(2000, "https://c.example", "twice")] * 400
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for name, n, table in (("a", 3, df), ("b", 5, df), ("c", 4, df.withColumn("html", F.when(F.col("url") == "https://b.example/7", F.translate("html", "e", "#")).otherwise(F.col("html"))))):
+        warc.write_warc(table.repartition(n), str(tmp_path / name), per_segment=1024, file_bytes=40_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "a").rglob("part-*")]
+    assert max(sizes) < 50_000 and len(sizes) > 8
+    listed = warc.manifest(spark, str(tmp_path / "a")).collect()
+    assert len(listed) == len(rows) and len({(r.segment, r.offset) for r in listed}) == len(rows)
+    assert sum(r.length for r in listed) == sum(sizes) and {r.segment for r in listed} == {-1, 0, 1}
+    assert warc.audit(spark, str(tmp_path / "a"), str(tmp_path / "b"), span=256, fan=2).collect() == []
+    assert "https://b.example/7" in {r.uri for r in warc.audit(spark, str(tmp_path / "a"), str(tmp_path / "c"), span=256, fan=2).collect()}
