@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, toxicity, warc
+from . import bpe, language_id, quality, toxicity, warc
 from .exact_dedup import exact_dedup
 from .embedding_dedup import near_vectors
 from .language_id import held_out
@@ -98,6 +98,15 @@ def op8_lm_scoring(spark, sf_dir):
     return cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
+@query
+def op11_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    weights = quality.train(docs.select("doc_id", "text").where(~quality.held_out()).join(labels, "doc_id"))
+    found = quality.score(docs, weights)
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted", "n_features")
+
+
 @query
 def op9_warc_audit(spark, sf_dir):
     """All pages as WARC files, a replica of them with known damage, and the audit of the two."""
