@@ -15,6 +15,7 @@ from .language_id import held_out
 from .lm_scoring import cross_entropy_difference
 from .near_dedup import near_dedup
 from .packing import pack
+from .spelling import spelling_variants
 from .tables import Workspace
 from .token_counts import token_counts
 
@@ -107,6 +108,50 @@ def op11_quality_classifier(spark, sf_dir):
     return found.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted", "n_features")
 
 
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling_variants"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS tab
+  FROM range(256) r(i)),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+grouped AS (SELECT doc_id, run, count(*) AS c FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+coded AS (
+  SELECT doc_id, run, c, tab, flatten(list_transform(string_split(doc_id::VARCHAR || ':' || run, ''),
+    lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [195, ord(x)::BIGINT - 64] END)) AS bytes
+  FROM grouped, crc_table),
+hashed AS (
+  SELECT run, c, length(run) AS size,
+    xor(list_reduce(bytes, lambda h, b: xor(h // 256, tab[xor(h % 256, b) + 1]), 4294967295), 4294967295) AS h
+  FROM coded),
+cut AS (
+  SELECT c, CASE WHEN h % 97 = 0 THEN left(run, (h % size)::BIGINT) || substr(run, (h % size)::BIGINT + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+parts AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+shorter AS (SELECT DISTINCT p.word AS a, p.n AS an, w.word AS b, w.n AS bn FROM parts p JOIN words w ON w.word = p.rest),
+near AS (
+  SELECT p.word AS a, q.word AS b, q.n AS bn FROM parts p JOIN parts q ON p.i = q.i AND p.rest = q.rest AND p.word <> q.word
+  UNION ALL SELECT a, b, bn FROM shorter UNION ALL SELECT b, a, an FROM shorter),
+best AS (
+  SELECT a, count(*) AS n_near, first(b ORDER BY bn DESC, b) AS b, max(bn) AS bn FROM near GROUP BY a),
+known AS (
+  SELECT word, CASE WHEN bn >= 2 * n THEN b END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 2 * n THEN bn END AS form_n
+  FROM words LEFT JOIN best ON a = word),
+chain AS (
+  SELECT word, form AS at FROM known WHERE form IS NOT NULL
+  UNION ALL SELECT c.word, k.form FROM chain c JOIN known k ON k.word = c.at WHERE k.form IS NOT NULL),
+ends AS (SELECT c.word, c.at FROM chain c JOIN known k ON k.word = c.at WHERE k.form IS NULL)
+SELECT k.word, k.form, coalesce(e.at, k.word) AS root, k.n, k.n_near, k.form_n FROM known k LEFT JOIN ends e USING (word)
+"""
+
+
 @query
 def op9_warc_audit(spark, sf_dir):
     """All pages as WARC files, a replica of them with known damage, and the audit of the two."""
