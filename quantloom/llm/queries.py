@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, language_id, quality, toxicity, warc
+from .alignment import align
 from .exact_dedup import exact_dedup
 from .embedding_dedup import near_vectors
 from .language_id import held_out
@@ -152,6 +153,11 @@ SELECT k.word, k.form, coalesce(e.at, k.word) AS root, k.n, k.n_near, k.form_n F
 """
 
 
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op9_warc_audit(spark, sf_dir):
     """All pages as WARC files, a replica of them with known damage, and the audit of the two."""
