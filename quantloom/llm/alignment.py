@@ -15,13 +15,29 @@ from pyspark.sql import functions as F
 from .bpe import byte_alphabet
 from .tables import Workspace
 from .tokenizers import load
-from .words import Lexicon, Words, slices, split_pieces, sums, text_bytes
+from .words import SPACE, Lexicon, Words, slices, split_pieces, sums, text_bytes
 
 #: Bytes of text of the documents that are aligned and scored together.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Links that are listed at once; groups with more have their equal ids counted first.
 _LINKS, _LARGE = 1 << 20, 256
-_HELD = 150_000  # pieces of which a worker keeps the tokens
+_HELD = 400_000  # pieces of which a worker keeps the tokens
+
+
+def neighbours(labels: list[bytes]) -> np.ndarray:
+    """Which bytes are neighbours inside some token, as a table of 256 x 256: where two are not, no token can hold both."""
+    out = np.zeros((256, 256), bool)
+    for label in labels:
+        for x, y in zip(label, label[1:]):
+            out[x, y] = True
+    return out
+
+
+def _cut(raw: np.ndarray, begins: np.ndarray, offsets: np.ndarray) -> Words:
+    """The pieces that begin at the marked places; together they are the texts."""
+    begins[offsets[offsets < len(raw)]] = True
+    starts = np.flatnonzero(begins)
+    return Words(raw, starts, np.append(starts[1:], len(raw)) if len(starts) else starts, offsets)
 
 
 class ByteSide:
@@ -37,6 +53,10 @@ class ByteSide:
         for token, i in vocabulary.items():
             self.labels[i] = bytes(alphabet[c] for c in token if c in alphabet)
         self.sizes = pa.array([len(x) for x in self.labels], pa.int64())
+        # texts are cut at white space, and further between other ASCII characters that no token holds; apostrophes begin contractions
+        apart = ~neighbours(self.labels)
+        blunt = np.array([c >= 128 or SPACE[c] or c < 32 or c in b"'\x7f" for c in range(256)])
+        self.apart = apart & ~blunt[:, None] & ~blunt
         self.lexicon = Lexicon(self._encode, _HELD)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -51,7 +71,12 @@ class ByteSide:
         return np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths
 
     def split(self, texts: pa.Array) -> Words:
-        return split_pieces(texts)
+        words = split_pieces(texts)
+        raw, offsets = text_bytes(texts)
+        more = np.zeros(len(raw), bool)
+        more[1:] = self.apart[raw[:-1], raw[1:]]
+        more[words.starts] = True
+        return _cut(raw, more, offsets)
 
     def tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each has."""
@@ -63,8 +88,8 @@ class ByteSide:
 class PieceSide(ByteSide):
     """Tokens of a sentencepiece model that puts a space before every text; the texts given begin with that space.
 
-    No piece of a model that is split at spaces goes on after one, and none holds a line break, so texts are cut before spaces and around line
-    breaks. A part is encoded after a line break, whose tokens are taken off again: no space is put before it that way."""
+    Texts are cut between characters that no piece holds side by side, as a merge would make such a piece. If no piece holds a line break, a part
+    is encoded after one, whose tokens are taken off again: no space is put before it that way. Else texts are encoded whole."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -75,7 +100,11 @@ class PieceSide(ByteSide):
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(pieces)]
         self.sizes = pa.array([len(x) for x in self.labels], pa.int64())
         self.before = self.model.encode("\n")
-        self.cuts = len(self.before) == 2 and not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
+        held = neighbours(self.labels)
+        self.cuts = len(self.before) == 2 and not (held[10].any() or held[:, 10].any())
+        # a character of several bytes is never cut; bytes that stand for themselves hold no neighbours
+        self.apart = ~held
+        self.apart[:, 0x80:0xC0] = False
         self.lexicon = Lexicon(self._encode, _HELD)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -87,12 +116,8 @@ class PieceSide(ByteSide):
         raw, offsets = text_bytes(texts)
         begins = np.zeros(len(raw), bool)
         if self.cuts:
-            space, line = raw == 32, raw == 10
-            begins = space | line
-            begins[1:] = (space[1:] & ~space[:-1]) | line[1:] | line[:-1]
-        begins[offsets[offsets < len(raw)]] = True
-        starts = np.flatnonzero(begins)
-        return Words(raw, starts, np.append(starts[1:], len(raw)) if len(starts) else starts, offsets)
+            begins[1:] = self.apart[raw[:-1], raw[1:]]
+        return _cut(raw, begins, offsets)
 
 
 def as_lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
