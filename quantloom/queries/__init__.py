@@ -2,7 +2,7 @@
 
 from .registry import ORACLES, QUERIES
 from . import (  # noqa: F401  (importing registers the queries)
-    aggregates, calendars, checks, functions, jobs, joins, projections, sets, sources, windows,
+    aggregates, calendars, checks, functions, jobs, joins, projections, publishing, sets, sources, windows,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from . import versions
 from ..operators.bars import bars_from_trades, pack_order
 from ..operators.contracts import bar_violations, publish_violations
 from ..operators.quality import verify_dataset
@@ -23,14 +25,22 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def read_bars(spark: SparkSession, root: str, start: date | None = None, end: date | None = None) -> DataFrame:
+def read_bars(
+    spark: SparkSession, root: str, start: date | None = None, end: date | None = None, snapshot: int | None = None,
+) -> DataFrame:
     """The whole table, or its closed date range; an absent one reads as no rows. A range opens the folders of its years only.
 
-    The schema is given, so ``symbol=007`` stays text and no file is opened to infer types.
+    A published table is read as its snapshot in force says, or as ``snapshot`` does; what is published later does not change rows
+    that have been asked for. The schema is given, so ``symbol=007`` stays text and no file is opened to infer types.
     """
-    if not has_files(spark, root):
+    if versions.versioned(spark, root):
+        rows = versions.live_rows(spark, root, snapshot)
+    elif snapshot is not None:
+        raise ValueError(f"{root} has no snapshots")
+    elif not has_files(spark, root):
         return spark.createDataFrame([], BAR).select(*STANDARD_COLUMNS)
-    rows = spark.read.schema(BAR).parquet(root)
+    else:
+        rows = spark.read.schema(BAR).parquet(root)
     if start is not None:
         rows = rows.where((F.col("year") >= start.year) & (F.col("date") >= F.lit(start)))
     if end is not None:
@@ -110,22 +120,29 @@ def read_bars_window(
 
 
 def write_bars(bars: DataFrame, root: str, mode: str = "error", layout: list[str] | None = None) -> None:
-    """Partitioned Parquet, folders gathered into few files, rows in date order.
+    """Partitioned Parquet, folders gathered into few files, rows in date order. No rows at all are refused.
 
     The rebalance hint lets adaptive execution merge small folders into one task and split a
     hot one over several. Pass ``layout=["year"]`` where a folder per symbol would be too many.
     """
     layout = LAYOUT if layout is None else layout
     keys = [F.col(k) for k in ("symbol", "year")]
+    seen = Observation()
+    before = has_files(bars.sparkSession, root)
     (
         bars.select(*STANDARD_COLUMNS, F.year("date").alias("year"))
         .hint("rebalance", *keys)
         .sortWithinPartitions("symbol", "year", "date")
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*layout)
         .parquet(root)
     )
+    if not seen.get["rows"]:
+        if not before:
+            versions.remove(bars.sparkSession, root)
+        raise ValueError(f"no bars to write to {root}")
 
 
 def _stop_on(problems: DataFrame, what: str) -> None:
@@ -134,59 +151,57 @@ def _stop_on(problems: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {[row.asDict() for row in sample]}")
 
 
-def publish_bars(bars: DataFrame, root: str) -> DataFrame:
-    """Stage, check, replace the touched partitions, confirm; returns the live rows.
-
-    The staged copy is what gets checked and what gets published, and the partitions about to
-    be replaced are kept aside first. A symbol's whole history is replaced: years that the new version
-    lacks go. Should anything fail from the overwrite on, the symbols are put back as they were, and
-    partitions that only the failed version had are removed.
-    """
-    spark = bars.sparkSession
-    staging, kept = scratch_path(spark, "staged"), scratch_path(spark, "kept")
-    write_bars(bars, staging)
-    staged = read_bars(spark, staging)
+def _sound(staged: DataFrame) -> None:
     verdict = verify_dataset(staged).head()
     if not verdict["ok"]:
         raise ValueError(f"staged bars: {verdict['issues']}")
     _stop_on(bar_violations(staged), "staged bars break the contract")
 
-    symbols = staged.select("symbol").distinct()
-    write_bars(rows_of_symbols(spark, root, symbols), kept)
-    before, after = _folders(read_bars(spark, kept)), _folders(staged)
-    try:
-        write_bars(staged, root, mode="overwrite")
-        _remove(spark, root, before - after)
-        live = rows_of_symbols(spark, root, symbols)
-        _stop_on(publish_violations(staged, live), "published bars differ from the staged ones")
-    except Exception:
-        _remove(spark, root, after - before)
-        write_bars(read_bars(spark, kept), root, mode="overwrite")
-        raise
-    return live
 
+def _confirmed(staged: DataFrame, live: DataFrame) -> None:
+    _stop_on(publish_violations(staged, live), "published bars differ from the staged ones")
 
-def _folders(bars: DataFrame) -> set[tuple[str, int]]:
-    """The partitions a table occupies: one name per symbol and year."""
-    return {(r[0], r[1]) for r in bars.select("symbol", F.year("date")).distinct().collect()}
 
+def publish_bars(
+    bars: DataFrame | None, root: str, *, token: str | None = None, side: dict[str, DataFrame] | None = None, last_order: str | None = None,
+) -> DataFrame:
+    """Writes the rows as a version, checks it, confirms what readers would see and swaps it in by one rename; returns the rows of
+    that version.
 
-def _remove(spark: SparkSession, root: str, folders: set[tuple[str, int]]) -> None:
-    """Deletes partitions that the live version no longer has."""
-    for symbol, year in folders:
-        place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/symbol={symbol}/year={year}")
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    A symbol's whole history is replaced: years that the new version lacks go. Readers see all of it or nothing, and until the swap, or if
+    anything fails, exactly what they saw before. A delivery whose ``token`` is in the table's ledger is not published again.
+    ``side`` tables are stored with the version and count from the swap on; with them, ``bars`` may be None. Rows that
+    were written to ``root`` without versions become its first one.
+    """
+    spark = (bars if bars is not None else next(iter(side.values()))).sparkSession
+    if not versions.versioned(spark, root) and has_files(spark, root) and any(n.startswith("symbol=") for n in versions.names(spark, root)):
+        versions.commit(spark, root, read_bars(spark, root), write_bars)
+    done = versions.commit(
+        spark, root, bars, write_bars, check=_sound, confirm=_confirmed, token=token, side=side, last_order=last_order)
+    if done is None:
+        return read_bars(spark, root)
+    number, version = done
+    return versions.live_rows(spark, root, number).where(F.col("version") == version).select(*STANDARD_COLUMNS)
 
 
 def land_raw(raw: DataFrame, root: str, run_id: str) -> None:
     """Stores vendor rows untouched, next to the window they were fetched for, one folder per run.
 
-    ``delivery`` numbers the rows in the order they were delivered. A run lands once: its id cannot be used again.
+    ``delivery`` numbers the rows in the order they were delivered. A run lands once, whole: its id cannot be used again, and a landing that
+    was cut off leaves nothing under it.
     """
-    folder = f"{root}/run_id={run_id}"
-    if has_files(raw.sparkSession, folder):
+    spark, folder = raw.sparkSession, f"{root}/run_id={run_id}"
+    if has_files(spark, folder):
+        raise ValueError(f"run {run_id} has already landed")
+    arriving = f"{root}/_arriving/{uuid.uuid4().hex}"
+    raw.withColumn("delivery", F.monotonically_increasing_id()).write.parquet(arriving)
+    if not versions.take_name(spark, arriving, folder):
+        versions.remove(spark, arriving)
         raise ValueError(f"run {run_id} has already landed")
-    raw.withColumn("delivery", F.monotonically_increasing_id()).write.parquet(folder)
+
+
+def has_landed(spark: SparkSession, root: str, run_id: str) -> bool:
+    return has_files(spark, f"{root}/run_id={run_id}")
 
 
 def landed(spark: SparkSession, root: str, run_id: str) -> DataFrame:
@@ -218,6 +233,6 @@ def trades_from_lineitem(lineitem: DataFrame, part: DataFrame, grain: str = "wee
 
 
 __all__ = [
-    "bars_from_trades", "has_files", "land_raw", "publish_bars", "read_bars", "read_bars_window",
+    "bars_from_trades", "has_files", "has_landed", "land_raw", "publish_bars", "read_bars", "read_bars_window",
     "landed", "read_history", "read_symbol", "rows_of_symbols", "trades_from_lineitem", "window_duplicates", "write_bars",
 ]
