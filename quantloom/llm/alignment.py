@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 
 import numpy as np
@@ -13,31 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_alphabet
-from .tables import Workspace
-from .tokenizers import load
-from .words import SPACE, Lexicon, Words, slices, split_pieces, sums, text_bytes
+from .tables import Workspace, lean
+from .tokenizers import apart_in_words, cut_at, load, neighbours, split_finely
+from .words import Lexicon, Words, slices, sums, text_bytes
 
 #: Bytes of text of the documents that are aligned and scored together.
 CHUNK = 1 << 20
 #: Links that are listed at once; groups with more have their equal ids counted first.
 _LINKS, _LARGE = 1 << 20, 256
-_HELD = 400_000  # pieces of which a worker keeps the tokens
-
-
-def neighbours(labels: list[bytes]) -> np.ndarray:
-    """Which bytes are neighbours inside some token, as a table of 256 x 256: where two are not, no token can hold both."""
-    out = np.zeros((256, 256), bool)
-    for label in labels:
-        for x, y in zip(label, label[1:]):
-            out[x, y] = True
-    return out
-
-
-def _cut(raw: np.ndarray, begins: np.ndarray, offsets: np.ndarray) -> Words:
-    """The pieces that begin at the marked places; together they are the texts."""
-    begins[offsets[offsets < len(raw)]] = True
-    starts = np.flatnonzero(begins)
-    return Words(raw, starts, np.append(starts[1:], len(raw)) if len(starts) else starts, offsets)
+_HELD = 250_000  # pieces of which a worker keeps the tokens
+_AT_ONCE = 1 << 13  # pieces that are encoded at once
 
 
 class ByteSide:
@@ -53,30 +39,25 @@ class ByteSide:
         for token, i in vocabulary.items():
             self.labels[i] = bytes(alphabet[c] for c in token if c in alphabet)
         self.sizes = pa.array([len(x) for x in self.labels], pa.int64())
-        # texts are cut at white space, and further between other ASCII characters that no token holds; apostrophes begin contractions
-        apart = ~neighbours(self.labels)
-        blunt = np.array([c >= 128 or SPACE[c] or c < 32 or c in b"'\x7f" for c in range(256)])
-        self.apart = apart & ~blunt[:, None] & ~blunt
+        self.apart = apart_in_words(self.labels)
         self.lexicon = Lexicon(self._encode, _HELD)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        labels = self.labels
-        found = [
-            ids if b"".join([labels[i] for i in ids]) == piece else [-1]
-            for ids, piece in zip(self._ids([p.decode("utf-8") for p in pieces]), pieces)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths
+        labels, ids, sizes = self.labels, [], []
+        for at in range(0, len(pieces), _AT_ONCE):
+            some = pieces[at:at + _AT_ONCE]
+            found = [
+                tokens if b"".join([labels[i] for i in tokens]) == piece else [-1]
+                for tokens, piece in zip(self._ids([p.decode("utf-8") for p in some]), some)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), np.int32, int(sizes[-1].sum())))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def split(self, texts: pa.Array) -> Words:
-        words = split_pieces(texts)
-        raw, offsets = text_bytes(texts)
-        more = np.zeros(len(raw), bool)
-        more[1:] = self.apart[raw[:-1], raw[1:]]
-        more[words.starts] = True
-        return _cut(raw, more, offsets)
+        return split_finely(texts, self.apart)
 
     def tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each has."""
@@ -117,7 +98,7 @@ class PieceSide(ByteSide):
         begins = np.zeros(len(raw), bool)
         if self.cuts:
             begins[1:] = self.apart[raw[:-1], raw[1:]]
-        return _cut(raw, begins, offsets)
+        return cut_at(raw, begins, offsets)
 
 
 def as_lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
@@ -237,6 +218,7 @@ def _small(values: np.ndarray) -> np.ndarray:
 
 
 def _align(a_path: str, b_path: str):
+    @lean
     def run(batches):
         first, second = ByteSide(a_path), PieceSide(b_path)
         decimals = Decimals(max(len(first.labels), len(second.labels)))

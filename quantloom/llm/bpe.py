@@ -6,11 +6,13 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import text_of
+from .tables import lean, small_batches, text_of
+from .tokenizers import apart_in_words, split_finely
 from .words import HashIndex, Lexicon, mix, slices, split_pieces, sums
 
 _NEVER = np.int32(2**31 - 1)
@@ -205,6 +207,7 @@ class Encoder:
         self.automaton, self.pattern = automaton, regex.compile(pattern)
         names = sorted(automaton.specials, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        self.apart = apart_in_words([label for i, label in enumerate(automaton.labels) if automaton.usable[i]])
         self.lexicon = Lexicon(self._encode)
 
     def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -226,16 +229,20 @@ class Encoder:
         return np.concatenate(whole) if whole else np.zeros(0, np.int32), lengths
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        words = split_pieces(texts)
+        # a special string must not be cut
+        held = any(pc.any(pc.match_substring(texts, name)).as_py() for name in self.automaton.specials)
+        words = split_pieces(texts) if held else split_finely(texts, self.apart)
         ids, lengths = self.lexicon.gather(self.lexicon.rows(words))
         return ids.astype("<u4"), sums(lengths, words.counts)
 
 
 def _encode_rows(shared, pattern: str):
+    @lean
     def run(batches):
         encoder = Encoder(Automaton(*shared.value), pattern)
         for batch in batches:
-            for part in slices(batch):
+            # each length of words and each place in them is one step for a whole slice, so slices are large
+            for part in slices(batch, limit=4 << 20):
                 ids, counts = encoder.ids(part.column("text"))
                 raw, ends = ids.tobytes(), np.cumsum(counts)
                 blobs = [raw[4 * (e - n):4 * e] for n, e in zip(counts.tolist(), ends.tolist())]
@@ -246,6 +253,7 @@ def _encode_rows(shared, pattern: str):
 
 
 def _decode_rows(shared):
+    @lean
     def run(batches):
         labels = shared.value
         sizes = np.array([len(x) for x in labels], np.int64)
@@ -273,6 +281,7 @@ def encode(docs: DataFrame, automaton: Automaton, pattern: str) -> DataFrame:
     each give a row; null ids stay null; an empty table gives none; other columns are ignored. One map over the rows, no
     shuffle; the automaton's size is that of the vocabulary.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(automaton.state())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return texts.mapInArrow(_encode_rows(shared, pattern), "doc_id long, n_tokens long, ids binary")

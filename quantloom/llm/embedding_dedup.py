@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import Workspace
+from .tables import Workspace, lean
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -65,6 +65,7 @@ _CODED = pa.schema([("node", pa.int64()), ("copies", pa.int64()), ("vector", pa.
 
 
 def _coded(tables: int, probes: int):
+    @lean
     def run(batches):
         for batch in batches:
             raw = batch.column("vector").to_pylist()

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import emit, inputs, results, sample_each
+from .tables import emit, inputs, lean, results, sample_each
 from .words import Lexicon, mix, slices, split_words
 
 _LETTERS = regex.compile(r"\p{L}+")
@@ -186,6 +186,7 @@ def _interpolate(counts: dict[str, int], order: int, uniform: float):
 def _count_grams(order: int, held: int = 150_000):
     """Counts words per language first, then turns each distinct word into grams; about ``held`` words are kept at a time."""
 
+    @lean
     def run(batches):
         grams: dict = defaultdict(int)
         counts: dict = {}
@@ -323,6 +324,7 @@ _RESULT = "doc_id long, lang_pred string, score double, cross_entropy double, ev
 
 
 def _identify(shared, z: float):
+    @lean
     def run(batches):
         model = KneserNey.from_state(shared.value)
         scorer = Scorer(model)

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Workspace, text_of
+from .tables import Workspace, lean, text_of
 from .words import slices, text_bytes
 
 ORDER = 3
@@ -68,6 +68,7 @@ def _symbols(part: pa.RecordBatch, known: np.ndarray | None) -> tuple[np.ndarray
 def _chunks(names: list[str]):
     """Adds the number of the chunk: consecutive rows of one task with at most ``CHUNK`` bytes of text, or one longer row."""
 
+    @lean
     def run(batches):
         chunk, held = TaskContext.get().partitionId() << 33, 0
         for batch in batches:
@@ -93,6 +94,7 @@ def _count_trigrams(known: np.ndarray | None):
                 [pa.array(np.full(len(grams[some]), chunk)), *map(pa.array, (grams[some], both[0][some], both[1][some]))],
                 names=["chunk", "gram", "background", "target"])
 
+    @lean
     def run(batches):
         chunk, found = None, []
         for batch in batches:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import Shingler, common
-from .tables import Workspace, text_of
+from .tables import Workspace, lean, text_of
 from .words import mix, slices
 
 # The two permutations of the universe of 2^32 shingle ids: the same bijection, differently keyed.
@@ -95,6 +95,7 @@ _SKETCH_SCHEMA = "doc_id long, n_shingles long, set_id binary, keys array<long>,
 
 
 def _sketches(width: int, bands: int, rows: int, length: int):
+    @lean
     def run(batches):
         shingler = Shingler(width)
         for batch in batches:
@@ -120,6 +121,7 @@ def _sketches(width: int, bands: int, rows: int, length: int):
 
 
 def _confirm(width: int, percent: int):
+    @lean
     def run(batches):
         shingler = Shingler(width)
         for batch in batches:

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import text_of
+from .tables import lean, small_batches, text_of
 from .tokenizers import PieceEncoder, load
 from .words import Lexicon, slices, split_words, sums
 
@@ -73,6 +73,7 @@ PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids_crc32
 
 
 def _pieces(path: str, longest: int, end_id: int, with_ids: bool):
+    @lean
     def run(batches):
         encoder = LowerWordEncoder(path)
         for batch in batches:
@@ -110,6 +111,7 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = 2048, end_id: int
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest sequence must be a power of two")
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     pieces = texts.mapInArrow(_pieces(tokenizer_path, longest, end_id, with_ids), PIECE_SCHEMA)
     return pieces.withColumns({"bucket": F.col("length"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Workspace, emit, inputs, results, text_of
+from .tables import Workspace, emit, inputs, lean, results, text_of
 from .words import SPACE, Words, mix, slices, text_bytes
 
 #: Size of the hashed weight vector; one more weight is the constant.
@@ -84,6 +84,7 @@ class Leader:
 
 
 def _rows(width: int):
+    @lean
     def run(batches):
         for batch in batches:
             for part in slices(batch):
@@ -147,6 +148,7 @@ def train(
 
 
 def _score(shared, width: int, threshold: float):
+    @lean
     def run(batches):
         weights = shared.value.astype(np.float64)
         for batch in batches:

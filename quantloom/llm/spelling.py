@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Workspace
+from .tables import Workspace, lean
 from .words import LOWER, Words, slices, text_bytes
 
 #: Letter groups, one level of the trie each: a letter's place in the alphabet (for others, its code) modulo this.
@@ -84,6 +84,7 @@ def _count_words(least: int, every: int, held: int = 200_000):
         words = pa.array([w.decode("latin-1") for w in counts], pa.string())
         return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
+    @lean
     def run(batches):
         counts: dict[bytes, int] = {}
         for batch in batches:
@@ -166,6 +167,7 @@ def _with_path(batches):
 def _queries(low: np.ndarray, high: np.ndarray):
     """(part, word, n) for every part of the trie that a word's search can enter; part k holds the paths low[k]..high[k]."""
 
+    @lean
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1 << 14):

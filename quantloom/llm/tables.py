@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +14,38 @@ from pyspark.sql import types as T
 from quantloom.session import scratch_path
 
 
+#: Bytes of the Arrow batches that tasks exchange with Python, and Spark's own setting, which is replaced.
+BATCH_BYTES, _DEFAULT = 8 << 20, 64 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes in this session, unless the session has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "").rstrip("b") in (str(_DEFAULT), "-1", str(2**31 - 1)):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Returns freed memory to the machine: workers and the driver live on after a task, and would hold it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def lean(run):
+    """A function over a task's batches that gives its memory back when the task ends."""
+
+    @functools.wraps(run)
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 class Workspace:
     """Tables of one operator call below the shared folder; ``drop`` removes those no longer needed.
 
@@ -17,6 +53,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        small_batches(spark)
         self.spark, self.root, self.count = spark, scratch_path(spark, label), 0
 
     def path(self) -> str:
@@ -64,6 +101,7 @@ def sample_each(docs: DataFrame, key: str, rows: int) -> DataFrame:
 
 def inputs(docs: DataFrame, carry: bool) -> DataFrame:
     """(doc_id, text), and with ``carry`` the whole row as the struct ``document``, so that no name can clash."""
+    small_batches(docs.sparkSession)
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text")]
     return docs.select(*columns, *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document")] if carry else []))
 

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Workspace, text_of
+from .tables import Workspace, lean, text_of
 from .tokenizers import PieceEncoder, version_digest
 from .words import slices
 
@@ -21,6 +21,7 @@ def content_digest(text=None):
 
 
 def _count(path: str):
+    @lean
     def run(batches):
         encoder = PieceEncoder(path)
         for batch in batches:

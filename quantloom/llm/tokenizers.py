@@ -8,7 +8,8 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from .words import Lexicon, split_pieces, sums
+from .words import SPACE, Lexicon, Words, split_pieces, sums, text_bytes
+
 
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,3 +54,37 @@ class PieceEncoder:
         words = split_pieces(texts)
         rows = self.lexicon.rows(words)
         return sums(self.lexicon.lengths[rows].astype(np.int64), words.counts)
+
+
+def neighbours(labels: list[bytes]) -> np.ndarray:
+    """Which bytes are neighbours inside some token, as a table of 256 x 256: where two are not, no token can hold both."""
+    out = np.zeros((256, 256), bool)
+    for label in labels:
+        for x, y in zip(label, label[1:]):
+            out[x, y] = True
+    return out
+
+
+def apart_in_words(labels: list[bytes]) -> np.ndarray:
+    """Pairs of ASCII characters between which a text of byte-level tokens may be cut: no token holds both, neither is white space, and neither
+    is an apostrophe, which begins contractions."""
+    blunt = np.array([c >= 127 or c <= 32 or c == 39 for c in range(256)])
+    return ~neighbours(labels) & ~blunt[:, None] & ~blunt
+
+
+def cut_at(raw: np.ndarray, begins: np.ndarray, offsets: np.ndarray) -> Words:
+    """The pieces that begin at the marked places; together they are the texts."""
+    begins[offsets[offsets < len(raw)]] = True
+    starts = np.flatnonzero(begins)
+    return Words(raw, starts, np.append(starts[1:], len(raw)) if len(starts) else starts, offsets)
+
+
+def split_finely(texts: pa.Array, apart: np.ndarray) -> Words:
+    """The pieces of :func:`split_pieces`, cut further between the characters that ``apart`` marks: fewer distinct ones, as words and the marks
+    that follow them come apart."""
+    words = split_pieces(texts)
+    raw, offsets = text_bytes(texts)
+    begins = np.zeros(len(raw), bool)
+    begins[1:] = apart[raw[:-1], raw[1:]]
+    begins[words.starts] = True
+    return cut_at(raw, begins, offsets)

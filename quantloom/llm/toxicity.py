@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .near_dedup import signatures
 from .shingles import Shingler
-from .tables import emit, inputs, results, sample
+from .tables import emit, inputs, lean, results, sample
 from .words import Lexicon, slices, split_words
 
 #: A chain is at most this many consecutive words; longer texts are consecutive chains.
@@ -267,6 +267,7 @@ def _fit_field(docs: list[list[str]], toxic: list[int]) -> ChainModel:
 
 
 def _score(shared, threshold: float, least: float):
+    @lean
     def run(batches):
         model = ChainModel(*shared.value)
 
