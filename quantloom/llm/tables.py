@@ -21,7 +21,7 @@ BATCH_BYTES, _DEFAULT = 8 << 20, 64 << 20
 def small_batches(spark: SparkSession) -> None:
     """Bounds Arrow batches by bytes in this session, unless the session has a bound of its own."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, "").rstrip("b") in (str(_DEFAULT), "-1", str(2**31 - 1)):
+    if spark.conf.get(key).rstrip("b") in (str(_DEFAULT), "-1", str(2**31 - 1)):
         spark.conf.set(key, str(BATCH_BYTES))
 
 
