@@ -15,8 +15,8 @@ from ..functions import (
     agrees, bool_word, is_finite, is_non_negative, is_positive, valid_name, valid_symbol,
 )
 from ..schemas import (
-    EXCHANGES, MAX_SYMBOL_LENGTH, MIN_UNIVERSE_SIZE, NAV_TOLERANCE, ORDER_SIDES, PRICE_COLUMNS,
-    SECURITY_TYPES, SUMMARY_TOLERANCE, WEIGHT_TOLERANCE,
+    EXCHANGES, FORBIDDEN_RESULT_COLUMNS, LABEL_COLUMNS, MAX_SYMBOL_LENGTH, MIN_UNIVERSE_SIZE, NAV_TOLERANCE, ORDER_SIDES, PANEL,
+    PRICE_COLUMNS, RESULT_COLUMNS, SECURITY_TYPES, SUMMARY_TOLERANCE, WEIGHT_TOLERANCE,
 )
 from .evaluation import ic_summary, quantile_spread
 
@@ -63,6 +63,28 @@ def union_all(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def column_violations(df: DataFrame, wanted: list[str], barred: list[str] | None = None, optional: tuple[str, ...] = ("ord",)) -> DataFrame:
+    """A closed schema: every wanted column, no other but ``optional`` ones, and ``barred`` ones named as such."""
+    found = [("column_missing", c) for c in wanted if c not in df.columns]
+    for column in df.columns:
+        if column in (barred or []):
+            found.append(("column_forbidden", column))
+        elif column not in [*wanted, *optional]:
+            found.append(("column_unexpected", column))
+    return df.sparkSession.createDataFrame([(rule, column, None) for rule, column in found], "rule string, key string, value double")
+
+
+def _lacks(df: DataFrame, wanted: list[str]) -> bool:
+    """Rules on rows cannot be asked where columns are missing."""
+    return any(c not in df.columns for c in wanted)
+
+
+def _identities(df: DataFrame, *names: str) -> DataFrame:
+    """Dates whose rows carry more than one identity."""
+    several = df.groupBy("as_of_date").agg(F.count_distinct(*[F.coalesce(n, F.lit("")) for n in names]).alias("n")).where("n > 1")
+    return flagged(several, "several_identities", _key("as_of_date"), F.col("n"))
+
+
 def universe_violations(normalized: DataFrame, minimum: int = MIN_UNIVERSE_SIZE) -> DataFrame:
     """Rules of a normalized security master."""
     symbol, empty = F.col("symbol"), F.col("symbol") == ""
@@ -111,23 +133,20 @@ def bar_violations(bars: DataFrame) -> DataFrame:
 
 
 def panel_violations(panel: DataFrame, grid: DataFrame) -> DataFrame:
-    """A panel covers exactly the ``(as_of_date, symbol)`` grid, once, under one identity."""
-    day_symbol = ["as_of_date", "symbol"]
+    """A panel has the panel's columns and no others, and covers exactly the ``(as_of_date, symbol)`` grid, once, under one identity."""
+    columns, day_symbol = column_violations(panel, PANEL.fieldNames()), ["as_of_date", "symbol"]
+    if _lacks(panel, PANEL.fieldNames()):
+        return columns
     rows = row_rules(panel, _key(*day_symbol), {
         "symbol_malformed": ~valid_symbol("symbol", exact=False),
         "eligible_missing": F.col("is_eligible").isNull(),
         "name_malformed": ~valid_name("factor_name", exact=False),
         "version_empty": F.coalesce(F.trim("factor_version") == "", F.lit(True)),
     })
-    identities = (
-        panel.groupBy("as_of_date")
-        .agg(F.count_distinct("factor_name", "factor_version").alias("n"))
-        .where("n > 1")
-    )
     return union_all(
-        rows,
+        rows, columns,
         repeated(panel, "row_repeated", "as_of_date", "symbol", "factor_name"),
-        flagged(identities, "several_identities", _key("as_of_date"), F.col("n")),
+        _identities(panel, "factor_name", "factor_version"),
         flagged(grid.join(panel, day_symbol, "left_anti"), "symbol_missing", _key(*day_symbol)),
         flagged(panel.join(grid, day_symbol, "left_anti"), "symbol_outside_universe", _key(*day_symbol)),
     )
@@ -144,10 +163,14 @@ def context_violations(bars: DataFrame, universe: DataFrame, as_of: date) -> Dat
 
 
 def label_violations(labels: DataFrame, grid: DataFrame) -> DataFrame:
-    """Panel rules for labels, one horizon, and availability exactly where a return exists."""
-    day_symbol = ["as_of_date", "symbol"]
+    """Panel rules for labels, one factor and one horizon a date, and availability exactly where a return exists."""
+    columns, day_symbol = column_violations(labels, LABEL_COLUMNS), ["as_of_date", "symbol"]
+    if _lacks(labels, LABEL_COLUMNS):
+        return columns
     rows = row_rules(labels, _key(*day_symbol), {
         "symbol_malformed": ~valid_symbol("symbol", exact=False),
+        "name_malformed": ~valid_name("factor_name", exact=False),
+        "version_empty": F.coalesce(F.trim("factor_version") == "", F.lit(True)),
         "horizon_below_one": (F.col("horizon_sessions") < 1, F.col("horizon_sessions")),
         "end_not_after_start": F.col("end_date") <= F.col("as_of_date"),
         "available_without_return": F.col("is_available") & ~is_finite("forward_return"),
@@ -160,8 +183,9 @@ def label_violations(labels: DataFrame, grid: DataFrame) -> DataFrame:
     )
     labelled = grid.join(labels.select("as_of_date").distinct(), "as_of_date", "left_semi")
     return union_all(
-        rows,
+        rows, columns,
         repeated(labels, "row_repeated", "as_of_date", "symbol", "factor_name"),
+        _identities(labels, "factor_name", "factor_version"),
         flagged(mixed, "several_horizons", _key("as_of_date"), F.col("n")),
         flagged(labelled.join(labels, day_symbol, "left_anti"), "symbol_missing", _key(*day_symbol)),
         flagged(labels.join(grid, day_symbol, "left_anti"), "symbol_outside_universe", _key(*day_symbol)),
@@ -181,8 +205,11 @@ def price_window_violations(prices: DataFrame, universe: DataFrame) -> DataFrame
 
 
 def strategy_violations(result: DataFrame, grid: DataFrame) -> DataFrame:
-    """Ranks are unique positive integers; a selection has a finite score and a rank."""
-    day_symbol = ["as_of_date", "symbol"]
+    """A result has the result's columns and none of a later layer, under one strategy a date; ranks are unique positive integers; a selection
+    has a finite score and a rank."""
+    columns, day_symbol = column_violations(result, RESULT_COLUMNS, FORBIDDEN_RESULT_COLUMNS), ["as_of_date", "symbol"]
+    if _lacks(result, [*RESULT_COLUMNS, "ord"]):
+        return columns
     scored = is_finite("score")
     rank, selected = F.col("rank"), F.col("is_selected")
     rows = row_rules(result, _key(*day_symbol), {
@@ -193,11 +220,12 @@ def strategy_violations(result: DataFrame, grid: DataFrame) -> DataFrame:
         "selected_without_rank": selected & rank.isNull(),
         "symbol_empty": F.coalesce(F.trim("symbol") == "", F.lit(True)),
         "name_malformed": ~valid_name("strategy_name", exact=False),
+        "version_empty": F.coalesce(F.trim("strategy_version") == "", F.lit(True)),
     })
     wanted = grid.select(*day_symbol, F.col("ord").alias("wanted"))
     disordered = result.join(wanted, day_symbol).where("ord <> wanted")
     return union_all(
-        rows,
+        rows, columns, _identities(result, "strategy_name", "strategy_version"),
         repeated(result.where("rank >= 1"), "rank_repeated", "as_of_date", "rank"),
         repeated(result, "symbol_repeated", *day_symbol),
         flagged(grid.join(result, day_symbol, "left_anti"), "symbol_missing", _key(*day_symbol)),

@@ -96,7 +96,7 @@ def panel_violations(m: Market):
     symbol = F.col("symbol")
     bad = m.panel.select(
         "as_of_date", F.when(symbol == "BRAND.6", "ELSE.6").otherwise(symbol).alias("symbol"),
-        "factor_name",
+        "factor_name", "raw_value",
         F.when(symbol == "BRAND.8", "").otherwise(F.col("factor_version")).alias("factor_version"),
         F.when(symbol != "BRAND.10", F.col("is_eligible")).alias("is_eligible"),
     )
@@ -104,6 +104,26 @@ def panel_violations(m: Market):
     return contracts.panel_violations(bad.unionByName(extra), m.grid)
 
 
+@query("result_columns", """
+SELECT * FROM (VALUES ('column_forbidden', 'weight'), ('column_forbidden', 'turnover'), ('column_unexpected', 'note'), ('column_missing', 'rank'))
+  v(rule, key) WHERE EXISTS (SELECT * FROM o_result)""")
+def result_columns(m: Market):
+    """A strategy result with columns of a later layer, an unknown one, and one too few: rows are not looked at before the columns are right."""
+    bad = m.result.drop("rank").withColumns({"weight": F.lit(0.1), "turnover": F.lit(0.0), "note": F.lit("")})
+    return contracts.strategy_violations(bad, m.grid).select("rule", "key")
+
+
+@query("several_strategies", """
+SELECT 'several_identities' AS rule, CAST(as_of_date AS VARCHAR) AS key, CAST(2 AS DOUBLE) AS value FROM o_result
+WHERE year(as_of_date) = 2000 AND symbol = 'BRAND.4'
+UNION ALL SELECT 'version_empty', CAST(as_of_date AS VARCHAR) || '|' || symbol, NULL FROM o_result WHERE year(as_of_date) = 2000 AND symbol = 'BRAND.4'""")
+def several_strategies(m: Market):
+    """One symbol's rows of a year carry another strategy version, an empty one."""
+    other = (F.col("symbol") == "BRAND.4") & (F.year("as_of_date") == 2000)
+    bad = m.result.withColumn("strategy_version", F.when(other, " ").otherwise(F.col("strategy_version")))
+    return contracts.strategy_violations(bad, m.grid)
+
+
 @query("context_violations", both(
     rules_sql("o_damaged", SYMBOL_DAY, {
         "bar_after_decision": "date > DATE '2001-01-15'",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -81,7 +82,7 @@ def update_log(m: Market):
 def _job(m: Market, store: str | None = None) -> research.FactorJob:
     return research.FactorJob(
         momentum(m.lookback, m.skip), "momentum_12_1", "1.0.0",
-        m.stored_bars, m.pool, m.calendar, store or scratch_path(m.spark, "panels"),
+        m.stored_bars, m.pool, m.calendar, store or scratch_path(m.spark, "panels"), lookback=m.lookback, log=scratch_path(m.spark, "batches"),
     )
 
 
@@ -111,6 +112,26 @@ def factor_batch(m: Market):
     return research.factor_batch(job, _months(m))
 
 
+@query("factor_batch_manifest", f"""
+SELECT 'second' AS batch_id, 'momentum_12_1' AS factor_name, as_of_date, CASE WHEN as_of_date < DATE '2000-01-01' THEN 'hit' ELSE 'miss' END AS outcome,
+       CASE WHEN year(as_of_date) = 2000 THEN 'failed' ELSE 'succeeded' END AS status,
+       CASE WHEN year(as_of_date) = 2000 THEN (SELECT count(*) FROM o_pool) ELSE 0 END AS problems FROM {MONTHS}
+UNION ALL SELECT 'first', 'momentum_12_1', as_of_date, 'miss', 'succeeded', 0 FROM {MONTHS} WHERE as_of_date < DATE '2000-01-01'""", dates=["as_of_date"])
+def factor_batch_manifest(m: Market):
+    """The stored manifests of two batches. The second finds the months before 2000 stored, and its factor leaves eligibility open in 2000."""
+    sound = _job(m)
+
+    def broken(bars, dates, universe, calendar):
+        eligible = F.when(F.year("as_of_date") != 2000, F.col("is_eligible"))
+        return sound.factor(bars, dates, universe, calendar).withColumn("is_eligible", eligible)
+
+    months = durable(_months(m), "months")
+    research.factor_batch(sound, months.where("as_of_date < '2000-01-01'"), batch_id="first")
+    research.factor_batch(replace(sound, factor=broken), months, batch_id="second")
+    schema = "batch_id string, factor_name string, as_of_date date, outcome string, status string, problems long"
+    return m.spark.read.schema(schema).json(sound.log)
+
+
 def _study(m: Market):
     return research.factor_research(_job(m), _months(m), m.horizon, bound=m.bound)
 
@@ -146,7 +167,7 @@ def _strategy(m: Market):
     wanted = m.spark.createDataFrame([("momentum_12_1", "1.0.0")], "factor_name string, factor_version string")
     store = scratch_path(m.spark, "panels")
     panel_io.write_panels(m.panel, store)
-    stored = panel_io.read_panels(m.spark, store, "momentum_12_1", "1.0.0")
+    stored = panel_io.read_whole_panels(m.spark, store, "momentum_12_1", "1.0.0", wanted=m.dates)
     return portfolio.strategy_run(
         stored, wanted, m.dates, durable(m.grid, "grid"),
         lambda panel: selection.top_n_by_factor(panel, TOP_N, m.bound),

@@ -85,11 +85,13 @@ def universe_semi(m: Market):
 
 @query("universe_anti", f"""
 SELECT 'outside_universe' AS side, symbol, count(*) AS row_count FROM o_bars WHERE symbol NOT IN {SOME} GROUP BY symbol
-UNION ALL SELECT 'without_rows', symbol, 0 FROM {SOME} WHERE symbol NOT IN
-  (SELECT symbol FROM o_bars WHERE date < DATE '1995-01-09')""")
+UNION ALL SELECT 'without_rows', symbol, 0 FROM (SELECT symbol FROM {SOME} UNION SELECT upper(replace(s_name, '#', '.')) FROM supplier)
+WHERE symbol NOT IN (SELECT symbol FROM o_bars)""")
 def universe_anti(m: Market):
     outside = outside_universe(m.stored_bars, _some(m)).groupBy("symbol").agg(F.count("*").alias("row_count"))
-    absent = without_rows(_some(m), m.stored_bars.where("date < '1995-01-09'"))
+    # suppliers are names that no bar has
+    names = m.table("supplier").select(F.upper(F.replace("s_name", F.lit("#"), F.lit("."))).alias("symbol"))
+    absent = without_rows(_some(m).select("symbol").unionByName(names).distinct(), m.stored_bars)
     return outside.select(F.lit("outside_universe").alias("side"), "symbol", "row_count").unionByName(
         absent.select(F.lit("without_rows").alias("side"), "symbol", F.lit(0).cast("bigint").alias("row_count"))
     )

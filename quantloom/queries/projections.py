@@ -64,9 +64,11 @@ def select_universe_entries(m: Market):
 
 
 @query("unknown_universe_symbols", f"""
-SELECT symbol FROM {WANTED} w WHERE symbol NOT IN (SELECT symbol FROM o_norm WHERE active)""")
+SELECT symbol FROM (SELECT symbol FROM {WANTED} UNION SELECT upper(n_name) FROM nation) w WHERE symbol NOT IN (SELECT symbol FROM o_norm)""")
 def unknown_universe_symbols(m: Market):
-    return universe.unknown_symbols(m.normalized.where("active"), _requested(m))
+    """A name that is inactive is known: every entry counts. The names of nations are in no entry."""
+    names = m.table("nation").select(F.col("n_name").alias("symbol"))
+    return universe.unknown_symbols(m.normalized, _requested(m).unionByName(names))
 
 
 @query("normalize_universe", "SELECT * FROM o_norm")

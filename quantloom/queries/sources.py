@@ -11,7 +11,7 @@ from ..operators.panel import panel_statistics
 from ..session import scratch_path
 from ..sources import bars as bar_io
 from ..sources import panels as panel_io
-from ..sources import reports, universe
+from ..sources import reports, universe, versions
 from .inputs import Market
 from .registry import query
 
@@ -131,6 +131,37 @@ def panel_cache_plan(m: Market):
     return panel_io.cache_plan(m.dates, panel_io.stored_keys(m.spark, root))
 
 
+def _move(m: Market, source: str, target: str) -> None:
+    place = m.spark._jvm.org.apache.hadoop.fs.Path
+    fs = place(source).getFileSystem(m.spark._jsc.hadoopConfiguration())
+    if not fs.rename(place(source), place(target)):
+        raise OSError(f"{source} could not be moved")
+
+
+@query("misfiled_panels", """
+SELECT session AS as_of_date, year(session)::INT AS year, CASE year(session) WHEN 1996 THEN 'misfiled' ELSE 'missing' END AS problem
+FROM o_cal WHERE year(session) IN (1996, 1999)""", dates=["as_of_date"])
+def misfiled_panels(m: Market):
+    """A store of which one year's folder was moved to another year and one was lost: told from the records, no panel is read."""
+    root = _stored(m)
+    folder = f"{root}/factor_name=momentum_12_1/factor_version=1.0.0"
+    _move(m, f"{folder}/year=1996", f"{folder}/year=1890")
+    versions.remove(m.spark, f"{folder}/year=1999")
+    return panel_io.panel_problems(m.spark, root).select("as_of_date", "year", "problem")
+
+
+@query("missing_panel_keys", """
+SELECT 'momentum_12_1' AS factor_name, version AS factor_version, session AS as_of_date
+FROM o_cal, (VALUES ('1.0.0'), ('2.0.0')) v(version) WHERE version = '2.0.0' OR year(session) IN (1997, 2000)""", dates=["as_of_date"])
+def missing_panel_keys(m: Market):
+    """Wanted keys without a record: two years that were never stored, and a version that does not exist."""
+    root = scratch_path(m.spark, "panels")
+    panel_io.write_panels(m.panel.where("year(as_of_date) not in (1997, 2000)"), root)
+    wanted = m.dates.select(
+        F.lit("momentum_12_1").alias("factor_name"), F.explode(F.array(F.lit("1.0.0"), F.lit("2.0.0"))).alias("factor_version"), "as_of_date")
+    return panel_io.missing_keys(m.spark, root, wanted)
+
+
 @query("research_report", """
 SELECT as_of_date, universe_size, eligible_count, valid_count, missing_count, mean, minimum, maximum FROM o_stats
 """, dates=["as_of_date"], rounded=["mean"])

@@ -31,6 +31,15 @@ QUANTILES = 5
 SLIPPAGE_BPS = 5.0
 MAX_SLIPPAGE_BPS = 10_000.0
 ORDER_SIDES = ["BUY", "SELL"]
+# columns of results, and columns that no strategy result may carry
+LABEL_COLUMNS = [
+    "as_of_date", "end_date", "symbol", "factor_name", "factor_version", "horizon_sessions", "forward_return", "is_available",
+]
+RESULT_COLUMNS = ["as_of_date", "strategy_name", "strategy_version", "symbol", "score", "rank", "is_selected"]
+FORBIDDEN_RESULT_COLUMNS = [
+    "weight", "target_weight", "current_weight", "market_value", "cash", "quantity", "shares", "side",
+    "order", "order_id", "order_type", "fill_price", "price", "cost", "turnover",
+]
 MOMENTUM_NAME, MOMENTUM_VERSION = "momentum_12_1", "1.0.0"
 MOMENTUM_LOOKBACK, MOMENTUM_SKIP = 252, 21
 

@@ -1,4 +1,5 @@
-from datetime import date
+import re
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -194,10 +195,63 @@ def test_whole_panels_are_vouched_for(spark):
         panel_io.read_whole_panels(spark, root, "f", "1", JAN[0], JAN[3], dates)
     assert panel_io.read_whole_panels(spark, root, "f", "1", JAN[0], JAN[3], dates.limit(1)).count() == 1
     panel(spark, JAN[1], 2.0).select("symbol", "raw_value", "is_eligible", "as_of_date").write.parquet(f"{root}/factor_name=f/factor_version=1/year=1999")
-    with pytest.raises(ValueError, match="misfiled"):
+    with pytest.raises(ValueError, match="unrecorded"):
         panel_io.read_whole_panels(spark, root, "f", "1", JAN[0], JAN[3])
 
 
+def test_lost_moved_and_changed_panels_are_refused_in_their_range(spark):
+    base = scratch_path(spark, "panels")
+    old, new = date(2022, 5, 2), date(2023, 5, 2)
+    for root in (f"{base}/lost", f"{base}/moved", f"{base}/changed"):
+        panel_io.write_panels(panel(spark, old, 1.0).unionByName(panel(spark, new, 2.0)), root)
+    folder = "factor_name=f/factor_version=1"
+    bar_io.versions.remove(spark, f"{base}/lost/{folder}/year=2022")
+    assert bar_io.versions.take_name(spark, f"{base}/moved/{folder}/year=2022", f"{base}/moved/{folder}/year=2021")
+    file = next(n for n in bar_io.versions.names(spark, f"{base}/changed/{folder}/year=2022") if n.startswith("part-"))
+    with open(f"{base}/changed/{folder}/year=2022/{file}".removeprefix("file:"), "ab") as f:
+        f.write(b"more")
+    for root, problem in (("lost", "missing"), ("moved", "misfiled"), ("changed", "changed")):
+        found = rows(panel_io.panel_problems(spark, f"{base}/{root}"), "as_of_date", "year", "problem")
+        assert found == [(old, 2022, problem)]
+        with pytest.raises(ValueError, match=problem):
+            panel_io.read_whole_panels(spark, f"{base}/{root}", "f", "1", old, old)
+        assert panel_io.read_whole_panels(spark, f"{base}/{root}", "f", "1", new, new).count() == 1
+    # writing the year again mends it
+    panel_io.write_panels(panel(spark, old, 3.0), f"{base}/lost")
+    assert panel_io.read_whole_panels(spark, f"{base}/lost", "f", "1", old, new).count() == 2
+
+
+def test_a_factor_sees_its_dates_look_back_windows_only(spark):
+    from quantloom.plans import research
+
+    sessions = [date(2020, 1, 1) + timedelta(days=i) for i in range(1500)]
+    cal = days(spark, [d.isoformat() for d in sessions])
+    dates = [sessions[400], sessions[405], sessions[1100]]
+    asked = spark.createDataFrame([(d,) for d in [*dates, date(2019, 1, 1)]], "as_of_date date")
+    needed = rows(research.needed_sessions(asked, cal, 20))
+    assert needed == [(d,) for d in sorted({s for d in dates for s in sessions[sessions.index(d) - 20:sessions.index(d) + 1]})]
+    root, seen, ranges = scratch_path(spark, "bars"), [], []
+    bar_io.write_bars(standard(spark, *[("A", d, 1 + i, 1) for i, d in enumerate(sessions)]), root)
+
+    def reader(first, last):
+        ranges.append((first, last))
+        return bar_io.read_bars(spark, root, first, last)
+
+    def factor(bars, todo, universe, calendar):
+        seen.append(bars)
+        return spark.createDataFrame([(d, "A", "f", "1", 1.0, True) for (d,) in rows(todo)], "as_of_date date, symbol string, factor_name string, factor_version string, raw_value double, is_eligible boolean")
+
+    pool = spark.createDataFrame([("A", 1)], "symbol string, ord int")
+    job = research.FactorJob(factor, "f", "1", reader, pool, cal, scratch_path(spark, "panels"), lookback=20)
+    todo = spark.createDataFrame([(d,) for d in dates], "as_of_date date")
+    assert {s for _, s in rows(research.factor_batch(job, todo), "as_of_date", "status")} == {"succeeded"}
+    assert ranges == [(sessions[380], sessions[1100])] and rows(seen[0], "date") == needed
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ >= 2021", plan) and re.search(r"year#\d+ <= 2023", plan)
+    # all dates are stored: nothing is read or computed
+    assert {o for _, o in rows(research.factor_batch(job, todo), "as_of_date", "outcome")} == {"hit"} and len(seen) == len(ranges) == 1
+
+
 def test_range_reads_open_their_years_only(spark):
     root = scratch_path(spark, "bars")
     bar_io.write_bars(standard(spark, ("A", date(2022, 1, 3), 1, 1), ("A", JAN[0], 1, 1)), root)

@@ -223,3 +223,22 @@ def test_a_run_is_applied_once_and_goes_on_from_what_landed(spark, monkeypatch):
     assert [c for *_, c in closes(spark, root)] == [4.0, 4.0, 4.0]
     window = spark.read.json(f"{base}/log").where("symbol = 'A'").head()["windows"][0]
     assert (window["expected"], window["delivered"]) == (4, 3)
+
+
+def test_results_have_closed_columns_and_one_identity(spark):
+    from quantloom.operators import contracts
+
+    grid = spark.createDataFrame([(JAN[0], "A", 1), (JAN[0], "B", 2)], "as_of_date date, symbol string, ord int")
+    rules = lambda found: sorted({(r["rule"], r["key"]) for r in found.collect()})
+    panel = grid.select("*", F.lit("f").alias("factor_name"), F.lit("1").alias("factor_version"), F.lit(1.0).alias("raw_value"), F.lit(True).alias("is_eligible"))
+    assert rules(contracts.panel_violations(panel, grid)) == []
+    assert rules(contracts.panel_violations(panel.withColumn("price", F.lit(1.0)), grid)) == [("column_unexpected", "price")]
+    assert rules(contracts.panel_violations(panel.drop("raw_value"), grid)) == [("column_missing", "raw_value")]
+    label = panel.select("as_of_date", F.lit(JAN[1]).alias("end_date"), "symbol", F.when(F.col("symbol") == "A", "f").otherwise("G!").alias("factor_name"), "factor_version",
+                         F.lit(1).cast("long").alias("horizon_sessions"), F.lit(0.1).alias("forward_return"), F.lit(True).alias("is_available"))
+    assert rules(contracts.label_violations(label, grid)) == [("name_malformed", "2024-01-02|B"), ("several_identities", "2024-01-02")]
+    result = grid.select("*", F.lit("s").alias("strategy_name"), F.lit("1").alias("strategy_version"), F.lit(1.0).alias("score"), F.col("ord").alias("rank"), F.lit(True).alias("is_selected"))
+    assert rules(contracts.strategy_violations(result, grid)) == []
+    assert rules(contracts.strategy_violations(result.withColumn("side", F.lit("BUY")), grid)) == [("column_forbidden", "side")]
+    two = result.withColumn("strategy_version", F.col("symbol"))
+    assert rules(contracts.strategy_violations(two, grid)) == [("several_identities", "2024-01-02")]
