@@ -163,10 +163,10 @@ def op9_warc_audit(spark, sf_dir):
     """All pages as WARC files, a replica of them with known damage, and the audit of the two."""
     work = Workspace(spark, "replicas")
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    first, second = work.path(), work.path()
-    warc.write_warc(pages, first)
-    warc.write_warc(warc.damaged(pages), second)
-    return warc.audit(spark, first, second)
+    place = work.path()
+    first, second = f"{place}/first", f"{place}/second"
+    warc.write_warc(pages, {first: lambda p: p, second: warc.damaged}, compress=True)
+    return warc.audit(spark, f"{place}/replica=first", f"{place}/replica=second")
 
 
 ORACLES["op9_warc_audit"] = r"""
@@ -186,14 +186,12 @@ head AS (
 bytes AS (
   SELECT *, h || strlen(html)::VARCHAR || gap || html || gap AS a, h || strlen(hurt)::VARCHAR || gap || hurt || gap AS b FROM head),
 placed AS (
-  SELECT *, coalesce(sum(strlen(a)) OVER (PARTITION BY segment ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_a,
-    coalesce(sum(strlen(b)) OVER (PARTITION BY segment ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_b
+  SELECT *, coalesce(sum(strlen(a)) OVER (PARTITION BY segment ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_a
   FROM bytes),
-first AS (SELECT segment, start_a AS offset, strlen(a) AS length, url AS uri, sha256(a) AS digest FROM placed),
-second AS (SELECT segment, start_b AS offset, strlen(b) AS length, url AS uri, sha256(b) AS digest FROM placed WHERE page_id % 1024 <> 1023)
-SELECT segment, CAST("offset" AS BIGINT) AS "offset", CAST(coalesce(f.length, s.length) AS BIGINT) AS length, coalesce(f.uri, s.uri) AS uri,
-  CASE WHEN s.digest IS NULL THEN 'missing' WHEN f.digest IS NULL THEN 'extra' ELSE 'changed' END AS status,
-  f.digest AS first_digest, s.digest AS second_digest
-FROM first f FULL JOIN second s USING (segment, "offset")
+first AS (SELECT segment, page_id, start_a, strlen(a) AS length, url AS uri, sha256(a) AS digest FROM placed),
+second AS (SELECT page_id, sha256(b) AS digest FROM placed WHERE page_id % 1024 <> 1023)
+SELECT segment, CAST(start_a AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length, uri,
+  CASE WHEN s.digest IS NULL THEN 'missing' ELSE 'changed' END AS status, f.digest AS first_digest, s.digest AS second_digest
+FROM first f LEFT JOIN second s USING (page_id)
 WHERE f.digest IS DISTINCT FROM s.digest
 """
