@@ -12,13 +12,26 @@ from pyspark.sql import functions as F
 
 from .tables import lean, small_batches, text_of
 from .tokenizers import PieceEncoder, load
-from .words import Lexicon, slices, split_words, sums
+from .words import Lexicon, Words, slices, split_words, sums, text_bytes
+
+
+#: Kinds of ASCII characters that never share a pre-word: letters, and marks but apostrophes, which begin contractions.
+_KIND = np.array([1 if chr(c).isalpha() else 2 if 32 < c < 127 and not chr(c).isdigit() and c != 39 else 0 for c in range(128)] + [0] * 128, np.uint8)
+
+
+def split_lower(texts: pa.Array) -> Words:
+    """The lower-cased words of the texts, and marks cut off from the letters beside them: fewer distinct ones."""
+    words = split_words(texts)
+    kind = _KIND[words.raw]
+    cuts = np.flatnonzero(kind[1:] * kind[:-1] == 2) + 1
+    _, offsets = text_bytes(texts)
+    return Words(words.raw, np.union1d(words.starts, cuts), np.union1d(words.starts + words.lengths, cuts), offsets)
 
 
 class LowerWordEncoder:
     """Ids of texts by a tokenizer that lower-cases and drops white space, one encoding per distinct word.
 
-    Words are split at ASCII white space and A-Z is lower-cased first, which the tokenizer would do anyway. Words of
+    Words are split at ASCII white space and between letters and marks, and A-Z is lower-cased first, which the tokenizer would do anyway. Words of
     letters alone are encoded many at a time; each ends where a token carries the end-of-word mark. Texts
     that may hold a special string, whose case counts, are left to the plain piece encoder.
     """
@@ -55,7 +68,7 @@ class LowerWordEncoder:
         if pc.any(pc.match_substring(texts, "<|")).as_py():
             self.plain = self.plain or PieceEncoder(self.path)
             return self.plain.ids(texts)
-        words = split_words(texts)
+        words = split_lower(texts)
         ids, lengths = self.lexicon.gather(self.lexicon.rows(words))
         return ids, sums(lengths, words.counts)
 
@@ -72,7 +85,7 @@ _PIECE = pa.schema([
 PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, input_ids array<int>"
 
 
-def _pieces(path: str, longest: int, end_id: int, with_ids: bool):
+def _pieces(path: str, longest: int, end_id: int):
     @lean
     def run(batches):
         encoder = LowerWordEncoder(path)
@@ -87,8 +100,7 @@ def _pieces(path: str, longest: int, end_id: int, with_ids: bool):
                     start = 0
                     for length in binary_pieces(n + 1, longest):
                         piece = whole[start:start + length]
-                        values = (doc_id, start, length, n + 1, zlib.crc32(piece.astype("<u4").tobytes()),
-                                  piece.astype(np.int32) if with_ids else None)
+                        values = (doc_id, start, length, n + 1, zlib.crc32(piece.astype("<u4").tobytes()), piece.astype(np.int32))
                         for name, value in zip(_PIECE.names, values):
                             out[name].append(value)
                         start += length
@@ -97,7 +109,7 @@ def _pieces(path: str, longest: int, end_id: int, with_ids: bool):
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, longest: int = 2048, end_id: int = 1, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, longest: int = 2048, end_id: int = 1) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, ids_crc32, input_ids, bucket, sequence_id, offset.
 
     A document is its ids and ``end_id``. It is cut into pieces whose lengths are powers of two, ``longest``
@@ -107,13 +119,13 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = 2048, end_id: int
 
     ``sequence_id`` is unique in one result: the task's number and the row's number in it, which a repeated task gives
     again. Null and empty texts are the end id alone. Repeated rows give their pieces again, in sequences of their own; null
-    ids stay null. An empty table gives no rows; other columns are ignored. Without ``with_ids`` input_ids is null.
+    ids stay null. An empty table gives no rows; other columns are ignored.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest sequence must be a power of two")
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    pieces = texts.mapInArrow(_pieces(tokenizer_path, longest, end_id, with_ids), PIECE_SCHEMA)
+    pieces = texts.mapInArrow(_pieces(tokenizer_path, longest, end_id), PIECE_SCHEMA)
     return pieces.withColumns({"bucket": F.col("length"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 
