@@ -18,7 +18,7 @@ CORE = [
     "top_n_by_factor", "capped_score_weights", "gap_runs", "missing_sessions", "fn_number_checks",
     "next_session_after", "weekly_schedule", "rebalance_schedule", "plan_download", "short_delivery",
     "universe_violations", "bar_violations", "strategy_result_violations", "order_violations",
-    "fill_violations", "schedule_violations", "update_log",
+    "fill_violations", "schedule_violations", "update_log", "incremental_rejects", "misfiled_panels", "factor_batch_manifest", "result_columns",
 ]
 NAMES = list(QUERIES) if os.environ.get("QUANTLOOM_ALL") else CORE
 
