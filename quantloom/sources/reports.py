@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import finite_or_null
+from . import versions
 from .bars import has_files
 
 REPORT_TABLES = [
@@ -23,9 +26,9 @@ def _json_safe(df: DataFrame) -> DataFrame:
 
 
 def write_report(root: str, run_id: str, tables: dict[str, DataFrame], metadata: DataFrame) -> str:
-    """Five CSV tables, then the metadata, into a run folder that must not exist yet.
+    """Five CSV tables and the metadata as a run folder that must not exist yet.
 
-    Metadata is written last: a report without it is unfinished.
+    They are written elsewhere and take the run's name when all are there: a report that was cut off, or a second one of that name, leaves nothing under it.
     """
     if sorted(tables) != sorted(REPORT_TABLES):
         raise ValueError(f"a report has exactly the tables {REPORT_TABLES}")
@@ -33,9 +36,16 @@ def write_report(root: str, run_id: str, tables: dict[str, DataFrame], metadata:
     spark = metadata.sparkSession
     if has_files(spark, path):
         raise FileExistsError(path)
-    for name in REPORT_TABLES:
-        tables[name].write.mode("error").option("header", True).csv(f"{path}/{name}")
-    _json_safe(metadata).write.mode("error").option("ignoreNullFields", "false").json(f"{path}/metadata")
+    arriving = f"{root.rstrip('/')}/_arriving/{uuid.uuid4().hex}"
+    try:
+        for name in REPORT_TABLES:
+            tables[name].write.mode("error").option("header", True).csv(f"{arriving}/{name}")
+        _json_safe(metadata).write.mode("error").option("ignoreNullFields", "false").json(f"{arriving}/metadata")
+        if not versions.take_name(spark, arriving, path):
+            raise FileExistsError(path)
+    except Exception:
+        versions.remove(spark, arriving)
+        raise
     return path
 
 

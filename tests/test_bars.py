@@ -276,6 +276,11 @@ def test_reports_never_overwrite(spark):
     assert spark.read.text(f"{path}/metadata").head()[0] == '{"x":null,"n":1}'
     with pytest.raises(FileExistsError):
         reports.write_report(root, "r1", tables, table)
+    # a report that is cut off leaves nothing under its name
+    broken = table.withColumn("x", F.raise_error(F.lit("a lost job")).cast("double"))
+    with pytest.raises(Exception, match="a lost job"):
+        reports.write_report(root, "r2", tables | {reports.REPORT_TABLES[-1]: broken}, table)
+    assert set(bar_io.versions.names(spark, root)) == {"r1", "_arriving"} and not bar_io.versions.names(spark, f"{root}/_arriving")
 
 
 def test_rows_meet_only_their_own_window(spark):
