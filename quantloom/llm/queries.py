@@ -165,7 +165,7 @@ def op9_warc_audit(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     place = work.path()
     first, second = f"{place}/first", f"{place}/second"
-    warc.write_warc(pages, {first: lambda p: p, second: warc.damaged}, compress=True)
+    warc.write_warc(pages, {first: lambda p, own: p, second: warc.damaged}, compress=True)
     return warc.audit(spark, f"{place}/replica=first", f"{place}/replica=second")
 
 

@@ -33,13 +33,14 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def write_warc(
-    pages: DataFrame, path: str | dict[str, Callable[[DataFrame], DataFrame]], per_segment: int = 1024, file_bytes: int = 64 << 20,
+    pages: DataFrame, path: str | dict[str, Callable[[DataFrame, Column], DataFrame]], per_segment: int = 1024, file_bytes: int = 64 << 20,
     compress: bool = False,
 ) -> None:
     """WARC files of (page_id, url, html), one folder ``segment=n`` per ``per_segment`` consecutive ids, ordered by id;
     pages without id are segment -1. With ``compress`` a file is one gzip stream, and offsets are those of what it holds.
 
-    ``path`` may name several replicas below one folder, as ``folder/name``, each with what becomes of the pages in it: the pages move once for all of them.
+    ``path`` may name several replicas below one folder, as ``folder/name``, each with a function that gives
+    (pages, which of them are of this replica) what becomes of them: the pages move once for all of them.
 
     A segment of more than ``file_bytes``, which many pages without id or with one id make, is dealt by the hash of its rows to
     parts of about half as many bytes, each a file in a folder of its own, ``segment=n_part`` after the first. Equal rows are dealt by
@@ -78,10 +79,10 @@ def write_warc(
         raise ValueError("replicas that are written together lie in one folder")
     # every task makes each replica of its own segments
     each = rows.withColumn("replica", F.explode(F.array(*map(F.lit, names))))
-    parts = [change(each.where(F.col("replica") == name)) for name, change in zip(names, path.values())]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
+    # one plan for all replicas, each changing its own rows: a union of them would move the pages once for each
+    whole = each
+    for name, change in zip(names, path.values()):
+        whole = change(whole, F.col("replica") == name)
     whole.sortWithinPartitions("replica", *order).select("replica", "segment", value).write.partitionBy("replica", "segment").options(**options).text(
         folder.pop())
 
@@ -216,12 +217,13 @@ def _unmatched(work: Workspace, first: DataFrame, second: DataFrame) -> DataFram
         "segment", *(F.coalesce(f"first_{c}", f"second_{c}").alias(c) for c in columns[:3]), status.alias("status"), "first_digest", "second_digest")
 
 
-def damaged(pages: DataFrame, per_segment: int = 1024, every: int = 50, hit: int = 7) -> DataFrame:
-    """What a damaged replica of ``pages`` holds: where page_id modulo ``every`` is ``hit`` the middle character of html is overwritten,
+def damaged(pages: DataFrame, only: Column | None = None, per_segment: int = 1024, every: int = 50, hit: int = 7) -> DataFrame:
+    """What a damaged replica of ``pages``, or of those of them that ``only`` names, holds: where page_id modulo ``every`` is ``hit`` the middle character of html is overwritten,
     and the page that ends a full segment of ``per_segment`` ids is lost."""
     middle = (F.length("html") / 2).cast("int") + 1
     mark = F.when(F.substring("html", middle, F.lit(1)) == "#", "*").otherwise("#")
-    struck = (F.col("page_id") % every == hit) & (F.length("html") > 0)
+    only = F.lit(True) if only is None else only
+    struck = only & (F.col("page_id") % every == hit) & (F.length("html") > 0)
     html = F.when(struck, F.overlay("html", mark, middle, F.lit(1))).otherwise(F.col("html"))
-    kept = F.coalesce(F.col("page_id") % per_segment != per_segment - 1, F.lit(True))
+    kept = ~only | F.coalesce(F.col("page_id") % per_segment != per_segment - 1, F.lit(True))
     return pages.where(kept).withColumn("html", html)

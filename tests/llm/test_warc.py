@@ -104,7 +104,7 @@ def test_damage_that_changes_a_length_is_that_record_alone(spark, tmp_path):
 def test_replicas_written_together_and_compressed(spark, tmp_path):
     """As if written one by one; gzip changes neither offsets nor digests."""
     warc.write_warc(pages(spark), str(tmp_path / "plain"), per_segment=64)
-    warc.write_warc(pages(spark), {f"{tmp_path}/both/first": lambda p: p, f"{tmp_path}/both/second": lambda p: warc.damaged(p, 64)}, per_segment=64, compress=True)
+    warc.write_warc(pages(spark), {f"{tmp_path}/both/first": lambda p, own: p, f"{tmp_path}/both/second": lambda p, own: warc.damaged(p, own, 64)}, per_segment=64, compress=True)
     lists = [sorted(map(tuple, warc.manifest(spark, str(p)).collect()), key=repr) for p in (tmp_path / "plain", tmp_path / "both" / "replica=first")]
     assert lists[0] == lists[1] and len(lists[0]) == 308
     assert all(f.read_bytes()[:2] == b"\x1f\x8b" for f in (tmp_path / "both").rglob("part-*"))
