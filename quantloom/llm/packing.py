@@ -23,9 +23,12 @@ def split_lower(texts: pa.Array) -> Words:
     """The lower-cased words of the texts, and marks cut off from the letters beside them: fewer distinct ones."""
     words = split_words(texts)
     kind = _KIND[words.raw]
-    cuts = np.flatnonzero(kind[1:] * kind[:-1] == 2) + 1
+    begins, ends = np.zeros((2, len(kind) + 1), bool)
+    begins[1:-1] = ends[1:-1] = kind[1:] * kind[:-1] == 2
+    begins[words.starts] = True
+    ends[words.starts + words.lengths] = True
     _, offsets = text_bytes(texts)
-    return Words(words.raw, np.union1d(words.starts, cuts), np.union1d(words.starts + words.lengths, cuts), offsets)
+    return Words(words.raw, np.flatnonzero(begins), np.flatnonzero(ends), offsets)
 
 
 class LowerWordEncoder:
@@ -49,19 +52,27 @@ class LowerWordEncoder:
         texts = [w.decode("utf-8") for w in words]
         encode = self.tokenizer.encode_batch_fast
         joint = np.array([i for i, t in enumerate(texts) if t.isalpha()], np.int64)
-        found: list = [None] * len(words)
+        lengths = np.zeros(len(words), np.int64)
+        parts, owners = [], []
         for at in range(0, len(joint), 2000):
             group = joint[at:at + 2000]
             ids = np.array(encode([" ".join(texts[i] for i in group)], add_special_tokens=False)[0].ids, np.int32)
-            cuts = np.flatnonzero(self.last[ids]) + 1
-            if len(cuts) == len(group):
-                for i, piece in zip(group.tolist(), np.split(ids, cuts[:-1])):
-                    found[i] = piece
-        rest = [i for i, x in enumerate(found) if x is None]
-        for i, e in zip(rest, encode([texts[i] for i in rest], add_special_tokens=False)):
-            found[i] = np.array(e.ids, np.int32)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.concatenate(found), lengths
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(group):
+                lengths[group] = np.diff(ends, prepend=0)
+                parts.append(ids)
+                owners.append(group)
+        rest = np.setdiff1d(np.arange(len(words)), np.concatenate([*owners, joint[:0]]), assume_unique=True)
+        for i, e in zip(rest.tolist(), encode([texts[i] for i in rest], add_special_tokens=False)):
+            lengths[i] = len(e.ids)
+            parts.append(np.array(e.ids, np.int32))
+        # the parts hold the words of the groups, then the others; each word's ids go to their place in the order of the words
+        order = np.concatenate([*owners, rest])
+        sizes = lengths[order]
+        place = (np.cumsum(lengths) - lengths)[order] - (np.cumsum(sizes) - sizes)
+        out = np.empty(int(lengths.sum()), np.int32)
+        out[np.repeat(place, sizes) + np.arange(len(out))] = np.concatenate([*parts, out[:0]])
+        return out, lengths
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each has."""
@@ -79,6 +90,18 @@ def binary_pieces(n: int, longest: int) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
+def cut(totals: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all pieces of documents of ``totals`` ids: the document's place, where the piece starts in it, and its length, as :func:`binary_pieces` cuts."""
+    bits = longest.bit_length() - 1
+    # one column for the pieces of the greatest length, one for each binary digit of the rest, the highest first
+    digits = np.column_stack([totals // longest, *((totals >> b) & 1 for b in range(bits - 1, -1, -1))])
+    sizes = np.tile(np.array([longest, *(1 << b for b in range(bits - 1, -1, -1))], np.int64), len(totals))
+    length = np.repeat(sizes, digits.ravel())
+    document = np.repeat(np.arange(len(totals)), digits.sum(axis=1))
+    before = np.cumsum(totals) - totals
+    return document, np.cumsum(length) - length - before[document], length
+
+
 _PIECE = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
     ("ids_crc32", pa.int64()), ("input_ids", pa.list_(pa.int32()))])
@@ -92,19 +115,16 @@ def _pieces(path: str, longest: int, end_id: int):
         for batch in batches:
             for part in slices(batch):
                 ids, counts = encoder.ids(part.column("text"))
-                out: dict[str, list] = {n: [] for n in _PIECE.names}
-                at = 0
-                for doc_id, n in zip(part.column("doc_id").to_pylist(), counts.tolist()):
-                    whole = np.append(ids[at:at + n], end_id)
-                    at += n
-                    start = 0
-                    for length in binary_pieces(n + 1, longest):
-                        piece = whole[start:start + length]
-                        values = (doc_id, start, length, n + 1, zlib.crc32(piece.astype("<u4").tobytes()), piece.astype(np.int32))
-                        for name, value in zip(_PIECE.names, values):
-                            out[name].append(value)
-                        start += length
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in _PIECE], schema=_PIECE)
+                whole = np.insert(ids.astype("<i4"), np.cumsum(counts), end_id)
+                totals = counts.astype(np.int64) + 1
+                document, start, length = cut(totals, longest)
+                ends = np.cumsum(length)
+                raw = memoryview(whole).cast("B")
+                crc = [zlib.crc32(raw[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), length.tolist())]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(whole, pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(document)), pa.array(start), pa.array(length), pa.array(totals[document]),
+                     pa.array(crc, pa.int64()), lists], schema=_PIECE)
 
     return run
 
