@@ -8,10 +8,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import emit, inputs, lean, results, sample_each
+from .tables import Workspace, emit, inputs, lean, results, sample_each, small_batches
 from .words import Lexicon, mix, slices, split_words
 
 _LETTERS = regex.compile(r"\p{L}+")
@@ -60,8 +60,8 @@ class KneserNey:
 
     def __init__(self, languages: list[str], order: int):
         self.languages, self.order = languages, order
-        self.grams: list[tuple[np.ndarray, np.ndarray]] = []
-        self.contexts: list[tuple[np.ndarray, np.ndarray]] = []
+        nothing = (np.zeros(0, np.uint64), np.zeros((0, len(languages))))
+        self.grams, self.contexts = [nothing] * order, [nothing] * (order - 1)
         self.unseen = np.ones(len(languages))
         self.limits: dict[str, tuple[float, float, float]] = {}
 
@@ -72,18 +72,36 @@ class KneserNey:
         return model
 
     @classmethod
-    def fit(cls, languages: list[str], counts: dict[str, dict[str, int]], order: int) -> "KneserNey":
-        """``counts``: per language, how often each gram ended an event. Grams shorter than ``order`` begin a run."""
+    def of(cls, languages: list[str], order: int, uniform: float, entries: pa.Table) -> "KneserNey":
+        """``entries``: per gram of a language its length n, its hash and those of the gram without its last and without its first
+        character, its discounted ``share`` and the ``weight`` of its context. An entry's shorter grams have entries too.
+
+        A gram has the same form in every language: its share, 0 where the language lacks it, plus the context's weight, 1
+        where the language lacks that, times what the shorter gram has.
+        """
         model = cls(languages, order)
-        symbols = {g[-1] for table in counts.values() for g in table}
-        uniform = 1.0 / (len(symbols) + 1)
-        fitted = [_interpolate(counts.get(l, {}), order, uniform) for l in languages]
-        model.unseen = np.array([weights[1].get("", 1.0) * uniform for _, weights in fitted])
+        model.grams, model.contexts = [], []
+        held = {c: entries.column(c).to_numpy() for c in entries.column_names if c != "lang"}
+        places = {l: k for k, l in enumerate(languages)}
+        lang = np.array([places[l] for l in entries.column("lang").to_pylist()], np.int64)
+        lower_keys, lower = np.zeros(1, np.uint64), np.full((1, len(languages)), uniform)
         for n in range(1, order + 1):
-            # a language that lacks a gram of another falls back to its own shorter model
-            model.grams.append(_pack([(p[n], lambda g, p=p, w=w: _back_off(g, p, w, uniform)) for p, w in fitted]))
-            if n > 1:
-                model.contexts.append(_pack([(w[n], lambda g: 1.0) for _, w in fitted]))
+            rows = np.flatnonzero(held["n"] == n)
+            owner = lang[rows]
+            gram, context, shorter = (held[c][rows].view(np.uint64) for c in ("hash", "context", "shorter"))
+            keys, first, at = np.unique(gram, return_index=True, return_inverse=True)
+            contexts, where = np.unique(context, return_inverse=True)
+            weights = np.ones((len(contexts), len(languages)))
+            weights[where, owner] = held["weight"][rows]
+            shares = np.zeros((len(keys), len(languages)))
+            shares[at, owner] = held["share"][rows]
+            values = shares + weights[where[first]] * lower[np.searchsorted(lower_keys, shorter[first])]
+            if n == 1:
+                model.unseen = (weights[0] if len(weights) else np.ones(len(languages))) * uniform
+            else:
+                model.contexts.append((contexts, weights))
+            model.grams.append((keys, values))
+            lower_keys, lower = keys, values
         return model
 
     def limit(self, lang: str, events: int, z: float) -> float:
@@ -128,63 +146,9 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[at] == wanted, at
 
 
-def _pack(tables: list[tuple[dict[str, float], object]]) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending hashes of all keys and a column per table; each table says what a missing key has."""
-    names = list({g for table, _ in tables for g in table})
-    if not names:
-        return np.zeros(0, np.uint64), np.zeros((0, len(tables)))
-    hashes = hashes_of(names)
-    order = np.argsort(hashes)
-    values = np.empty((len(names), len(tables)))
-    for k, (table, missing) in enumerate(tables):
-        values[:, k] = [table[g] if g in table else missing(g) for g in names]
-    return hashes[order], values[order]
-
-
-def _back_off(gram: str, probs, weights, uniform: float) -> float:
-    factor = 1.0
-    for n in range(len(gram), 0, -1):
-        part = gram[len(gram) - n:]
-        if part in probs[n]:
-            return factor * probs[n][part]
-        factor *= weights[n].get(part[:-1], 1.0)
-    return factor * uniform
-
-
-def _interpolate(counts: dict[str, int], order: int, uniform: float):
-    """Interpolated Kneser-Ney with one absolute discount per order. Below the highest order a gram counts the distinct
-    characters before it, except where it begins a run and nothing can precede it."""
-    levels: list[dict[str, int]] = [{} for _ in range(order + 1)]
-    for gram, c in counts.items():
-        levels[len(gram)][gram] = levels[len(gram)].get(gram, 0) + c
-    for n in range(order, 1, -1):
-        for gram in levels[n]:
-            shorter = gram[1:]
-            if shorter:
-                levels[n - 1][shorter] = levels[n - 1].get(shorter, 0) + 1
-    probs: list[dict[str, float]] = [{} for _ in range(order + 1)]
-    weights: list[dict[str, float]] = [{} for _ in range(order + 1)]
-    for n in range(1, order + 1):
-        ones = sum(1 for c in levels[n].values() if c == 1)
-        twos = sum(1 for c in levels[n].values() if c == 2)
-        discount = ones / (ones + 2 * twos) if ones else 0.5
-        total, types = defaultdict(int), defaultdict(int)
-        for gram, c in levels[n].items():
-            total[gram[:-1]] += c
-            types[gram[:-1]] += 1
-        for context, t in total.items():
-            weights[n][context] = discount * types[context] / t
-        for gram, c in levels[n].items():
-            context = gram[:-1]
-            lower = uniform if n == 1 else _back_off(gram[1:], probs, weights, uniform)
-            probs[n][gram] = max(c - discount, 0) / total[context] + weights[n][context] * lower
-        if n == 1 and not levels[1]:
-            weights[1][""] = 1.0
-    return probs, weights
-
-
-def _count_grams(order: int, held: int = 150_000):
-    """Counts words per language first, then turns each distinct word into grams; about ``held`` words are kept at a time."""
+def _count_grams(order: int, held: int = 150_000, most: int = 1_000_000):
+    """Counts words per language first, then turns each distinct word into grams; about ``held`` words are kept at a time, and
+    grams are given out when there are more than ``most`` of them."""
 
     @lean
     def run(batches):
@@ -199,6 +163,12 @@ def _count_grams(order: int, held: int = 150_000):
                         grams[lang, s[max(0, i - order + 1):i + 1]] += c
             counts.clear()
 
+        def give_out():
+            found = list(grams)
+            columns = [pa.array([l for l, _ in found], pa.string()), pa.array([g for _, g in found], pa.string()), pa.array(grams.values(), pa.int64())]
+            grams.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "c"])
+
         for batch in batches:
             for part in slices(batch):
                 langs = part.column("lang")
@@ -209,50 +179,113 @@ def _count_grams(order: int, held: int = 150_000):
                         counts[lang, word] = counts.get((lang, word), 0) + c
                 if len(counts) > held:
                     flush()
+                if len(grams) > most:
+                    yield give_out()
         flush()
-        found = list(grams)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([l for l, _ in found], pa.string()), pa.array([g for _, g in found], pa.string()),
-             pa.array([grams[x] for x in found], pa.int64())], names=["lang", "gram", "n"])
+        yield give_out()
 
     return run
 
 
+def _levels(work: Workspace, counted: DataFrame, order: int) -> DataFrame:
+    """(fit, lang, n, gram, c, seen) of all grams of 1..``order`` characters from ``counted`` (fit, lang, gram, c).
+
+    Below the highest order a gram counts the distinct characters before it (``c``), except where it begins a run and nothing can
+    precede it; ``seen`` is how many events it ended, never fewer than those of a longer gram that it ends.
+    """
+    key, length = ["fit", "lang", "gram"], F.length("gram")
+    counted = work.save(counted.groupBy(*key).agg(F.sum("c").alias("c"), F.sum("c").alias("seen")))
+    levels: list[DataFrame] = []
+    for n in range(order, 0, -1):
+        level = counted.where(length == n)
+        if levels:
+            shorter = levels[-1].select("fit", "lang", F.expr("substring(gram, 2)").alias("gram"), F.lit(1).cast("long").alias("c"), "seen")
+            level = level.unionByName(shorter).groupBy(*key).agg(F.sum("c").alias("c"), F.sum("seen").alias("seen"))
+        levels.append(work.save(level))
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out.withColumn("n", length)
+
+
+@lean
+def _hashed(batches):
+    """Grams as the hashes of themselves and of what is left without their last or first character; 0 for none."""
+    for batch in batches:
+        grams, n = batch.column("gram").to_pylist(), batch.column("n").to_numpy()
+        out = np.zeros((3, len(grams)), np.uint64)
+        for k in np.unique(n).tolist():
+            at = np.flatnonzero(n == k)
+            held = [grams[i] for i in at.tolist()]
+            for row, part in zip(out, (slice(None), slice(0, -1), slice(1, None))):
+                row[at] = hashes_of([g[part] for g in held]) if k > 1 or part == slice(None) else 0
+        columns = [batch.column("lang"), batch.column("n"), *(pa.array(row.view(np.int64)) for row in out), batch.column("share"), batch.column("weight")]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "n", "hash", "context", "shorter", "share", "weight"])
+
+
+def fit(counted: DataFrame, order: int, max_grams: int) -> dict[str, KneserNey]:
+    """Interpolated Kneser-Ney models by ``fit``, with one absolute discount per order, from counts (fit, lang, gram, c) of how often each gram ended an event. Grams
+    shorter than ``order`` begin a run.
+
+    Discounts, continuation counts, context totals and alphabets come from all grams, by grouping. Only then does a model with more than
+    ``max_grams`` grams in a language put the ones seen least often aside, by whole classes of about one sixteenth of a doubling, longer
+    grams first, so that a gram is never kept without its shorter ones. Their shares go to the weights of their contexts, so every
+    distribution still adds up to one. A context has one row for each character at most, so no group grows with the corpus.
+    """
+    spark = counted.sparkSession
+    work = Workspace(spark, "kneser-ney")
+    # a class: rarer ones have greater numbers, and of one frequency the longer grams
+    rarity = F.struct((-F.floor(16 * F.log2("seen"))).cast("long").alias("rare"), F.col("n"))
+    levels = _levels(work, counted, order).withColumn("class", rarity)
+    classes = work.save(levels.groupBy("fit", "lang", "n", "class").agg(
+        F.count("*").alias("grams"), F.count_if(F.col("c") == 1).alias("ones"), F.count_if(F.col("c") == 2).alias("twos")))
+    ones, twos = F.sum("ones"), F.sum("twos")
+    discounts = classes.groupBy("fit", "lang", "n").agg(F.when(ones > 0, ones / (ones + 2 * twos)).otherwise(0.5).alias("discount"))
+    upto = F.sum("grams").over(Window.partitionBy("fit", "lang").orderBy("class"))  # a few thousand classes a language
+    last = classes.withColumn("upto", upto).where(F.col("upto") <= max_grams).groupBy("fit", "lang").agg(F.max("class").alias("last"))
+    facts = work.save(discounts.join(last, ["fit", "lang"], "left"))
+    context = Window.partitionBy("fit", "lang", F.expr("left(gram, n - 1)"), "n")
+    held = F.coalesce(F.col("class") <= F.col("last"), F.lit(False))
+    over = F.col("c") - F.col("discount")
+    total = F.sum("c").over(context)
+    aside = F.sum(F.when(held, 0.0).otherwise(over)).over(context)
+    kept = levels.join(facts, ["fit", "lang", "n"]).select(
+        "fit", "lang", "n", "gram", held.alias("held"), (over / total).alias("share"),
+        ((F.col("discount") * F.count("*").over(context) + aside) / total).alias("weight")).where("held").drop("held")
+    kept = work.save(kept)
+    symbols = dict(work.save(levels.where("n = 1").select("fit", "gram").distinct()).groupBy("fit").count().collect())
+    languages: dict[str, list[str]] = {}
+    for r in facts.select("fit", "lang").distinct().sort("fit", "lang").collect():
+        languages.setdefault(r["fit"], []).append(r["lang"])
+    models = {}
+    for name, langs in languages.items():
+        hashed = kept.where(F.col("fit") == name).select("lang", "n", "gram", "share", "weight").mapInArrow(
+            _hashed, "lang string, n int, hash long, context long, shorter long, share double, weight double")
+        models[name] = KneserNey.of(langs, order, 1.0 / (symbols[name] + 1), hashed.toArrow())
+    work.clear()
+    return models
+
+
 def train(labelled: DataFrame, order: int = 4, max_grams: int = 400_000, calibration_docs: int = 4000) -> KneserNey:
     """Models of every non-null ``lang`` of ``labelled`` (doc_id, text, lang); null texts count as empty.
 
-    Grams are counted over all rows, combined inside each task and then by Spark. A model keeps its ``max_grams``
-    most frequent grams, which bounds what is broadcast. The rejection limit of a language is fitted on
+    Grams are counted over all rows, combined inside each task and then by Spark, and fitted by :func:`fit`; what is collected and broadcast are at most
+    ``max_grams`` fitted grams of a language. The rejection limit of a language is fitted on
     the ``calibration_docs`` of its rows with the smallest hash of their id, each scored by models of the half of the rows that it
     is not in, as far as those take it for that language. One with fewer than ``MIN_CALIBRATION`` of them takes the deviations of all
     languages, and without any also their mean; if no row was held back from anything, the model's own losses count.
     """
+    small_batches(labelled.sparkSession)
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
     labelled = labelled.where("lang is not null").select("doc_id", "text", "lang")
     marked = labelled.select(F.concat(half.cast("string"), "lang").alias("lang"), "text")
-    counted = marked.mapInArrow(_count_grams(order), "lang string, gram string, n long")
-    second = F.col("lang").startswith("1")
-    counted = counted.groupBy(F.expr("substring(lang, 2)").alias("lang"), "gram").agg(
-        F.sum("n").alias("n"), F.sum(F.when(second, F.col("n")).otherwise(0)).alias("n1"))
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = counted.withColumn("place", rank).where(F.col("place") <= max_grams)
-    counts: dict[str, dict[str, int]] = defaultdict(dict)
-    halves: list[dict[str, dict[str, int]]] = [defaultdict(dict), defaultdict(dict)]
-    for batch in kept.select("lang", "gram", "n", "n1").toArrow().to_batches():
-        for lang, gram, n, n1 in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            counts[lang][gram] = n
-            for table, c in zip(halves, (n - n1, n1)):
-                if c:
-                    table[lang][gram] = c
+    counted = marked.mapInArrow(_count_grams(order), "lang string, gram string, c long")
+    # one model of all rows, and one of each half
+    fits = F.explode(F.array(F.lit("all"), F.left("lang", F.lit(1)))).alias("fit")
+    models = fit(counted.select(fits, F.expr("substring(lang, 2)").alias("lang"), "gram", "c"), order, max_grams)
+    model = models.get("all") or KneserNey([], order)
     chosen = sample_each(labelled, "lang", calibration_docs)
-    losses = []
-    for k, table in enumerate(halves):
-        other = KneserNey.fit(sorted(table), table, order)
-        table.clear()
-        losses.append(_calibration(chosen.where(half != k), other))
-    model = KneserNey.fit(sorted(counts), counts, order)
+    losses = [_calibration(chosen.where(half != k), models.get(str(k)) or KneserNey([], order)) for k in (0, 1)]
     moments = _moments(losses[0].unionByName(losses[1])) or _moments(_calibration(chosen, model))
     model.limits = _limits(model.languages, moments)
     return model

@@ -70,6 +70,10 @@ class Workspace:
         for name in df.inputFiles()[:1]:
             _delete(self.spark, name.rsplit("/", 1)[0])
 
+    def clear(self) -> None:
+        """Deletes all tables of the call, once its result no longer reads them."""
+        _delete(self.spark, self.root)
+
 
 def _delete(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,6 +8,7 @@ from quantloom.llm import language_id, toxicity
 from quantloom.llm.lm_scoring import ORDER, Vocabulary, cross_entropy_difference, losses, trigrams
 
 from . import cases
+from .kneser_ney import back_off, interpolate
 
 SF = "/root/testdata/sf0.01"
 
@@ -22,33 +23,71 @@ def model(documents):
     return language_id.train(documents.where(~language_id.held_out()))
 
 
-def test_probabilities_of_a_context_add_up():
-    """Over the whole alphabet and one unseen character, every language's distribution sums to one."""
-    counts = {"x": {"^a": 3, "^ab": 2, "^b": 1, "aba": 2, "ab$": 1, "ba$": 4, "^ba": 1}, "y": {"^c": 5, "^ca": 2, "ca$": 2, "^c$": 3}}
-    fitted = language_id.KneserNey.fit(["x", "y"], counts, 3)
+COUNTS = {"x": {"^a": 3, "^ab": 2, "^b": 1, "aba": 2, "ab$": 1, "ba$": 4, "^ba": 1}, "y": {"^c": 5, "^ca": 2, "ca$": 2, "^c$": 3}}
+
+
+def fitted(spark, counts, order, max_grams=400_000):
+    rows = [("one", lang, gram, c) for lang, table in counts.items() for gram, c in table.items()]
+    return language_id.fit(spark.createDataFrame(rows, "fit string, lang string, gram string, c long"), order, max_grams)["one"]
+
+
+def agrees(model, counts, order, runs, kept=lambda lang: lambda gram: True):
+    """The model's losses of the runs are those of the dictionaries, whose distributions add up to one."""
     symbols = sorted({g[-1] for table in counts.values() for g in table})
     uniform = 1 / (len(symbols) + 1)
-    for lang in ("x", "y"):
-        probs, weights = language_id._interpolate(counts[lang], 3, uniform)
-        for context in ("", "^", "^a", "ab", "b"):
-            total = sum(language_id._back_off(context + s, probs, weights, uniform) for s in [*symbols, "\0"])
-            assert math.isclose(total, 1, rel_tol=1e-9), (lang, context)
-    # array look-ups give the same numbers as the dictionaries
-    logs, events = fitted.log_probs(["ab", "ca", "zz"])
-    for r, run in enumerate(("ab", "ca", "zz")):
-        framed = f"^{run}$"
-        for k, lang in enumerate(("x", "y")):
-            probs, weights = language_id._interpolate(counts[lang], 3, uniform)
-            want = sum(math.log(language_id._back_off(framed[max(0, i - 2):i + 1], probs, weights, uniform)) for i in range(1, len(framed)))
-            assert math.isclose(logs[r, k], want, rel_tol=1e-9)
-    assert events.tolist() == [3, 3, 3]
-
-
-def test_kneser_ney_lower_order_counts_contexts():
+    logs, events = model.log_probs(runs)
+    assert events.tolist() == [len(r) + 1 for r in runs]
+    for k, lang in enumerate(model.languages):
+        probs, weights = interpolate(counts[lang], order, uniform, kept(lang))
+        prob = lambda gram: back_off(gram, probs, weights, uniform)
+        for context in {"", "^", "zz"[:order - 1], *(c for level in weights for c in level)}:
+            assert math.isclose(sum(prob(context + s) for s in [*symbols, "\0"]), 1, rel_tol=1e-9), (lang, context)
+        for r, run in enumerate(runs):
+            framed = f"^{run}$"
+            want = sum(math.log(prob(framed[max(0, i - order + 1):i + 1])) for i in range(1, len(framed)))
+            assert math.isclose(logs[r, k], want, rel_tol=1e-9), (lang, run)
+
+
+def test_probabilities_of_a_context_add_up(spark):
+    """Over the whole alphabet and one unseen character, every language's distribution sums to one; look-ups in arrays give the same."""
+    agrees(fitted(spark, COUNTS, 3), COUNTS, 3, ["ab", "ca", "zz"])
+
+
+def test_grams_put_aside_leave_all_statistics_as_they_are(spark):
+    """A language beyond the bound is fitted on all its grams; the rarest are put aside afterwards, and their shares go to their contexts."""
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefgh"), int(n), p=np.arange(8, 0, -1) / 36)) for n in rng.integers(1, 7, 400)]
+    counts = {"few": {"^a": 3, "a$": 3}, "many": {}}
+    for w in words:
+        for i in range(1, len(w) + 2):
+            gram = f"^{w}$"[max(0, i - 3):i + 1]
+            counts["many"][gram] = counts["many"].get(gram, 0) + 1
+    whole, part = fitted(spark, counts, 4), fitted(spark, counts, 4, 120)
+    seen = {}
+    for gram, c in counts["many"].items():
+        for at in range(len(gram)):
+            seen[gram[at:]] = seen.get(gram[at:], 0) + c
+    classes = {}
+    for gram, c in seen.items():
+        classes.setdefault((-math.floor(16 * math.log2(c)), len(gram)), set()).add(gram)
+    kept = set()
+    for k in sorted(classes):
+        if len(kept) + len(classes[k]) > 120:
+            break
+        kept |= classes[k]
+    assert 60 < len(kept) <= 120 < len(seen)
+    assert all(gram[1:] in kept for gram in kept if len(gram) > 1)
+    assert sum(len(keys) for keys, _ in part.grams) < sum(len(keys) for keys, _ in whole.grams)
+    agrees(whole, counts, 4, words[:20] + ["hhhh", "zz"])
+    agrees(part, counts, 4, words[:20] + ["hhhh", "zz"], lambda lang: (lambda gram: gram in kept) if lang == "many" else lambda gram: True)
+
+
+def test_kneser_ney_lower_order_counts_contexts(spark):
     """A character seen often but after one other only is less likely after a new context than one seen after many."""
     counts = {"x": {"^q": 1, "qz": 50, "^a": 1, "aa": 1, "ba": 1, "ca": 1, "^b": 1, "^c": 1}}
-    probs, weights = language_id._interpolate(counts["x"], 2, 0.01)
+    probs, weights = interpolate(counts["x"], 2, 0.01)
     assert probs[1]["a"] > probs[1]["z"]
+    agrees(fitted(spark, counts, 2), counts, 2, ["a", "z", "qz", "az"])
 
 
 def test_languages_of_held_out_documents(spark, documents, model):
