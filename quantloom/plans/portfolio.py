@@ -12,7 +12,7 @@ from ..operators.selection import context_panels, missing_panels, selected_score
 from ..operators.transition import (
     portfolio_transition, previous_target, transition_status, transition_totals,
 )
-from ..operators.weights import capped_score_weights, target_cash, weight_refusals
+from ..operators.weights import target_cash, water_fill, weight_refusals
 from ..session import durable
 
 Strategy = Callable[[DataFrame], DataFrame]  # panel of all dates -> result of all dates
@@ -46,23 +46,22 @@ def strategy_run(
 def portfolio_run(
     result: DataFrame, cash: float, cap: float,
     state: DataFrame | None = None, state_cash: DataFrame | None = None,
-    construct: Rule = capped_score_weights, refuse: Rule = weight_refusals,
+    construct: Rule = water_fill, refuse: Rule = weight_refusals,
 ) -> dict[str, DataFrame]:
     """Targets, moves and totals of every date that can be weighted.
 
     ``construct`` may be any rule that returns positions, with ``refuse`` naming the dates it
-    cannot weight.
+    cannot weight; it gets the selections of the other dates.
 
     Without an explicit ``state`` each date starts from the target of the date before, and the
     first one from cash.
     """
     selected = selected_scores(result)
     refused = durable(refuse(selected, cash, cap), "refusals")
-    target = durable(construct(selected, cash, cap), "target")
-    wanted_cash = durable(
-        target_cash(result, cash).join(refused.select("as_of_date").distinct(), "as_of_date", "left_anti"),
-        "target-cash",
-    )
+    left_out = refused.select("as_of_date").distinct()
+    allowed = selected.join(left_out, "as_of_date", "left_anti")
+    target = durable(construct(allowed, cash, cap), "target")
+    wanted_cash = durable(target_cash(result, cash).join(left_out, "as_of_date", "left_anti"), "target-cash")
     _stop_on(portfolio_violations(target, wanted_cash, selected), "the target breaks its contract")
     if state is None:
         state, state_cash = previous_target(target, wanted_cash)
