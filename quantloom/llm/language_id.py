@@ -29,11 +29,47 @@ def runs_of(chunk: bytes) -> list[str]:
     return [text.lower()] if text.isalpha() else [r.lower() for r in _LETTERS.findall(text)]
 
 
-def gram_hashes(runs: list[str], order: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _plain(code: int) -> int:
+    """The lower-case letter that a character stands for, 0 if it is none, -1 if that depends on its neighbours or takes several characters."""
+    char = chr(code)
+    low = char.lower()
+    if len(low) > 1 or char == "Σ" or char.isalpha() != bool(_LETTERS.fullmatch(char)):
+        return -1
+    return ord(low) if char.isalpha() else 0
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def framed(runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of the runs between start and end marks, one after another, and the length of each with its marks."""
+    return code_points("".join(_START + r + _END for r in runs)), np.fromiter((len(r) + 2 for r in runs), np.int64, len(runs))
+
+
+def framed_runs(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`framed` runs of letters of chunks between white space, as :func:`runs_of` gives them, and the chunk of each run."""
+    codes = code_points(b" ".join(chunks).decode("utf-8"))
+    kinds, at = np.unique(codes, return_inverse=True)
+    table = np.array([_plain(c) for c in kinds.tolist()], np.int64)
+    if (table < 0).any():
+        runs = [(i, r) for i, chunk in enumerate(chunks) for r in runs_of(chunk)]
+        return *framed([r for _, r in runs]), np.array([i for i, _ in runs], np.int64)
+    letters = table[at]
+    solid = np.concatenate([[False], letters > 0, [False]])
+    starts, ends = np.flatnonzero(solid[1:] & ~solid[:-1]), np.flatnonzero(solid[:-1] & ~solid[1:])
+    lengths = ends - starts + 2
+    first = np.cumsum(lengths) - lengths
+    out = np.zeros(int(lengths.sum()), np.uint32)
+    inside = np.ones(len(out), bool)
+    inside[first] = inside[first + lengths - 1] = False
+    out[first], out[first + lengths - 1], out[inside] = ord(_START), ord(_END), letters[letters > 0]
+    return out, lengths, np.cumsum(codes == ord(" "))[starts] if len(starts) else starts
+
+
+def gram_hashes(codes: np.ndarray, lengths: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Hashes of the 1..order-grams that end at each character of the framed runs, and each character's place in its run."""
-    framed = [_START + r + _END for r in runs]
-    lengths = np.fromiter(map(len, framed), np.int64, len(framed))
-    codes = np.frombuffer("".join(framed).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    codes = codes.astype(np.uint64)
     starts = np.cumsum(lengths) - lengths
     place = np.arange(len(codes)) - np.repeat(starts, lengths)
     hashes = [mix(codes + np.uint64(1))]
@@ -113,7 +149,11 @@ class KneserNey:
 
     def log_probs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Summed natural log-probabilities per run and language, and the number of events of each run."""
-        hashes, place = gram_hashes(runs, self.order)
+        return self.framed_log_probs(*framed(runs))
+
+    def framed_log_probs(self, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`log_probs` of runs that are framed already."""
+        hashes, place = gram_hashes(codes, lengths, self.order)
         n_lang = len(self.languages)
         value = np.ones((len(place), n_lang))
         done = place == 0
@@ -133,7 +173,6 @@ class KneserNey:
                 value[at] *= self.unseen
         logs = np.log(value)
         logs[place == 0] = 0
-        lengths = np.fromiter((len(r) + 2 for r in runs), np.int64, len(runs))
         starts = np.cumsum(lengths) - lengths
         return np.add.reduceat(logs, starts, axis=0), lengths - 1
 
@@ -146,22 +185,13 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[at] == wanted, at
 
 
-def _count_grams(order: int, held: int = 150_000, most: int = 1_000_000):
-    """Counts words per language first, then turns each distinct word into grams; about ``held`` words are kept at a time, and
-    grams are given out when there are more than ``most`` of them."""
+def _count_grams(order: int, most: int = 1_000_000):
+    """Turns the distinct words of each slice of a language into grams by whole arrays and sums those in one dictionary for each task,
+    which is given out when it has more than ``most`` of them."""
 
     @lean
     def run(batches):
         grams: dict = defaultdict(int)
-        counts: dict = {}
-
-        def flush():
-            for (lang, word), c in counts.items():
-                for r in runs_of(word):
-                    s = _START + r + _END
-                    for i in range(1, len(s)):
-                        grams[lang, s[max(0, i - order + 1):i + 1]] += c
-            counts.clear()
 
         def give_out():
             found = list(grams)
@@ -175,18 +205,31 @@ def _count_grams(order: int, held: int = 150_000, most: int = 1_000_000):
                 for lang in pc.unique(langs).to_pylist():
                     words = split_words(part.column("text").filter(pc.equal(langs, lang)))
                     _, first, n = np.unique(words.hashes, return_index=True, return_counts=True)
-                    for word, c in zip(words.take(first), n.tolist()):
-                        counts[lang, word] = counts.get((lang, word), 0) + c
-                if len(counts) > held:
-                    flush()
+                    codes, lengths, owner = framed_runs(words.take(first))
+                    for gram, c in count_grams(codes, lengths, n[owner], order):
+                        grams[lang, gram] += c
                 if len(grams) > most:
                     yield give_out()
-        flush()
         yield give_out()
 
     return run
 
 
+def count_grams(codes: np.ndarray, lengths: np.ndarray, often: np.ndarray, order: int) -> list[tuple[str, int]]:
+    """How often each gram ends an event of the framed runs, which occur ``often``: the last ``order`` characters up to there, fewer where
+    the run begins with them."""
+    hashes, place = gram_hashes(codes, lengths, order)
+    text = codes.tobytes().decode("utf-32-le", "surrogatepass")
+    often = np.repeat(often, lengths)
+    out = []
+    for n in range(min(2, order), order + 1):
+        at = np.flatnonzero(place >= max(1, n - 1) if n == order else place == n - 1)
+        _, first, which = np.unique(hashes[n - 1][at], return_index=True, return_inverse=True)
+        sums = np.bincount(which, often[at], len(first)).astype(np.int64)  # whole numbers, exact below 2^53
+        out += [(text[e - n + 1:e + 1], c) for e, c in zip(at[first].tolist(), sums.tolist())]
+    return out
+
+
 def _levels(work: Workspace, counted: DataFrame, order: int) -> DataFrame:
     """(fit, lang, n, gram, c, seen) of all grams of 1..``order`` characters from ``counted`` (fit, lang, gram, c).
 
@@ -266,13 +309,13 @@ def fit(counted: DataFrame, order: int, max_grams: int) -> dict[str, KneserNey]:
     return models
 
 
-def train(labelled: DataFrame, order: int = 4, max_grams: int = 400_000, calibration_docs: int = 4000) -> KneserNey:
+def train(labelled: DataFrame, order: int = 4, max_grams: int = 400_000, calibration_docs: int | None = None) -> KneserNey:
     """Models of every non-null ``lang`` of ``labelled`` (doc_id, text, lang); null texts count as empty.
 
     Grams are counted over all rows, combined inside each task and then by Spark, and fitted by :func:`fit`; what is collected and broadcast are at most
-    ``max_grams`` fitted grams of a language. The rejection limit of a language is fitted on
-    the ``calibration_docs`` of its rows with the smallest hash of their id, each scored by models of the half of the rows that it
-    is not in, as far as those take it for that language. One with fewer than ``MIN_CALIBRATION`` of them takes the deviations of all
+    ``max_grams`` fitted grams of a language. The rejection limits are fitted on all rows too, each scored by models of the half of the rows that
+    it is not in, as far as those take it for its language; a caller may ask for the ``calibration_docs`` ids of each language with the
+    smallest hash instead. A language with fewer than ``MIN_CALIBRATION`` rows takes the deviations of all
     languages, and without any also their mean; if no row was held back from anything, the model's own losses count.
     """
     small_batches(labelled.sparkSession)
@@ -284,28 +327,47 @@ def train(labelled: DataFrame, order: int = 4, max_grams: int = 400_000, calibra
     fits = F.explode(F.array(F.lit("all"), F.left("lang", F.lit(1)))).alias("fit")
     models = fit(counted.select(fits, F.expr("substring(lang, 2)").alias("lang"), "gram", "c"), order, max_grams)
     model = models.get("all") or KneserNey([], order)
-    chosen = sample_each(labelled, "lang", calibration_docs)
-    losses = [_calibration(chosen.where(half != k), models.get(str(k)) or KneserNey([], order)) for k in (0, 1)]
-    moments = _moments(losses[0].unionByName(losses[1])) or _moments(_calibration(chosen, model))
+    chosen = labelled if calibration_docs is None else sample_each(labelled, "lang", calibration_docs)
+    halves = {k: models.get(str(1 - k)) or KneserNey([], order) for k in (0, 1)}
+    moments = _moments(chosen.withColumn("half", half), halves) or _moments(chosen.withColumn("half", F.lit(0)), {0: model})
     model.limits = _limits(model.languages, moments)
     return model
 
 
-def _calibration(docs: DataFrame, model: KneserNey) -> DataFrame:
-    """(lang, loss, n) of the texts with letters that the model takes for their own language; one row for each id."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct("lang").alias("document"))
-    found = given.mapInArrow(_identify(shared, np.inf), results(_RESULT, given)).where("events > 0 and lang_pred = document.lang")
-    found = found.groupBy(F.col("lang_pred").alias("lang"), "doc_id").agg(F.max(F.struct("cross_entropy", "events")).alias("m"))
-    return found.select("lang", F.col("m.cross_entropy").alias("loss"), F.col("m.events").alias("n"))
+def _losses(shared):
+    """(lang, loss, n) of the texts with letters that the model of their ``half`` takes for their own language."""
+
+    @lean
+    def run(batches):
+        scorers = {half: Scorer(KneserNey.from_state(state)) for half, state in shared.value.items()}
+        for batch in batches:
+            for half, scorer in scorers.items():
+                for part in slices(batch.filter(pc.equal(batch.column("half"), half))):
+                    sums = scorer.score(part.column("text"))
+                    if sums.shape[1] == 1:
+                        continue  # no language was learned
+                    best, n = np.argmin(sums[:, :-1], axis=1), sums[:, -1].round().astype(np.int64)
+                    own = np.array(scorer.model.languages, object)[best] == np.array(part.column("lang").to_pylist(), object)
+                    at = np.flatnonzero(own & (n > 0))
+                    columns = [part.column("lang").take(pa.array(at)), pa.array(sums[at, best[at]] / n[at]), pa.array(n[at])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "loss", "n"])
+
+    return run
 
 
-def _moments(losses: DataFrame) -> dict[str, tuple[int, float, float, float]]:
-    """Per language: rows, mean loss of an event, variance between rows, and variance of one event."""
+def _moments(docs: DataFrame, models: dict[int, KneserNey]) -> dict[str, tuple[int, float, float, float]]:
+    """Per language: rows, mean loss of an event, variance between rows, and variance of one event, of ``docs`` (half, lang, text) by the
+    model of each half."""
+    spark = docs.sparkSession
+    work = Workspace(spark, "calibration")
+    shared = spark.sparkContext.broadcast({half: vars(m) for half, m in models.items()})
+    losses = work.save(docs.select("half", "lang", "text").mapInArrow(_losses(shared), "lang string, loss double, n long"))
+    shared.destroy()
     means = losses.groupBy("lang").agg((F.sum(F.col("loss") * F.col("n")) / F.sum("n")).alias("mean"))
     held = losses.join(F.broadcast(means), "lang")
     per_event = F.avg(F.col("n") * (F.col("loss") - F.col("mean")) ** 2)
     rows = held.groupBy("lang").agg(F.count("*"), F.first("mean"), F.var_pop("loss"), per_event).collect()
+    work.clear()
     return {r[0]: tuple(r[1:]) for r in rows}
 
 
@@ -330,15 +392,12 @@ class Scorer:
         self.lexicon = Lexicon(self._score)
 
     def _score(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        runs, owner = [], []
-        for i, chunk in enumerate(chunks):
-            for r in runs_of(chunk):
-                runs.append(r)
-                owner.append(i)
+        codes, lengths, owner = framed_runs(chunks)
         out = np.zeros((len(chunks), self.width))
-        if runs:
-            logs, events = self.model.log_probs(runs)
-            np.add.at(out, np.array(owner), np.column_stack([-logs, events]))
+        if len(lengths):
+            logs, events = self.model.framed_log_probs(codes, lengths)
+            first = np.flatnonzero(np.diff(owner, prepend=-1))  # the runs of a chunk lie together
+            out[owner[first]] = np.add.reduceat(np.column_stack([-logs, events]), first, axis=0)
         return out.ravel(), np.full(len(chunks), self.width, np.int64)
 
     def score(self, texts: pa.Array) -> np.ndarray:

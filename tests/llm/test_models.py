@@ -120,6 +120,44 @@ def test_a_language_of_one_document_rejects_too(spark):
     assert (found[2].lang_pred, found[3].lang_pred) == ("fi", "en")
 
 
+def test_limits_come_from_all_rows(spark):
+    """More rows of a language than any sample had: mean and deviations are those of all of them, each by the other half's model."""
+    rng = np.random.default_rng(7)
+    lexicon = {"x": ["ab", "abba", "bab", "aab", "ba"], "y": ["cd", "dcdc", "ccd"]}
+    rows = [(i, " ".join(rng.choice(lexicon["xy"[i % 3 == 0]], 1 + i % 3)), "xy"[i % 3 == 0]) for i in range(7000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    half = {r.doc_id: r.half for r in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id), 2) half").collect()}
+    grams = lambda text: [f"^{w}$"[max(0, i - 3):i + 1] for w in text.split() for i in range(1, len(w) + 2)]
+    found = language_id.train(docs).limits
+    for lang in "xy":
+        losses = []
+        for k in (0, 1):
+            known, symbols = {}, set()
+            for i, text, l in rows:
+                if half[i] != k:
+                    symbols |= {g[-1] for g in grams(text)}
+                    if l == lang:
+                        for g in grams(text):
+                            known[g] = known.get(g, 0) + 1
+            uniform = 1 / (len(symbols) + 1)
+            probs, weights = interpolate(known, 4, uniform)
+            prob = {g: math.log(back_off(g, probs, weights, uniform)) for i, text, l in rows if half[i] == k and l == lang for g in grams(text)}
+            losses += [(-sum(prob[g] for g in grams(text)), len(grams(text))) for i, text, l in rows if half[i] == k and l == lang]
+        total, n = np.array(losses).T
+        mean = total.sum() / n.sum()
+        assert lang == "y" or len(n) > 4000
+        assert np.allclose(found[lang], (mean, (total / n).var(), (n * (total / n - mean) ** 2).mean()), rtol=1e-9)
+
+
+def test_framed_runs_are_those_of_chunks():
+    """Whole arrays give the runs that single chunks give, also where lower case takes several characters or depends on neighbours."""
+    for chunks in ([], ["12"], ["Ab-c", "x1Y", "éÉ", "ЖЩ,中文", "a\u0301b"], ["ΑΣ", "ΑΣ.Σ", "İx", "ﬁ"]):
+        codes, lengths, owner = language_id.framed_runs([c.encode() for c in chunks])
+        want = [(i, r) for i, c in enumerate(chunks) for r in language_id.runs_of(c.encode())]
+        assert codes.tobytes().decode("utf-32-le") == "".join(f"^{r}$" for _, r in want)
+        assert list(zip(owner.tolist(), lengths.tolist())) == [(i, len(r) + 2) for i, r in want]
+
+
 def test_limits_do_not_follow_the_alphabet(spark):
     """An unlearned language in a learned script is rejected also beside a language of thousands of letters."""
     rng = np.random.default_rng(5)
