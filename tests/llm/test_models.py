@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -213,6 +214,17 @@ def test_toxicity_of_held_out_documents(spark):
             assert any(r.text[s.start:s.end].startswith(("grubnok", "zilfart")) for s in r.spans)
 
 
+def test_toxicity_is_fitted_outside_the_driver(spark):
+    """The driver's Python never holds texts, words or their chains: long documents cost it no more than the weights do."""
+    rows = [(i, " ".join(cases.prose(i, 50).split() * 60 + ["grubnok"] * (i % 2)), i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    tracemalloc.start()
+    toxicity.train(df)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
 def test_toxicity_of_awkward_texts(spark):
     rows = cases.awkward_rows()
     untrained = toxicity.train(spark.createDataFrame([], "doc_id long, text string, toxic int"))
