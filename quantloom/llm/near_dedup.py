@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -150,9 +150,10 @@ def near_dedup(
     the threshold t is missed with probability (1 - t^rows)^bands). Equal sets are one node from the start. A
     bucket never emits all its pairs, and a candidate whose whole signatures differ too much for the threshold is left out before
     any text moves: ``stars`` times its members are compared with one centre, and linked
-    nodes merge; then the members outside a bucket's main component, usually few, are compared with all
-    members of other components: with a main component of more than ``wide`` members in the bucket in blocks of whole sets, which lists
-    no pairs, else pair by pair. So no candidate that could still join two components is left out. Every
+    nodes merge; then the members outside a bucket's main component are compared with all members of other components: pair by
+    pair in buckets of at most ``wide`` members, and in larger ones through their rarest shingles (:func:`_rare_pairs`), which meets only
+    sets that could still be similar enough. A node left with more than ``wide`` candidates in one component meets that component in blocks of
+    whole sets, which lists no pairs. So no candidate that could still join two components is left out. Every
     link is confirmed on the full sets of the two whole texts.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat a ``doc_id`` count once per row
@@ -192,22 +193,27 @@ def near_dedup(
             F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.min_by("node", F.xxhash64("node", "bucket", F.lit(turn))).alias("pick"))
         main = sizes.groupBy("bucket").agg(
             F.count(F.lit(1)).alias("comps"), F.min("low").alias("low"),
-            F.max_by(F.struct("comp", "pick"), F.struct("size", "comp")).alias("main"), F.max("size").alias("main_size")).where("comps > 1")
+            F.max_by(F.struct("comp", "pick"), F.struct("size", "comp")).alias("main"), F.sum("size").alias("members")).where("comps > 1")
         if turn < stars:
             # first the smallest id, then in every bucket another member of its main component
             heads = main.select("bucket", (F.col("low") if turn == 0 else F.col("main.pick")).alias("other_node"))
             asked = placed.join(other.join(heads, ["bucket", "other_node"]), "bucket").where(similar)
         else:
-            mains = main.select("bucket", F.col("main.comp").alias("main"), "main_size")
-            outside = work.save(placed.join(mains, "bucket").where("comp <> main"))
-            # large main components are compared block by block below, all other pairs one by one
-            apart = (F.col("main_size") > wide) & (F.col("other_comp") == F.col("main"))
-            asked = outside.join(other, "bucket").where(similar & ~apart)
-        pairs = asked.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
-        found = work.save(_verified(work, pairs, texts, width, percent))
+            mains = main.select("bucket", F.col("main.comp").alias("main"), "members")
+            met = work.save(placed.join(mains, "bucket"))
+            asked = met.where((F.col("comp") != F.col("main")) & (F.col("members") <= wide)).join(other, "bucket").where(similar)
+        pairs = asked.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
+        if turn == stars:
+            crowd = work.save(met.where(F.col("members") > wide).groupBy("node", "comp").agg(F.max(F.col("comp") != F.col("main")).alias("asks")))
+            rare = work.save(_rare_pairs(work, crowd, texts, width, percent))
+            many = Window.partitionBy("node", "other_comp")
+            rare = work.save(rare.withColumn("many", F.count(F.lit(1)).over(many) > wide))
+            pairs = pairs.unionByName(rare.where("not many").select(
+                F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")))
+        found = work.save(_verified(work, pairs.distinct(), texts, width, percent))
         links = found if links is None else links.unionByName(found)
         if turn == stars:
-            attached = work.save(outside.where(F.col("main_size") > wide).select("node", F.col("main").alias("comp")).distinct())
+            attached = work.save(rare.where("many").select("node", F.col("other_comp").alias("comp")).distinct())
             if not attached.isEmpty():
                 everyone = nodes.select("node").distinct().join(labels, "node").select("node", F.col("component").alias("comp"))
                 links = links.unionByName(work.save(_blockwise(work, attached, everyone, texts, width, percent)))
@@ -219,6 +225,112 @@ def near_dedup(
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+#: Counters for the frequencies of shingles, by the first bits of their hashes, and how many of them travel in one row.
+_SLOT_BITS, _SLOT_ROW = 20, 4096
+#: Classes of set sizes: each at most 8 % wide, or one size.
+_CLASSES = [1]
+while _CLASSES[-1] < 1 << 60:
+    _CLASSES.append(max(_CLASSES[-1] + 1, _CLASSES[-1] * 27 // 25))
+
+
+def _rare_pairs(work: Workspace, crowd: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Candidates (node, other_node, other_comp) between nodes that ask and all others of ``crowd`` (node, comp, asks), of other components:
+    every pair that is similar enough, and few that are not.
+
+    With its shingles in any order that is common to all sets, rarest first, a set of n shingles that shares at least m with another
+    has one of these among its first n - m + 1. So only these become keys, for each class of sizes that the other set may have, as m follows from
+    both sizes: sets that share nothing but a passage, or whose own shingles are too many for a link, meet no one. A pair is listed
+    where the shingles from there on can still be enough. The order comes from a table of counts of fixed size over all sets of the crowd; a
+    shingle that is counted once is in no other set and makes no key."""
+    nodes = F.broadcast(crowd) if crowd.count() <= BROADCAST_IDS else crowd
+    held = work.save(texts.join(nodes, texts["doc_id"] == nodes["node"]).select("node", "comp", "asks", "text").mapInArrow(
+        _sets(width), "node long, comp long, asks boolean, shingles array<long>"))
+    counted = held.select("shingles").mapInArrow(_slot_counts, "part int, counts array<int>").groupBy("part").applyInArrow(
+        _slot_ranks, "part int, ranks binary")
+    ranks = np.zeros(1 << _SLOT_BITS, np.uint8)
+    for row in counted.collect():  # a fixed number of rows, 1 MB together
+        ranks[row["part"] * _SLOT_ROW:(row["part"] + 1) * _SLOT_ROW] = np.frombuffer(row["ranks"], np.uint8)
+    keys = work.save(held.mapInArrow(_rare_keys(ranks, percent), "key long, node long, comp long, asks boolean, n long, rest long"))
+    other = keys.select("key", *(F.col(c).alias(f"other_{c}") for c in ("node", "comp", "n", "rest")))
+    return keys.where("asks").join(other, "key").where(
+        (F.col("comp") != F.col("other_comp"))
+        & (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent)
+        & (F.least("rest", "other_rest") * (100 + percent) >= (F.col("n") + F.col("other_n")) * percent)
+    ).select("node", "other_node", "other_comp").distinct()
+
+
+def _sets(width: int):
+    @lean
+    def run(batches):
+        shingler = Shingler(width)
+        for batch in batches:
+            for part in slices(batch):
+                values, sizes = shingler.flat(part.column("text"))
+                ends = pa.array(np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)]), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("node", "comp", "asks")), lists], names=["node", "comp", "asks", "shingles"])
+
+    return run
+
+
+def _slots(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
+@lean
+def _slot_counts(batches):
+    total = np.zeros(1 << _SLOT_BITS, np.int32)
+    for batch in batches:
+        slots, n = np.unique(_slots(batch.column("shingles").flatten().to_numpy().view(np.uint64)), return_counts=True)
+        total[slots] += n.astype(np.int32)
+    if total.any():
+        rows = total.reshape(-1, _SLOT_ROW)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows)), pa.int32()), pa.array(list(rows), pa.list_(pa.int32()))], names=["part", "counts"])
+
+
+def _slot_ranks(group: pa.Table) -> pa.Table:
+    """Counts by size, in steps of a sixth of a doubling or one: 0 for none, 1 for exactly one."""
+    group = group.combine_chunks()
+    total = group.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, _SLOT_ROW).sum(0, dtype=np.int64)
+    ranks = np.where(total > 0, 1 + np.minimum(6 * np.log2(np.maximum(total, 1)), 254), 0).astype(np.uint8)
+    return pa.table([group.column("part").slice(0, 1), pa.array([ranks.tobytes()], pa.binary())], names=["part", "ranks"])
+
+
+def _at_least(first: np.ndarray, second: np.ndarray, percent: int) -> np.ndarray:
+    """How many shingles sets of the given sizes share at least, if they are similar enough."""
+    return -(-percent * (first + second) // (100 + percent))
+
+
+def _rare_keys(ranks: np.ndarray, percent: int):
+    @lean
+    def run(batches):
+        bounds = np.array(_CLASSES, np.int64)
+        classes = lambda n: np.searchsorted(bounds, n, side="right") - 1
+        for batch in batches:
+            lists = batch.column("shingles")
+            n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            values = lists.flatten().to_numpy().view(np.uint64)
+            owner = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((values, ranks[_slots(values)], owner))
+            values, elsewhere = values[order], (ranks[_slots(values)] > 1)[order]
+            place = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
+            least, most = -(-percent * n // 100), 100 * n // percent
+            own, low, high = classes(n), classes(least), classes(most)
+            for step in range(int((high - low).max(initial=-1)) + 1):
+                theirs = low + step
+                first = np.where((theirs <= high) & (n > 0), n - _at_least(n, np.maximum(bounds[theirs], least), percent) + 1, 0)
+                at = np.flatnonzero(elsewhere & (place < first[owner]))
+                if len(at):
+                    of = owner[at]
+                    both = (np.minimum(own, theirs) << 10 | np.maximum(own, theirs))[of].astype(np.uint64)
+                    taken = pa.array(of)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(mix(values[at] + mix(both)).view(np.int64)), *(batch.column(c).take(taken) for c in ("node", "comp", "asks")),
+                         pa.array(n[of]), pa.array(n[of] - place[at])], names=["key", "node", "comp", "asks", "n", "rest"])
+
+    return run
+
+
 #: Most documents of either side in one block of :func:`_blockwise`.
 BLOCK = 512
 

@@ -51,6 +51,43 @@ def test_near_finds_chains_and_large_groups(spark, wide):
     cases.same(near_dedup(cases.table(spark, rows), width=3, percent=85, bands=20, rows=5, stars=1, wide=wide), cases.near(rows, 3, 85))
 
 
+def test_near_meets_look_alikes_by_their_rare_shingles(spark, monkeypatch):
+    """300 pages of one template with words of their own: large buckets, no main component, a link only between 298 and 299."""
+    pairs = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def compared(_):
+        pairs.add(1)
+        return 0
+
+    monkeypatch.setattr(near_module, "_differing", lambda a, b, width: compared(a[0].bitwiseXOR(b[0])))
+    words, rows = cases.prose(9, 100).split(), []
+    for i in range(299):
+        own = {(7 * i + 20 * k) % 100: f"own{i}x{k}" for k in range(5)}
+        rows.append((i, " ".join(own.get(at, word) for at, word in enumerate(words))))
+    rows.append((299, rows[298][1] + " end"))
+    cases.same(near_dedup(cases.table(spark, rows), width=3, percent=85, bands=20, rows=5, wide=8), cases.near(rows, 3, 85))
+    assert 0 < pairs.value < 100 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [30, 70, 85, 100])
+def test_rare_shingles_find_every_similar_pair(spark, percent):
+    """Chains of changes, parts of texts and short texts, against plain set comparison; an id has two rows."""
+    words, rows = cases.prose(10, 90).split(), []
+    for i in range(30):
+        words[3 * i % 90] = f"new{i}"
+        rows.append((i, " ".join(words[:90 - 2 * (i % 7)])))
+        rows.append((100 + i, " ".join(words[:i % 8 + 1])))
+    rows.append((5, " ".join(reversed(words))))
+    ids = sorted({i for i, _ in rows})
+    crowd = spark.createDataFrame([(i, i // 3, i % 2 == 0) for i in ids], "node long, comp long, asks boolean")
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = near_module._rare_pairs(Workspace(spark, "test"), crowd, texts, 3, percent).collect()
+    sets = [(i, cases.shingle_set(t, 3)) for i, t in rows]
+    want = {(a, b, b // 3) for a, x in sets for b, y in sets if a % 2 == 0 and a // 3 != b // 3 and 100 * len(x & y) >= percent * len(x | y)}
+    assert want and want <= {tuple(r) for r in found} and len(found) == len(set(found))
+
+
 def test_blocks_meet_every_member_of_their_component(spark, monkeypatch):
     """Three askers and a component of seven, in blocks of two, against plain set comparison."""
     monkeypatch.setattr(near_module, "BLOCK", 2)
